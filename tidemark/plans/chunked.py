@@ -95,3 +95,32 @@ def row_halo(df: DataFrame, halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) ->
 
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(IS_HALO)).drop(PART, IS_HALO)
+
+
+def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
+               cols: list[str], prefix: str = "prev_",
+               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """``lag(c) OVER (PARTITION BY keys ORDER BY order)`` for each c in cols,
+    evaluated per (key, time bucket).
+
+    The first row of a bucket takes its previous values from the last row of
+    the previous non-empty bucket: that comes from a per-(key, bucket)
+    ``max_by`` table (partial aggregation; size = number of buckets) lagged
+    once more, then joined back. One shuffle of the data instead of one task
+    per key.
+    """
+    bucket = "_bucket"
+    ostruct = F.struct(*order)
+    vals = F.struct(*[F.col(c) for c in cols])
+    with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_seconds))
+    w = Window.partitionBy(*keys, bucket).orderBy(*order)
+    local = with_b.withColumn("_prev", F.lag(vals).over(w))
+    last = (with_b.groupBy(*keys, bucket).agg(F.max_by(vals, ostruct).alias("_last"))
+                  .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bucket)))
+                  .drop("_last"))
+    o = last.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, bucket]], "_carry")
+    cond = [local[k].eqNullSafe(o[f"_o_{k}"]) for k in [*keys, bucket]]
+    j = local.join(o, on=cond, how="left")
+    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
+    return (j.withColumns({f"{prefix}{c}": prev[c] for c in cols})
+             .drop("_prev", "_carry", bucket, *[f"_o_{k}" for k in [*keys, bucket]]))

@@ -77,3 +77,104 @@ def iso_ms(ms: str) -> str:
     """Python isoformat() of epoch ms, DuckDB side."""
     return (f"CASE WHEN {ms} % 1000 = 0 THEN strftime(epoch_ms({ms}), '%Y-%m-%dT%H:%M:%S') "
             f"ELSE strftime(epoch_ms({ms}), '%Y-%m-%dT%H:%M:%S.%f') END")
+
+STG_PRICES = TICKS + """,
+stg AS (
+    SELECT symbol, price, volume, price_change_percent, high_24h, low_24h, event_time,
+           kafka_partition, kafka_offset,
+           CASE WHEN price <= 0 THEN TRUE WHEN volume < 0 THEN TRUE
+                WHEN abs(price_change_percent) > 50 THEN TRUE ELSE FALSE END AS is_anomaly,
+           date_trunc('hour', event_time) AS event_hour,
+           date_trunc('day', event_time) AS event_date
+    FROM ticks
+    WHERE symbol IS NOT NULL AND price IS NOT NULL AND event_time IS NOT NULL
+)"""
+
+
+def stg_candles_cte(interval: str = "1 minute") -> str:
+    return BASE_TICKS + ", " + candles_cte(interval, "raw_candles") + f""",
+candles AS (SELECT {CANDLE_COLS} FROM raw_candles),
+stg_c AS (
+    SELECT *,
+           CASE WHEN high < low THEN TRUE WHEN open > high OR open < low THEN TRUE
+                WHEN close > high OR close < low THEN TRUE ELSE FALSE END AS has_integrity_issue,
+           CASE WHEN close > open THEN 'BULLISH' WHEN close < open THEN 'BEARISH'
+                ELSE 'DOJI' END AS candle_type,
+           abs(close - open) AS body_size,
+           high - greatest(open, close) AS upper_wick,
+           least(open, close) - low AS lower_wick
+    FROM candles
+    WHERE symbol IS NOT NULL AND window_start IS NOT NULL
+)"""
+
+
+FACT = STG_PRICES + """,
+lagged AS (
+    SELECT *,
+           lag(price) OVER (PARTITION BY symbol ORDER BY event_time, kafka_offset) AS prev_price,
+           lag(volume) OVER (PARTITION BY symbol ORDER BY event_time, kafka_offset) AS prev_volume
+    FROM stg WHERE NOT is_anomaly
+),
+fact AS (
+    SELECT md5(concat_ws('-', coalesce(CAST(symbol AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+                              coalesce(CAST(event_time AS VARCHAR), '_dbt_utils_surrogate_key_null_')))
+             AS trade_id,
+           symbol, event_time, event_hour, event_date, price, prev_price,
+           price - coalesce(prev_price, price) AS price_change,
+           CASE WHEN prev_price > 0 THEN (price - prev_price) / prev_price * 100 ELSE 0.0 END
+             AS price_change_pct,
+           volume, prev_volume, volume - coalesce(prev_volume, volume) AS volume_change,
+           high_24h, low_24h, price_change_percent AS change_24h_pct,
+           CASE WHEN high_24h > low_24h THEN (price - low_24h) / (high_24h - low_24h) * 100
+                ELSE 50.0 END AS position_in_range_pct,
+           kafka_partition, kafka_offset
+    FROM lagged
+)"""
+
+HOURLY = stg_candles_cte() + """,
+hourly AS (
+    SELECT symbol, date_trunc('hour', window_start) AS hour_start,
+           date_trunc('day', date_trunc('hour', window_start)) AS event_date,
+           arg_min(open, window_start) AS hour_open, max(high) AS hour_high,
+           min(low) AS hour_low, arg_max(close, window_start) AS hour_close,
+           sum(volume) AS total_volume, CAST(sum(trade_count) AS BIGINT) AS total_trades,
+           avg(vwap) AS avg_vwap, avg(price_volatility) AS avg_volatility,
+           count(*) AS candle_count,
+           CAST(count_if(candle_type = 'BULLISH') AS BIGINT) AS bullish_candles,
+           CAST(count_if(candle_type = 'BEARISH') AS BIGINT) AS bearish_candles,
+           CAST(count_if(candle_type = 'DOJI') AS BIGINT) AS doji_candles
+    FROM stg_c WHERE NOT has_integrity_issue
+    GROUP BY 1, 2
+),
+hourly_stats AS (
+    SELECT symbol, hour_start, event_date, hour_open, hour_high, hour_low, hour_close,
+           (hour_close - hour_open) / NULLIF(hour_open, 0) * 100 AS hour_change_pct,
+           total_volume, total_trades, avg_vwap, avg_volatility, candle_count,
+           bullish_candles, bearish_candles, doji_candles,
+           CAST(bullish_candles AS DOUBLE) / NULLIF(candle_count, 0) AS bullish_ratio,
+           CASE WHEN bullish_candles > bearish_candles * 1.5 THEN 'STRONG_BULLISH'
+                WHEN bullish_candles > bearish_candles THEN 'BULLISH'
+                WHEN bearish_candles > bullish_candles * 1.5 THEN 'STRONG_BEARISH'
+                WHEN bearish_candles > bullish_candles THEN 'BEARISH'
+                ELSE 'NEUTRAL' END AS hour_sentiment
+    FROM hourly
+)"""
+
+DIM = STG_PRICES + """,
+dim AS (
+    SELECT symbol,
+           CASE WHEN symbol LIKE '%USDT' THEN replace(symbol, 'USDT', '')
+                WHEN symbol LIKE '%USD' THEN replace(symbol, 'USD', '')
+                WHEN symbol LIKE '%BTC' THEN replace(symbol, 'BTC', '')
+                ELSE symbol END AS base_currency,
+           CASE WHEN symbol LIKE '%USDT' THEN 'USDT' WHEN symbol LIKE '%USD' THEN 'USD'
+                WHEN symbol LIKE '%BTC' THEN 'BTC' ELSE 'UNKNOWN' END AS quote_currency,
+           CASE WHEN symbol = 'BTCUSDT' THEN 'Bitcoin' WHEN symbol = 'ETHUSDT' THEN 'Ethereum'
+                WHEN symbol = 'BNBUSDT' THEN 'Binance Coin' WHEN symbol = 'SOLUSDT' THEN 'Solana'
+                WHEN symbol = 'XRPUSDT' THEN 'Ripple' ELSE 'Unknown' END AS currency_name,
+           CASE WHEN symbol IN ('BTCUSDT', 'ETHUSDT') THEN 'TIER_1'
+                WHEN symbol IN ('BNBUSDT', 'SOLUSDT', 'XRPUSDT') THEN 'TIER_2'
+                ELSE 'TIER_3' END AS market_tier,
+           TRUE AS is_active
+    FROM (SELECT DISTINCT symbol FROM stg)
+)"""
