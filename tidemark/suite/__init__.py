@@ -1,3 +1,3 @@
 """Registered queries: importing this package fills ``registry.REGISTRY``."""
 
-from . import market, warehouse  # noqa: F401
+from . import insights, market, warehouse  # noqa: F401

@@ -15,7 +15,7 @@ BASE_TICKS = f"""base_ticks AS (
            ts AS event_time,
            event_id AS kafka_offset,
            CAST(user_id % 3 AS INTEGER) AS kafka_partition,
-           epoch_ms(ts) AS "timestamp"
+           epoch_us(ts) // 1000 AS "timestamp"
     FROM events
 )"""
 
@@ -64,8 +64,8 @@ SENTIMENT = """sentiment AS (
                 WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) < 70 THEN 'Greed'
                 WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) <= 100 THEN 'Extreme Greed'
            END AS classification,
-           epoch_ms(ts) AS "timestamp",
-           epoch_ms(ts) // 1000 AS index_timestamp,
+           epoch_us(ts) // 1000 AS "timestamp",
+           epoch_us(ts) // 1000000 AS index_timestamp,
            ts AS event_time,
            event_id AS msg_id
     FROM events
@@ -178,3 +178,145 @@ dim AS (
            TRUE AS is_active
     FROM (SELECT DISTINCT symbol FROM stg)
 )"""
+
+
+def spikes_sql(window: int = 50, min_history: int = 10, mult: float = 1.5) -> str:
+    return f"""
+WITH {BASE_TICKS},
+v AS (SELECT * REPLACE (coalesce(volume, 0.0) AS volume) FROM base_ticks),
+w AS (
+    SELECT *, count(*) OVER w50 AS n, avg(volume) OVER w50 AS volume_baseline
+    FROM v
+    WINDOW w50 AS (PARTITION BY symbol ORDER BY event_time, kafka_offset
+                   ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)
+),
+m AS (
+    SELECT *, CASE WHEN volume_baseline > 0 THEN volume / volume_baseline ELSE 0.0 END
+                AS spike_multiplier
+    FROM w WHERE n >= {min_history}
+)
+SELECT event_time AS spike_time, symbol, volume, volume_baseline, spike_multiplier,
+       price AS price_at_spike
+FROM m WHERE spike_multiplier >= {mult}"""
+
+
+SEQ_TICKS = """seqd AS (
+    SELECT symbol, event_time, kafka_offset, price,
+           row_number() OVER (PARTITION BY symbol ORDER BY event_time, kafka_offset) AS rn
+    FROM base_ticks
+)"""
+
+
+def moves_v2_sql(minutes: int = 20, max_rows: int = 100, min_points: int = 3,
+                 threshold: float = 0.1) -> str:
+    return f"""
+WITH {BASE_TICKS}, {SEQ_TICKS},
+win AS (
+    SELECT a.symbol, a.event_time AS window_end, a.kafka_offset, a.price AS last_price,
+           count(*) AS n, min(b.event_time) AS window_start,
+           arg_min(b.price, b.rn) AS first_price, avg(b.price) AS avg_price,
+           coalesce(stddev_samp(b.price), 0.0) AS volatility
+    FROM seqd a JOIN seqd b
+      ON a.symbol = b.symbol AND b.rn BETWEEN a.rn - {max_rows - 1} AND a.rn
+     AND b.event_time >= a.event_time - INTERVAL {minutes} MINUTE
+    GROUP BY a.symbol, a.event_time, a.kafka_offset, a.price
+)
+SELECT window_start, window_end, symbol,
+       (last_price - first_price) / NULLIF(first_price, 0) * 100 AS price_change_pct,
+       avg_price, volatility
+FROM win
+WHERE n >= {min_points}
+  AND abs((last_price - first_price) / NULLIF(first_price, 0) * 100) >= {threshold}"""
+
+
+def moves_v1_sql(minutes: int = 20, min_points: int = 10) -> str:
+    return f"""
+WITH {BASE_TICKS},
+win AS (
+    SELECT a.symbol, a.event_time AS window_end, a.kafka_offset, a.price AS last_price,
+           count(*) AS n, min(b.event_time) AS window_start,
+           arg_min(b.price, (b.event_time, b.kafka_offset)) AS first_price,
+           avg(b.price) AS avg_price
+    FROM base_ticks a JOIN base_ticks b
+      ON a.symbol = b.symbol AND b.event_time > a.event_time - INTERVAL {minutes} MINUTE
+     AND (b.event_time < a.event_time OR (b.event_time = a.event_time AND b.kafka_offset <= a.kafka_offset))
+    GROUP BY a.symbol, a.event_time, a.kafka_offset, a.price
+)
+SELECT window_start, window_end, symbol,
+       (last_price - first_price) / NULLIF(first_price, 0) * 100 AS price_change_pct, avg_price
+FROM win WHERE n >= {min_points}"""
+
+
+def asof_sql(minutes: int = 20, strict: bool = False) -> str:
+    cmp = ">" if strict else ">="
+    return f"""{BASE_TICKS}, {SENTIMENT},
+seqd AS (
+    SELECT symbol, event_time, kafka_offset, price,
+           row_number() OVER (PARTITION BY symbol ORDER BY event_time, kafka_offset) AS rn
+    FROM base_ticks WHERE symbol IN ('BTCUSDT', 'ETHUSDT')
+),
+st AS (
+    SELECT a.symbol, a.event_time, a.kafka_offset, count(*) AS n_points,
+           (a.price - arg_min(b.price, b.rn)) / NULLIF(arg_min(b.price, b.rn), 0) * 100 AS change
+    FROM seqd a JOIN seqd b
+      ON a.symbol = b.symbol AND b.rn BETWEEN a.rn - 9 AND a.rn
+     AND b.event_time {cmp} a.event_time - INTERVAL {minutes} MINUTE
+    GROUP BY a.symbol, a.event_time, a.kafka_offset, a.price
+),
+sy AS (SELECT s.*, v.symbol FROM sentiment s, (VALUES ('BTCUSDT'), ('ETHUSDT')) AS v(symbol)),
+asofj AS (
+    SELECT sy.msg_id, sy.event_time, sy.value, sy.classification, sy.symbol, st.n_points, st.change
+    FROM sy ASOF LEFT JOIN st ON sy.symbol = st.symbol AND sy.event_time >= st.event_time
+),
+pairs AS (
+    SELECT msg_id, event_time, value, classification,
+           max(CASE WHEN symbol = 'BTCUSDT' THEN change END) AS btc_price_change,
+           max(CASE WHEN symbol = 'ETHUSDT' THEN change END) AS eth_price_change
+    FROM asofj GROUP BY 1, 2, 3, 4
+    HAVING min(coalesce(n_points, 0)) >= 5
+)"""
+
+
+def signals_v2_sql(minutes: int = 20) -> str:
+    return f"""
+WITH {asof_sql(minutes)},
+d AS (
+    SELECT *, CASE WHEN btc_price_change > 0.3 AND eth_price_change > 0.3 THEN 'BULLISH'
+                   WHEN btc_price_change < -0.3 AND eth_price_change < -0.3 THEN 'BEARISH'
+                   ELSE 'MIXED' END AS market_direction
+    FROM pairs
+),
+s AS (
+    SELECT *, CASE WHEN value < 30 AND market_direction = 'BEARISH' THEN 'STRONG_BUY'
+                   WHEN value > 70 AND market_direction = 'BULLISH' THEN 'STRONG_SELL'
+                   WHEN value < 30 AND market_direction = 'BULLISH' THEN 'REVERSAL_UP'
+                   WHEN value > 70 AND market_direction = 'BEARISH' THEN 'REVERSAL_DOWN'
+                   WHEN value < 45 AND btc_price_change > 0.3 THEN 'BUY_SIGNAL'
+                   WHEN value > 55 AND btc_price_change < -0.3 THEN 'SELL_SIGNAL'
+                   WHEN market_direction <> 'MIXED' THEN 'CORRELATION'
+                   ELSE 'NEUTRAL' END AS correlation_signal
+    FROM d
+)
+SELECT event_time - INTERVAL 10 MINUTE AS window_start, event_time AS window_end,
+       CAST(value AS INTEGER) AS fear_greed_index, classification AS fear_greed_class,
+       btc_price_change, eth_price_change, market_direction, correlation_signal
+FROM s WHERE correlation_signal <> 'NEUTRAL'"""
+
+
+def signals_v1_sql(minutes: int = 20) -> str:
+    return f"""
+WITH {asof_sql(minutes, strict=True)},
+d AS (
+    SELECT *, CASE WHEN btc_price_change > 0 AND eth_price_change > 0 THEN 'BULLISH'
+                   WHEN btc_price_change < 0 AND eth_price_change < 0 THEN 'BEARISH'
+                   ELSE 'MIXED' END AS market_direction
+    FROM pairs
+)
+SELECT event_time - INTERVAL 15 MINUTE AS window_start, event_time AS window_end,
+       CAST(value AS INTEGER) AS fear_greed_index, classification AS fear_greed_class,
+       btc_price_change, eth_price_change, market_direction,
+       CASE WHEN value < 25 AND market_direction = 'BEARISH' THEN 'BUY_SIGNAL'
+            WHEN value > 75 AND market_direction = 'BULLISH' THEN 'SELL_SIGNAL'
+            WHEN value < 25 AND market_direction = 'BULLISH' THEN 'REVERSAL_CONFIRMED'
+            ELSE 'NEUTRAL' END AS correlation_signal
+FROM d"""
