@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from .session import prepare
 
@@ -30,6 +31,11 @@ class QuerySpec:
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
         df = self.build(spark, sf_dir)
+        # Zoned timestamps leave as UTC wall-clock NTZ values, so results do
+        # not depend on the reading process's local time zone.
+        ltz = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+        if ltz:
+            df = df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ltz})
         if self.doubles:
             df = df.withColumns({c: F.round(F.col(c) + F.lit(NUDGE), ROUND_DIGITS) for c in self.doubles})
         return df

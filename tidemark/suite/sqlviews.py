@@ -320,3 +320,60 @@ SELECT event_time - INTERVAL 15 MINUTE AS window_start, event_time AS window_end
             WHEN value < 25 AND market_direction = 'BULLISH' THEN 'REVERSAL_CONFIRMED'
             ELSE 'NEUTRAL' END AS correlation_signal
 FROM d"""
+
+
+BRONZE = TICKS + f""",
+bronze AS (
+    SELECT symbol AS symbol_key,
+           CASE WHEN bad THEN NULL ELSE symbol END AS symbol,
+           CASE WHEN bad THEN NULL ELSE price END AS price,
+           CASE WHEN bad THEN NULL ELSE volume END AS volume,
+           CASE WHEN bad THEN NULL ELSE price_change_percent END AS price_change_percent,
+           CASE WHEN bad THEN NULL ELSE high_24h END AS high_24h,
+           CASE WHEN bad THEN NULL ELSE low_24h END AS low_24h,
+           CASE WHEN bad THEN NULL ELSE "timestamp" END AS "timestamp",
+           CASE WHEN bad THEN NULL ELSE {iso_ms('"timestamp"')} END AS human_time,
+           event_time AS kafka_timestamp, kafka_partition, kafka_offset,
+           CASE WHEN bad THEN NULL ELSE epoch_ms("timestamp") END AS event_time
+    FROM (SELECT *, kafka_offset % 97 = 0 AS bad FROM ticks)
+)"""
+
+TEST_BOUNDS_SQL = """bounds AS (
+    SELECT * FROM (VALUES ('BTCUSDT', 1.0, 200.0, 0.0, 90.0), ('ETHUSDT', 1.0, 200.0, 0.0, 90.0),
+                          ('BNBUSDT', 1.0, 200.0, 0.0, 90.0))
+           AS t(symbol, min_price, max_price, min_volume, max_volume)
+)"""
+
+AS_OF_MS = "epoch_ms(TIMESTAMP '2024-01-31 00:00:00')"
+
+VALIDATED = BRONZE + ", " + TEST_BOUNDS_SQL + f""",
+v0 AS (
+    SELECT b.*, bd.min_price, bd.max_price, bd.min_volume, bd.max_volume,
+           concat_ws('; ',
+             CASE WHEN b.symbol IS NULL THEN 'Schema validation failed: symbol missing' END,
+             CASE WHEN b.price IS NULL THEN 'Schema validation failed: price missing' END,
+             CASE WHEN b.volume IS NULL THEN 'Schema validation failed: volume missing' END,
+             CASE WHEN b."timestamp" IS NULL THEN 'Schema validation failed: timestamp missing' END,
+             CASE WHEN b.price <= 0 THEN 'Schema validation failed: Price must be positive' END,
+             CASE WHEN b.volume < 0 THEN 'Schema validation failed: Volume cannot be negative' END
+           ) AS errors_text
+    FROM bronze b LEFT JOIN bounds bd ON upper(b.symbol) = bd.symbol
+),
+validated AS (
+    SELECT kafka_offset, upper(symbol) AS symbol, errors_text = '' AS valid, errors_text,
+           CASE WHEN errors_text = '' THEN concat_ws('; ',
+             CASE WHEN price < min_price OR price > max_price THEN
+               'Price ' || CAST(price AS VARCHAR) || ' outside expected range [' ||
+               CAST(min_price AS VARCHAR) || ', ' || CAST(max_price AS VARCHAR) || ']' END,
+             CASE WHEN volume < min_volume OR volume > max_volume THEN
+               'Volume ' || CAST(volume AS VARCHAR) || ' outside expected range [' ||
+               CAST(min_volume AS VARCHAR) || ', ' || CAST(max_volume AS VARCHAR) || ']' END,
+             CASE WHEN "timestamp" > 0 AND ({AS_OF_MS} - "timestamp") / 1000.0 > 300 THEN
+               'Stale data: ' || CAST(CAST(round_even(({AS_OF_MS} - "timestamp") / 1000.0, 0) AS BIGINT) AS VARCHAR) || 's old' END,
+             CASE WHEN abs(price_change_percent) > 50 THEN
+               'Extreme price change: ' || CAST(price_change_percent AS VARCHAR) || '%' END
+           ) ELSE '' END AS warnings_text,
+           upper(symbol) IS NOT NULL AND upper(symbol) NOT IN ('BTCUSDT', 'ETHUSDT', 'BNBUSDT', 'SOLUSDT', 'XRPUSDT')
+             AS unknown_symbol
+    FROM v0
+)"""
