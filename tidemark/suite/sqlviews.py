@@ -377,3 +377,52 @@ validated AS (
              AS unknown_symbol
     FROM v0
 )"""
+
+
+def iso_ts(t: str) -> str:
+    return (f"CASE WHEN epoch_us({t}) % 1000000 = 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({t}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+AS_OF_TS = "TIMESTAMP '2024-01-31 00:00:00'"
+
+RSS = f"""rss AS (
+    SELECT 'news_article' AS type, md5(coalesce(text, '')) AS id, source,
+           coalesce(substring(text, 1, 70), '') AS title,
+           CASE WHEN lang = 'en' THEN source END AS author0,
+           coalesce(CASE WHEN lang IN ('en', 'fr') THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) END,
+                    CASE WHEN lang <> 'de' THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) + INTERVAL 30 SECOND END,
+                    {AS_OF_TS}) AS t,
+           lang || ',' || source AS tags_text,
+           doc_id AS entry_id, 1 AS source_rank
+    FROM documents
+)"""
+
+NEWSAPI = f"""newsapi AS (
+    SELECT 'news_article' AS type, md5(coalesce(text, '')) AS id,
+           CASE WHEN n_chars % 2 = 0 THEN source ELSE 'NewsAPI' END AS source,
+           coalesce(substring(text, 1, 70), '') AS title,
+           source AS author0,
+           CASE WHEN n_chars % 3 = 0 THEN {AS_OF_TS}
+                ELSE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) END AS t,
+           '' AS tags_text,
+           doc_id AS entry_id, 0 AS source_rank
+    FROM documents WHERE lang = 'en'
+)"""
+
+
+def article_cols(src: str) -> str:
+    return f"""SELECT type, id, source, title, coalesce(author0, 'Unknown') AS author,
+       epoch_us(t) / 1e6 AS created_utc, epoch_ms({AS_OF_TS}) AS "timestamp",
+       {iso_ts('t')} AS human_time, tags_text, entry_id, source_rank FROM {src}"""
+
+
+POLLS = SENTIMENT + """,
+polls AS (
+    SELECT msg_id AS poll_id, event_time AS poll_time, CAST(value AS VARCHAR) AS value,
+           classification AS value_classification,
+           CAST((index_timestamp // 86400) * 86400 AS VARCHAR) AS "timestamp",
+           CASE WHEN index_timestamp % 3600 = 0 THEN ''
+                ELSE CAST(3600 - index_timestamp % 3600 AS VARCHAR) END AS time_until_update
+    FROM sentiment
+)"""
