@@ -37,8 +37,10 @@ def volatility_long(moves: DataFrame, min_rows: int = 20) -> DataFrame:
     ``min_rows`` moves, as in the reference's chart."""
     c = cumcount(moves, "window_end", "window_start")
     cells = c.groupBy("symbol", "n").agg(F.avg("volatility").alias("volatility"))
-    total = moves.agg(F.count(F.lit(1)).alias("_total"))
-    return cells.crossJoin(F.broadcast(total)).filter(F.col("_total") > min_rows).drop("_total")
+    # The row-count gate is a scalar subquery, evaluated once.
+    return moves.sparkSession.sql(
+        "SELECT * FROM {cells} WHERE (SELECT count(*) FROM {moves}) > {k}",
+        cells=cells, moves=moves.select("symbol"), k=int(min_rows))
 
 
 def volatility_pivot(long: DataFrame, columns: list[int]) -> DataFrame:
@@ -73,12 +75,13 @@ def describe_tables(tables: dict[str, DataFrame], order_cols: dict[str, str], la
     Each newest-rows list is a top-k (bounded) before it is collected."""
     out = None
     for name, df in tables.items():
-        cnt = df.agg(F.count(F.lit(1)).alias("row_count"))
-        top = (df.orderBy(F.col(order_cols[name]).desc()).limit(last)
-                 .agg(F.collect_list(F.to_json(F.struct(*df.columns))).alias("last_rows")))
-        row = cnt.crossJoin(top).select(F.lit(name).alias("table_name"),
-                                        F.lit(",".join(df.columns)).alias("columns"),
-                                        "row_count", "last_rows")
+        top = df.orderBy(F.col(order_cols[name]).desc()).limit(last) \
+                .select(F.to_json(F.struct(*df.columns)).alias("j"))
+        row = df.sparkSession.sql(
+            "SELECT {name} AS table_name, {cols} AS columns, "
+            "(SELECT count(*) FROM {t}) AS row_count, "
+            "(SELECT collect_list(j) FROM {top}) AS last_rows",
+            name=name, cols=",".join(df.columns), t=df, top=top)
         out = row if out is None else out.unionByName(row)
     return out
 
