@@ -62,7 +62,7 @@ def volume_spikes_simple(ticks: DataFrame, threshold: float = SIMPLE_SPIKE_VOLUM
 
 def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int = SPIKE_MIN_HISTORY,
                   multiplier: float = SPIKE_MULTIPLIER,
-                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                  chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: list[str] = ()) -> DataFrame:
     """v2: baseline = mean of the last <= ``window`` volumes including the
     current one, once ``min_history`` exist; emit when volume / baseline >=
     ``multiplier`` (ratio 0 for a non-positive baseline). Missing volume = 0."""
@@ -77,7 +77,7 @@ def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int
                             F.col("volume") / F.col("volume_baseline")).otherwise(F.lit(0.0)))
     return s.filter(F.col("spike_multiplier") >= multiplier).select(
         F.col("event_time").alias("spike_time"), "symbol", "volume", "volume_baseline",
-        "spike_multiplier", F.col("price").alias("price_at_spike"))
+        "spike_multiplier", F.col("price").alias("price_at_spike"), *carry)
 
 
 def _stdev_samp(arr: Column) -> Column:
@@ -90,7 +90,7 @@ def _stdev_samp(arr: Column) -> Column:
 
 def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: int = MOVE_MINUTES,
                     min_points: int = MOVE_MIN_POINTS, threshold: float = MOVE_THRESHOLD,
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: list[str] = ()) -> DataFrame:
     """v2: per tick, the window is the last <= ``max_rows`` ticks whose time is
     >= tick time - ``minutes`` (a tick exactly at the cutoff stays). With
     >= ``min_points`` points, emit when |first -> last change| >= threshold."""
@@ -109,7 +109,7 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
           .withColumn("volatility", _stdev_samp(prices)))
     return s.filter(F.abs(F.col("price_change_pct")) >= threshold).select(
         "window_start", F.col("event_time").alias("window_end"), "symbol",
-        "price_change_pct", "avg_price", "volatility")
+        "price_change_pct", "avg_price", "volatility", *carry)
 
 
 def price_movements_simple(ticks: DataFrame, minutes: int = MOVE_MINUTES,

@@ -109,7 +109,7 @@ def kafka_price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("crypto-prices").alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
-        F.col("event_time").cast("timestamp").alias("timestamp"),
+        F.timestamp_millis("timestamp").alias("timestamp"),  # Kafka times are in ms
         F.lit(0).alias("timestampType"),
     )
 

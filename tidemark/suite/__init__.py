@@ -1,3 +1,3 @@
 """Registered queries: importing this package fills ``registry.REGISTRY``."""
 
-from . import insights, market, reports, serving, warehouse, wire  # noqa: F401
+from . import insights, market, reports, serving, streams, warehouse, wire  # noqa: F401

@@ -91,15 +91,18 @@ GOLD_DOUBLES = ["period_open", "period_high", "period_low", "period_close", "per
                 "period_vwap", "avg_volatility", "price_change_pct", "price_range_pct"]
 
 
-def gold_sql(candle_interval: str, window_min: int, slide_min: int) -> str:
+def gold_sql(candle_interval: str, window_min: int, slide_min: int, prefix: str | None = None,
+             candles: str = "candles") -> str:
     """Sliding windows on window_end: each candle goes to the windows
-    [s, s+window) with s a multiple of the slide and s <= end < s+window."""
+    [s, s+window) with s a multiple of the slide and s <= end < s+window.
+    ``prefix`` replaces the CTEs that define the ``candles`` relation."""
+    head = prefix or f"{BASE_TICKS}, {candles_cte(candle_interval)}"
     return f"""
-WITH {BASE_TICKS}, {candles_cte(candle_interval)},
+WITH {head},
 assigned AS (
     SELECT c.*, time_bucket(INTERVAL '{slide_min} minutes', window_end)
                 - INTERVAL (k * {slide_min}) MINUTE AS period_start
-    FROM candles c, range(0, {window_min // slide_min}) AS r(k)
+    FROM {candles} c, range(0, {window_min // slide_min}) AS r(k)
 ),
 g AS (
     SELECT symbol, period_start, period_start + INTERVAL '{window_min} minutes' AS period_end,

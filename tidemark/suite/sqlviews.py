@@ -333,9 +333,9 @@ bronze AS (
            CASE WHEN bad THEN NULL ELSE low_24h END AS low_24h,
            CASE WHEN bad THEN NULL ELSE "timestamp" END AS "timestamp",
            CASE WHEN bad THEN NULL ELSE {iso_ms('"timestamp"')} END AS human_time,
-           event_time AS kafka_timestamp, kafka_partition, kafka_offset,
-           CASE WHEN bad THEN NULL ELSE epoch_ms("timestamp") END AS event_time
-    FROM (SELECT *, kafka_offset % 97 = 0 AS bad FROM ticks)
+           epoch_ms(t."timestamp") AS kafka_timestamp, kafka_partition, kafka_offset,
+           CASE WHEN bad THEN NULL ELSE epoch_ms(t."timestamp") END AS event_time
+    FROM (SELECT *, kafka_offset % 97 = 0 AS bad FROM ticks) AS t
 )"""
 
 TEST_BOUNDS_SQL = """bounds AS (
