@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import pct_change
 from ..plans.asof import asof_latest
 from ..plans.chunked import (
-    DEFAULT_CHUNK_ROWS, PART, SEQ, drop_halo, row_halo, row_sequence, time_halo,
+    DEFAULT_CHUNK_ROWS, PART, SEQ, drop_halo, range_frame, row_halo, row_sequence,
 )
 
 # Fixed thresholds of the reference's processors.
@@ -114,42 +114,27 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
 
 def price_movements_simple(ticks: DataFrame, minutes: int = MOVE_MINUTES,
                            min_points: int = SIMPLE_MOVE_MIN_POINTS) -> DataFrame:
-    """v1: window = ticks newer than tick time - ``minutes`` (strict), no row
-    cap; with >= ``min_points`` points emit every tick.
-
-    RANGE frames treat equal times as peers, so the frame is split exactly:
-    strictly earlier ticks by a RANGE frame over (symbol, time chunk) with a
-    halo, plus equal-time ticks up to this one by a running frame over
-    (symbol, chunk, event_time) — the same partitioning, no second shuffle.
-    Only streaming aggregates are used (no collected lists), so the frame
-    size is unbounded without holding it in memory."""
+    """v1: window = ticks newer than tick time - ``minutes`` (strict), up to
+    and including this tick in (event_time, offset) order, no row cap; with
+    >= ``min_points`` points emit every tick.
+
+    The frame has no row bound, so it is computed by the linear bucketed
+    frame (``plans.chunked.range_frame``): streaming aggregates only, no
+    per-row re-scan of the frame and no collected lists."""
     secs = int(minutes) * 60
-    h = time_halo(ticks, "event_time", secs)
-    before = (f"PARTITION BY symbol, {PART} ORDER BY event_time RANGE BETWEEN "
-              f"INTERVAL '{secs - 1}.999999' SECOND PRECEDING AND INTERVAL '0.000001' SECOND PRECEDING")
-    peers = Window.partitionBy("symbol", PART, "event_time").orderBy("kafka_offset") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    o = F.struct("event_time", "kafka_offset")
-    s = (h.withColumn("_c1", F.expr(f"count(1) OVER ({before})"))
-          .withColumn("_s1", F.expr(f"sum(price) OVER ({before})"))
-          .withColumn("_f1", F.expr(f"min_by(struct(event_time, price), struct(event_time, kafka_offset)) OVER ({before})"))
-          .withColumn("_c2", F.count(F.lit(1)).over(peers))
-          .withColumn("_s2", F.sum("price").over(peers))
-          .withColumn("_f2", F.min_by(F.struct("event_time", "price"), o).over(peers)))
-    s = drop_halo(s)
-    first = F.when(F.col("_c1") > 0, F.col("_f1")).otherwise(F.col("_f2"))
-    n = F.col("_c1") + F.col("_c2")
-    total = F.coalesce(F.col("_s1"), F.lit(0.0)) + F.col("_s2")
-    return (s.withColumn("_n", n).filter(F.col("_n") >= min_points)
-             .select(first["event_time"].alias("window_start"),
+    r = range_frame(ticks, ["symbol"], "event_time", "kafka_offset", "price", secs, secs,
+                    strict=True, peers=False)
+    n = F.col("_rf.count")
+    return (r.filter(n >= min_points)
+             .select(F.col("_rf.first_time").alias("window_start"),
                      F.col("event_time").alias("window_end"), "symbol",
-                     pct_change(F.col("price"), first["price"]).alias("price_change_pct"),
-                     (total / F.col("_n")).alias("avg_price")))
+                     pct_change(F.col("price"), F.col("_rf.first")).alias("price_change_pct"),
+                     (F.col("_rf.sum") / n).alias("avg_price")))
 
 
 def correlation_state(ticks: DataFrame, minutes: int = MOVE_MINUTES, strict: bool = False,
                       points: int = CORR_POINTS, symbols=CORR_SYMBOLS,
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                      chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: list[str] = ()) -> DataFrame:
     """Per tick of the correlated symbols: the price window as the processor
     holds it right after that tick, reduced to what the correlation reads —
     the count of its last <= ``points`` entries and their first -> last
@@ -163,14 +148,19 @@ def correlation_state(ticks: DataFrame, minutes: int = MOVE_MINUTES, strict: boo
     s = drop_halo(h.withColumn("_pts", pts))
     return s.select("symbol", "event_time", "kafka_offset",
                     F.size("_pts").cast("long").alias("n_points"),
-                    pct_change(F.col("price"), F.col("_pts")[0]["price"]).alias("change"))
+                    pct_change(F.col("price"), F.col("_pts")[0]["price"]).alias("change"), *carry)
 
 
 def asof_sentiment_prices(sentiment: DataFrame, ticks: DataFrame, minutes: int = MOVE_MINUTES,
                           strict: bool = False, symbols=CORR_SYMBOLS) -> DataFrame:
     """For each sentiment reading, the BTC and ETH window state as of the
     latest tick at or before it: one row per (reading, symbol)."""
-    state = correlation_state(ticks, minutes, strict, symbols=symbols)
+    return asof_state(sentiment, correlation_state(ticks, minutes, strict, symbols=symbols), symbols)
+
+
+def asof_state(sentiment: DataFrame, state: DataFrame, symbols=CORR_SYMBOLS) -> DataFrame:
+    """As-of join of readings to per-tick window states (symbol, event_time,
+    kafka_offset, n_points, change)."""
     left = (sentiment.select("msg_id", "event_time", "value", "classification")
                      .withColumn("symbol", F.explode(F.array(*[F.lit(s) for s in symbols]))))
     j = asof_latest(left, state, ["symbol"], "event_time", "event_time",
@@ -227,7 +217,11 @@ def _correlation_rows(pairs: DataFrame, window_minutes: int) -> DataFrame:
 def sentiment_signals(sentiment: DataFrame, ticks: DataFrame, minutes: int = MOVE_MINUTES) -> DataFrame:
     """Improved processor: contrarian / reversal / moderate signals; NEUTRAL
     rows are not stored."""
-    p = pair_change(asof_sentiment_prices(sentiment, ticks, minutes))
+    return signals_from_asof(asof_sentiment_prices(sentiment, ticks, minutes))
+
+
+def signals_from_asof(asof: DataFrame) -> DataFrame:
+    p = pair_change(asof)
     d = market_direction(F.col("btc_price_change"), F.col("eth_price_change"), DIRECTION_V2)
     p = p.withColumn("market_direction", d).withColumn(
         "correlation_signal", signal_v2(F.col("value"), F.col("market_direction"), F.col("btc_price_change")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import SENTIMENT_ZONES
 from ..functions.timecols import epoch_ms_to_iso, ts_to_epoch_ms
-from ..plans.chunked import PART, drop_halo, time_halo
+from ..plans.chunked import range_frame
 
 # Fixed mapping of event types to symbols and the fixture's fixed rules
 # (FIXTURES.md §5).
@@ -58,24 +58,20 @@ def base_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_rolling_24h(df: DataFrame, time_col: str = "event_time",
                      lookback_seconds: int = ROLLING_24H_SECONDS) -> DataFrame:
-    """high_24h / low_24h = max / min price of the symbol over the last 24 h;
-    price_change_percent against the first price in that span.
+    """high_24h / low_24h = max / min price of the symbol over the last 24 h
+    (inclusive); price_change_percent against the first price in that span.
 
-    Evaluated per (symbol, day chunk) with a one-day halo instead of per
-    symbol, so no task holds a whole symbol.
+    Linear-time bucketed frame (``plans.chunked.range_frame``, one-hour
+    buckets) instead of a sliding RANGE window, whose cost grows with the
+    number of ticks per 24 h.
     """
-    frame = (f"PARTITION BY symbol, {PART} ORDER BY {time_col} "
-             f"RANGE BETWEEN INTERVAL {int(lookback_seconds)} SECONDS PRECEDING AND CURRENT ROW")
-    h = time_halo(df, time_col, lookback_seconds, width_seconds=max(lookback_seconds, 3600))
-    out = (h.withColumn("high_24h", F.expr(f"max(price) OVER ({frame})"))
-            .withColumn("low_24h", F.expr(f"min(price) OVER ({frame})"))
-            .withColumn("_first", F.expr(
-                f"min_by(price, struct({time_col}, kafka_offset)) OVER ({frame})"))
-            .withColumn("price_change_percent",
-                        F.try_divide(F.col("price") - F.col("_first"),
-                                     F.nullif(F.col("_first"), F.lit(0.0))) * 100)
-            .drop("_first"))
-    return drop_halo(out)
+    r = range_frame(df, ["symbol"], time_col, "kafka_offset", "price", lookback_seconds, 3600)
+    return (r.withColumn("high_24h", F.col("_rf.max"))
+             .withColumn("low_24h", F.col("_rf.min"))
+             .withColumn("price_change_percent",
+                         F.try_divide(F.col("price") - F.col("_rf.first"),
+                                      F.nullif(F.col("_rf.first"), F.lit(0.0))) * 100)
+             .drop("_rf"))
 
 
 def ticks(spark: SparkSession, sf_dir: str, rolling: bool = True) -> DataFrame:

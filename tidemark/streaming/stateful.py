@@ -23,10 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.insights import (
-    CORR_SYMBOLS, MOVE_MINUTES, correlation_state, market_direction, signal_v2, DIRECTION_V2,
-    CORR_MIN_POINTS, CORR_WINDOW_MINUTES_V2,
-)
+from ..operators.insights import CORR_SYMBOLS, asof_state, signals_from_asof
 
 GEN = "_gen"
 TICK_COLUMNS = ["symbol", "price", "volume", "event_time", "kafka_offset"]
@@ -89,41 +86,18 @@ def run_tail_carry(stream: DataFrame, handler: TailCarry, checkpoint: str, avail
 
 
 class SentimentJoin:
-    """``foreachBatch`` handler for the sentiment stream: each reading meets
-    the price windows as they stand (the price stream's carried tail),
-    like the reference's processor. Rows are keyed to the two symbols and
-    equi-joined to a table of at most two state rows."""
+    """``foreachBatch`` handler for the sentiment stream. The price stream's
+    handler appends, per tick, the window state the correlation reads
+    (``correlation_state``); each sentiment micro-batch is as-of joined to
+    that table (``plans.asof``: bucketed, no per-key sort), giving every
+    reading the state of the latest tick at or before it — the event-time
+    version of the reference's "current window at arrival"."""
 
-    def __init__(self, price_state_path: str, out_path: str, minutes: int = MOVE_MINUTES,
-                 symbols=CORR_SYMBOLS):
-        self.state, self.out, self.minutes, self.symbols = price_state_path, out_path, minutes, symbols
+    def __init__(self, state_table: str, out_path: str, symbols=CORR_SYMBOLS):
+        self.state, self.out, self.symbols = state_table, out_path, symbols
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_committed(spark, self.state, 1 << 62)
-        if prev is None:
-            return
-        ticks = spark.read.parquet(prev)
-        st = correlation_state(ticks, self.minutes, symbols=self.symbols)
-        now = (st.groupBy("symbol")
-                 .agg(F.max_by(F.struct("n_points", "change"), F.struct("event_time", "kafka_offset")).alias("s"))
-                 .select("symbol", "s.*"))
-        s = batch.select("value", "classification", "event_time").withColumn(
-            "symbol", F.explode(F.array(*[F.lit(x) for x in self.symbols])))
-        j = s.join(F.broadcast(now), "symbol", "left")
-        a, b = self.symbols
-        p = (j.groupBy("event_time", "value", "classification")
-              .agg(F.max(F.when(F.col("symbol") == a, F.col("change"))).alias("btc_price_change"),
-                   F.max(F.when(F.col("symbol") == b, F.col("change"))).alias("eth_price_change"),
-                   F.min(F.coalesce("n_points", F.lit(0))).alias("_n"))
-              .filter(F.col("_n") >= CORR_MIN_POINTS))
-        p = p.withColumn("market_direction", market_direction(F.col("btc_price_change"),
-                                                              F.col("eth_price_change"), DIRECTION_V2))
-        p = p.withColumn("correlation_signal", signal_v2(F.col("value"), F.col("market_direction"),
-                                                         F.col("btc_price_change")))
-        out = p.filter(F.col("correlation_signal") != "NEUTRAL").select(
-            (F.col("event_time") - F.make_dt_interval(mins=F.lit(CORR_WINDOW_MINUTES_V2))).alias("window_start"),
-            F.col("event_time").alias("window_end"), F.col("value").cast("int").alias("fear_greed_index"),
-            F.col("classification").alias("fear_greed_class"), "btc_price_change", "eth_price_change",
-            "market_direction", "correlation_signal")
+        state = spark.read.parquet(self.state).drop("batch_id")
+        out = signals_from_asof(asof_state(batch, state, self.symbols))
         out.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
