@@ -79,16 +79,15 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
 
 def row_halo(df: DataFrame, halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """From ``_seq``: add ``_part``/``_halo`` so a ROWS frame reaching back
-    ``halo`` rows sees all its rows inside one (key, _part) partition."""
-    if halo >= chunk_rows:
-        raise ValueError("halo must be smaller than a chunk")
+    ``halo`` rows sees all its rows inside one (key, _part) partition. A row
+    is copied into every later chunk its reach (seq .. seq + halo) touches —
+    one extra copy for the last ``halo`` rows of a chunk when
+    ``halo < chunk_rows``."""
     z = F.col(SEQ) - 1
     own = F.floor(z / chunk_rows).cast("long")
-    pos = z - own * chunk_rows
-    parts = F.when(F.lit(halo) > 0, F.when(pos >= chunk_rows - halo, F.array(own, own + 1))
-                   .otherwise(F.array(own))).otherwise(F.array(own))
+    last = F.floor((z + int(halo)) / chunk_rows).cast("long")
     return (df.withColumn("_own", own)
-              .withColumn(PART, F.explode(parts))
+              .withColumn(PART, F.explode(F.sequence(own, last)))
               .withColumn(IS_HALO, F.col(PART) != F.col("_own"))
               .drop("_own"))
 

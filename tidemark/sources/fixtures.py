@@ -267,7 +267,7 @@ TEST_BOUNDS = [
 ]
 
 
-def test_bounds(spark: SparkSession) -> DataFrame:
+def validation_bounds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         TEST_BOUNDS, "symbol string, min_price double, max_price double, min_volume double, max_volume double")
 

@@ -18,7 +18,7 @@ from ..operators.reports import (
 from ..operators.warehouse import materialize_table, materialize_view, stg_crypto_prices
 from ..registry import register
 from ..session import scratch_path
-from ..sources.fixtures import AS_OF, base_ticks, sentiment, test_bounds, ticks
+from ..sources.fixtures import AS_OF, base_ticks, sentiment, validation_bounds, ticks
 from .insights import TEST_MINUTES
 from .layers import bronze
 from .serving import METRIC_ROWS_SQL
@@ -137,7 +137,7 @@ def q_describe_tables(spark, sf_dir):
 # --- quality ---------------------------------------------------------------
 
 def _validated(spark, sf_dir):
-    return validate_prices(bronze(spark, sf_dir), test_bounds(spark), AS_OF, bounds_rows=3)
+    return validate_prices(bronze(spark, sf_dir), validation_bounds(spark), AS_OF, bounds_rows=3)
 
 
 @register("quality_metrics", doubles=["validity_rate", "warning_rate"], sql=f"""

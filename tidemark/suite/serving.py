@@ -15,7 +15,7 @@ from ..operators.serving import (
 from ..operators.warehouse import dim_symbols, stg_crypto_prices
 from ..registry import register
 from ..sources.decode import decode_price_json, kafka_envelope
-from ..sources.fixtures import AS_OF, base_ticks, kafka_price_records, test_bounds, ticks
+from ..sources.fixtures import AS_OF, base_ticks, kafka_price_records, validation_bounds, ticks
 from .layers import bronze, gold, silver
 from .market import gold_sql
 from .sqlviews import BASE_TICKS, BRONZE, CANDLE_COLS, DIM, VALIDATED, candles_cte, moves_v2_sql
@@ -179,7 +179,7 @@ def q_layer_counts(spark, sf_dir):
 
 
 def _metric_rows(spark, sf_dir):
-    res = validate_prices(bronze(spark, sf_dir), test_bounds(spark), AS_OF, bounds_rows=3)
+    res = validate_prices(bronze(spark, sf_dir), validation_bounds(spark), AS_OF, bounds_rows=3)
     return quality_metric_rows(res, "bronze_prices", AS_OF)
 
 
@@ -227,7 +227,7 @@ def q_quality_metric_rows(spark, sf_dir):
 
 @register("validate_prices", sql=f"WITH {VALIDATED} SELECT * FROM validated")
 def q_validate_prices(spark, sf_dir):
-    res = validate_prices(bronze(spark, sf_dir), test_bounds(spark), AS_OF, bounds_rows=3)
+    res = validate_prices(bronze(spark, sf_dir), validation_bounds(spark), AS_OF, bounds_rows=3)
     return res.select("kafka_offset", "symbol", "valid",
                       F.concat_ws("; ", "errors").alias("errors_text"),
                       F.concat_ws("; ", "warnings").alias("warnings_text"), "unknown_symbol")

@@ -16,7 +16,7 @@ from ..sources.decode import (
 from ..schemas import PRICE_SCHEMA
 from ..sources.fixtures import (
     AS_OF, fear_greed_polls, kafka_price_records, market_snapshots, newsapi_articles,
-    raw_tickers, rss_entries, sentiment, sentiment_messages, test_bounds, ticks,
+    raw_tickers, rss_entries, sentiment, sentiment_messages, validation_bounds, ticks,
     trending_payloads,
 )
 from .layers import bronze
@@ -218,5 +218,5 @@ WITH {BRONZE}, {TEST_BOUNDS_SQL}
 SELECT b.kafka_offset, b.symbol, bd.min_price, bd.max_price, bd.min_volume, bd.max_volume
 FROM bronze b LEFT JOIN bounds bd ON b.symbol = bd.symbol""")
 def q_bounds_lookup(spark, sf_dir):
-    j = bounds_lookup(bronze(spark, sf_dir), test_bounds(spark), bounds_rows=3)
+    j = bounds_lookup(bronze(spark, sf_dir), validation_bounds(spark), bounds_rows=3)
     return j.select("kafka_offset", "symbol", "min_price", "max_price", "min_volume", "max_volume")
