@@ -23,8 +23,12 @@ SILVER_WATERMARK = "5 minutes"
 GOLD_WATERMARK = "10 minutes"
 
 
-def bronze_stream(raw: DataFrame, watermark: str = BRONZE_WATERMARK) -> DataFrame:
-    return bronze_records(kafka_envelope(raw)).withWatermark("event_time", watermark)
+def bronze_stream(raw: DataFrame, watermark: str | None = BRONZE_WATERMARK) -> DataFrame:
+    """Decoded, audited price rows. ``watermark=None`` leaves the watermark to
+    a downstream layer chained in the same query (a stream may define it
+    once)."""
+    out = bronze_records(kafka_envelope(raw))
+    return out.withWatermark("event_time", watermark) if watermark else out
 
 
 def silver_stream(bronze: DataFrame, interval: str = "1 minute",
