@@ -8,8 +8,8 @@ key's series into chunks and copy a small *halo* (the rows an earlier chunk
 contributes to a frame) into the next chunk, so the window runs per
 ``(key, chunk)`` and the result is exactly the un-chunked one.
 
-* ``time_halo``: for RANGE frames of a fixed look-back. A row at ``t`` is
-  copied to every chunk whose span meets ``[t, t + lookback]``.
+* ``range_frame``: RANGE frames of a fixed look-back in linear time (see
+  there).
 * ``row_sequence`` + ``row_halo``: for ROWS frames. A distributed, gap-free
   sequence number per key (local rank inside a time bucket plus the running
   count of earlier buckets) decides chunk membership; the last ``halo`` rows
@@ -36,19 +36,6 @@ IS_HALO = "_halo"    # true for copies that only feed frames
 SEQ = "_seq"         # 1-based per-key sequence number
 
 
-def time_halo(df: DataFrame, time_col: str, lookback_seconds: int,
-              width_seconds: int | None = None) -> DataFrame:
-    """Add ``_part`` (chunk) and ``_halo``; a row appears in its own chunk and,
-    as a halo copy, in each later chunk its look-back reaches."""
-    width = int(width_seconds or max(int(lookback_seconds), DEFAULT_BUCKET_SECONDS))
-    own = chunk_index(F.col(time_col), width)
-    reach = chunk_index(F.col(time_col) + F.make_dt_interval(secs=F.lit(int(lookback_seconds))), width)
-    return (df.withColumn("_own", own)
-              .withColumn(PART, F.explode_outer(F.sequence(F.col("_own"), reach)))
-              .withColumn(IS_HALO, F.coalesce(F.col(PART) != F.col("_own"), F.lit(False)))
-              .drop("_own"))
-
-
 def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Add ``_seq``: 1-based row number per key in ``order`` (whose first

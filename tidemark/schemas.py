@@ -1,8 +1,7 @@
 """Declared record schemas (FIXTURES.md §1-§4). Nothing is inferred."""
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
-    StructType, TimestampType,
+    ArrayType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 PRICE_SCHEMA = StructType([
@@ -84,5 +83,4 @@ PRICE_MOVES_SCHEMA = "window_start timestamp, window_end timestamp, symbol strin
 __all__ = [
     "PRICE_SCHEMA", "SENTIMENT_SCHEMA", "TICKER_WIRE_SCHEMA", "FEAR_GREED_WIRE_SCHEMA",
     "MARKET_WIRE_SCHEMA", "MARKET_WIRE_FIELDS", "ARTICLE_SCHEMA", "QUALITY_METRIC_SCHEMA",
-    "BooleanType", "IntegerType",
 ]
