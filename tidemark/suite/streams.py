@@ -359,3 +359,32 @@ def _fix_sentiment_sql():
 
 
 _fix_sentiment_sql()
+
+
+@register("emit_on_change_stream", sql=None)
+def q_emit_on_change_stream(spark, sf_dir):
+    """Index polls as a stream: a poll is forwarded only when (index time,
+    value) differs from the previous poll, the previous one carried across
+    micro-batches as a one-row tail."""
+    from ..sources.decode import emit_on_change
+    from ..sources.fixtures import fear_greed_polls
+    polls = fear_greed_polls(spark, sf_dir).withColumn("_series", F.lit(0))
+    src = scratch_path(spark, "topic-polls")
+    replay_as_files(polls, src, "poll_time", PARTS, fmt="parquet")
+    s = spark.readStream.schema(polls.schema).option("recursiveFileLookup", "true") \
+        .option("maxFilesPerTrigger", 2).parquet(src)
+    out, st, ck = (scratch_path(spark, "eoc-out"), scratch_path(spark, "eoc-state"),
+                   scratch_path(spark, "eoc-ckpt"))
+    handler = TailCarry(lambda t, carry: emit_on_change(t), 1, out, st, columns=polls.columns,
+                        key="_series", order=("poll_time", "poll_id"))
+    run_tail_carry(s, handler, ck).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def _fix_emit_sql():
+    from ..registry import REGISTRY
+    from . import wire  # noqa: F401  (registers the batch twin)
+    REGISTRY["emit_on_change_stream"].sql = REGISTRY["emit_on_change"].sql
+
+
+_fix_emit_sql()
