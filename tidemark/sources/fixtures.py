@@ -26,7 +26,6 @@ EVENT_SYMBOLS = {
 }
 KAFKA_PARTITIONS = 3
 MALFORMED_EVERY = 97      # every 97th event id is cut in half on the wire
-SENTIMENT_USER_EVERY = 50  # users whose id is a multiple of 50 post sentiment
 ROLLING_24H_SECONDS = 24 * 3600
 AS_OF = "2024-01-31 00:00:00"
 
@@ -135,18 +134,22 @@ def sentiment_class(value) -> F.Column:
 
 
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fear & greed readings: (type, value, classification, timestamp ms,
-    index_timestamp s, event_time, msg_id)."""
-    ev = table(spark, sf_dir, "events").filter((F.col("user_id") % SENTIMENT_USER_EVERY) == 0)
-    v = F.get_json_object("props", "$.k").cast("long")
-    return ev.select(
+    """Fear & greed readings, one per hour: the index is the floor of the mean
+    ``props.k`` (0..99) over all events of the hour, published at the hour's
+    end. Columns: type, value, classification, timestamp (ms),
+    index_timestamp (s), event_time, msg_id (hours since the epoch)."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    g = ev.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.floor(F.avg(k)).cast("long").alias("value"))
+    end = F.col("w.end")
+    return g.select(
         F.lit("fear_greed_index").alias("type"),
-        v.alias("value"),
-        sentiment_class(v).alias("classification"),
-        ts_to_epoch_ms(F.col("ts")).alias("timestamp"),
-        F.floor(ts_to_epoch_ms(F.col("ts")) / 1000).cast("long").alias("index_timestamp"),
-        F.col("ts").alias("event_time"),
-        F.col("event_id").alias("msg_id"),
+        "value",
+        sentiment_class(F.col("value")).alias("classification"),
+        ts_to_epoch_ms(end).alias("timestamp"),
+        F.floor(ts_to_epoch_ms(end) / 1000).cast("long").alias("index_timestamp"),
+        end.alias("event_time"),
+        F.floor(ts_to_epoch_ms(end) / 3600000).cast("long").alias("msg_id"),
     )
 
 

@@ -55,21 +55,21 @@ def candles_cte(interval: str, name: str = "candles", src: str = "base_ticks") -
 CANDLE_COLS = ("symbol, window_start, window_end, open, high, low, close, volume, trade_count, "
                "vwap, price_volatility, (close - open) / NULLIF(open, 0) * 100 AS candle_change_pct")
 
-SENTIMENT = """sentiment AS (
-    SELECT 'fear_greed_index' AS type,
-           CAST(json_extract_string(props, '$.k') AS BIGINT) AS value,
-           CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) < 30 THEN 'Extreme Fear'
-                WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) < 45 THEN 'Fear'
-                WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) < 55 THEN 'Neutral'
-                WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) < 70 THEN 'Greed'
-                WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) <= 100 THEN 'Extreme Greed'
-           END AS classification,
-           epoch_us(ts) // 1000 AS "timestamp",
-           epoch_us(ts) // 1000000 AS index_timestamp,
-           ts AS event_time,
-           event_id AS msg_id
-    FROM events
-    WHERE user_id % 50 = 0
+SENTIMENT = """hourly_k AS (
+    SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS event_time,
+           CAST(floor(avg(CAST(json_extract_string(props, '$.k') AS BIGINT))) AS BIGINT) AS value
+    FROM events GROUP BY 1
+),
+sentiment AS (
+    SELECT 'fear_greed_index' AS type, value,
+           CASE WHEN value < 30 THEN 'Extreme Fear' WHEN value < 45 THEN 'Fear'
+                WHEN value < 55 THEN 'Neutral' WHEN value < 70 THEN 'Greed'
+                WHEN value <= 100 THEN 'Extreme Greed' END AS classification,
+           epoch_us(event_time) // 1000 AS "timestamp",
+           epoch_us(event_time) // 1000000 AS index_timestamp,
+           event_time,
+           epoch_us(event_time) // 3600000000 AS msg_id
+    FROM hourly_k
 )"""
 
 

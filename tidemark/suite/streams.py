@@ -173,7 +173,7 @@ def q_src_kafka_tail(spark, sf_dir):
 @register("src_multi_topic", sql=f"""
 WITH {BRONZE}
 SELECT 'crypto-prices' AS topic, count(*) AS n FROM bronze
-UNION ALL SELECT 'crypto-fear-greed', count(*) FROM events WHERE user_id % 50 = 0""")
+UNION ALL SELECT 'crypto-fear-greed', count(DISTINCT time_bucket(INTERVAL '1 hour', ts)) FROM events""")
 def q_src_multi_topic(spark, sf_dir):
     path = scratch_path(spark, "topics")
     rec = kafka_price_records(spark, sf_dir).select(
