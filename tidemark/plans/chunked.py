@@ -51,7 +51,9 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_seconds))
     local = with_b.withColumn(
         "_lrank", F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order)))
-    counts = with_b.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    # From the ranked rows: already partitioned by (key, bucket), so this
+    # reuses the window's shuffle instead of recomputing the input.
+    counts = local.groupBy(*keys, bucket).agg(F.max("_lrank").alias("_n"))
     offsets = counts.withColumn(
         "_off",
         F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(bucket)
@@ -101,7 +103,9 @@ def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_seconds))
     w = Window.partitionBy(*keys, bucket).orderBy(*order)
     local = with_b.withColumn("_prev", F.lag(vals).over(w))
-    last = (with_b.groupBy(*keys, bucket).agg(F.max_by(vals, ostruct).alias("_last"))
+    # Built on the lagged rows (same partitioning): the input is shuffled once
+    # and not recomputed for the side table.
+    last = (local.groupBy(*keys, bucket).agg(F.max_by(vals, ostruct).alias("_last"))
                   .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bucket)))
                   .drop("_last"))
     o = last.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, bucket]], "_carry")
