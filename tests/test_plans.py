@@ -96,3 +96,18 @@ def test_asof_latest_vs_brute_force(spark):
         cands = [(tt, kk, pp) for ss, tt, kk, pp in rows if ss == s and tt <= t]
         b[i] = max(cands)[2] if cands else None
     assert a == b
+
+
+def test_chunk_knobs_do_not_change_results(spark):
+    from tidemark.operators.insights import volume_spikes
+    from tidemark.sources.fixtures import base_ticks
+    t = base_ticks(spark, "/root/testdata/sf0.001")
+    ref = sorted(tuple(r) for r in volume_spikes(t).collect())
+    spark.conf.set("spark.tidemark.chunkRows", "37")
+    spark.conf.set("spark.tidemark.bucketSeconds", "600")
+    try:
+        got = sorted(tuple(r) for r in volume_spikes(t).collect())
+    finally:
+        spark.conf.unset("spark.tidemark.chunkRows")
+        spark.conf.unset("spark.tidemark.bucketSeconds")
+    assert got == ref and len(ref) > 0

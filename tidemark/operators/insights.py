@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import pct_change
 from ..plans.asof import asof_latest
 from ..plans.chunked import (
-    DEFAULT_CHUNK_ROWS, PART, SEQ, drop_halo, range_frame, row_halo, row_sequence,
+    PART, SEQ, drop_halo, range_frame, row_halo, row_sequence,
 )
 
 # Fixed thresholds of the reference's processors.
@@ -62,7 +62,7 @@ def volume_spikes_simple(ticks: DataFrame, threshold: float = SIMPLE_SPIKE_VOLUM
 
 def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int = SPIKE_MIN_HISTORY,
                   multiplier: float = SPIKE_MULTIPLIER,
-                  chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: list[str] = ()) -> DataFrame:
+                  chunk_rows: int | None = None, carry: list[str] = ()) -> DataFrame:
     """v2: baseline = mean of the last <= ``window`` volumes including the
     current one, once ``min_history`` exist; emit when volume / baseline >=
     ``multiplier`` (ratio 0 for a non-positive baseline). Missing volume = 0."""
@@ -90,7 +90,7 @@ def _stdev_samp(arr: Column) -> Column:
 
 def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: int = MOVE_MINUTES,
                     min_points: int = MOVE_MIN_POINTS, threshold: float = MOVE_THRESHOLD,
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: list[str] = ()) -> DataFrame:
+                    chunk_rows: int | None = None, carry: list[str] = ()) -> DataFrame:
     """v2: per tick, the window is the last <= ``max_rows`` ticks whose time is
     >= tick time - ``minutes`` (a tick exactly at the cutoff stays). With
     >= ``min_points`` points, emit when |first -> last change| >= threshold."""
@@ -134,7 +134,7 @@ def price_movements_simple(ticks: DataFrame, minutes: int = MOVE_MINUTES,
 
 def correlation_state(ticks: DataFrame, minutes: int = MOVE_MINUTES, strict: bool = False,
                       points: int = CORR_POINTS, symbols=CORR_SYMBOLS,
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: list[str] = ()) -> DataFrame:
+                      chunk_rows: int | None = None, carry: list[str] = ()) -> DataFrame:
     """Per tick of the correlated symbols: the price window as the processor
     holds it right after that tick, reduced to what the correlation reads —
     the count of its last <= ``points`` entries and their first -> last

@@ -15,16 +15,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import chunk_index
-from .chunked import DEFAULT_BUCKET_SECONDS
+from .chunked import bucket_width
 
 
 def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_time: str,
                 right_time: str, right_order: list[Column], value: Column,
-                out: str = "asof", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                out: str = "asof", bucket_seconds: int | None = None) -> DataFrame:
     """Add struct column ``out`` = ``value`` of the latest right row with
     ``right_time <= left_time`` (ties on time: the largest ``right_order``).
     ``right_order`` must start with the right time column."""
     b = "_bucket"
+    bucket_seconds = bucket_width(right, bucket_seconds)
     lcols = left.columns
     L = (left.withColumn(b, chunk_index(F.col(left_time), bucket_seconds))
              .withColumn("_t", F.col(left_time))

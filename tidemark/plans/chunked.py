@@ -31,13 +31,30 @@ from ..functions.timecols import chunk_index
 DEFAULT_BUCKET_SECONDS = 3600
 DEFAULT_CHUNK_ROWS = 1_000_000
 
+# Session settings overriding the defaults, e.g. a finer bucket where one
+# symbol-hour holds more rows than a task should sort.
+BUCKET_CONF = "spark.tidemark.bucketSeconds"
+CHUNK_CONF = "spark.tidemark.chunkRows"
+
 PART = "_part"       # chunk a (possibly copied) row is evaluated in
 IS_HALO = "_halo"    # true for copies that only feed frames
 SEQ = "_seq"         # 1-based per-key sequence number
 
 
+def bucket_width(df: DataFrame, given: int | None = None) -> int:
+    if given:
+        return int(given)
+    return int(df.sparkSession.conf.get(BUCKET_CONF, str(DEFAULT_BUCKET_SECONDS)))
+
+
+def chunk_size(df: DataFrame, given: int | None = None) -> int:
+    if given:
+        return int(given)
+    return int(df.sparkSession.conf.get(CHUNK_CONF, str(DEFAULT_CHUNK_ROWS)))
+
+
 def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int | None = None) -> DataFrame:
     """Add ``_seq``: 1-based row number per key in ``order`` (whose first
     element must be ``time_col``), computed without a per-key sort.
 
@@ -48,7 +65,7 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
        under the broadcast threshold, else it shuffle-joins).
     """
     bucket = "_bucket"
-    with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_seconds))
+    with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     local = with_b.withColumn(
         "_lrank", F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order)))
     # From the ranked rows: already partitioned by (key, bucket), so this
@@ -66,12 +83,13 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
                  .drop("_off", "_lrank", bucket, *[f"_o_{k}" for k in [*keys, bucket]]))
 
 
-def row_halo(df: DataFrame, halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def row_halo(df: DataFrame, halo: int, chunk_rows: int | None = None) -> DataFrame:
     """From ``_seq``: add ``_part``/``_halo`` so a ROWS frame reaching back
     ``halo`` rows sees all its rows inside one (key, _part) partition. A row
     is copied into every later chunk its reach (seq .. seq + halo) touches —
     one extra copy for the last ``halo`` rows of a chunk when
     ``halo < chunk_rows``."""
+    chunk_rows = chunk_size(df, chunk_rows)
     z = F.col(SEQ) - 1
     own = F.floor(z / chunk_rows).cast("long")
     last = F.floor((z + int(halo)) / chunk_rows).cast("long")
@@ -87,7 +105,7 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
                cols: list[str], prefix: str = "prev_",
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               bucket_seconds: int | None = None) -> DataFrame:
     """``lag(c) OVER (PARTITION BY keys ORDER BY order)`` for each c in cols,
     evaluated per (key, time bucket).
 
@@ -100,7 +118,7 @@ def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column
     bucket = "_bucket"
     ostruct = F.struct(*order)
     vals = F.struct(*[F.col(c) for c in cols])
-    with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_seconds))
+    with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     w = Window.partitionBy(*keys, bucket).orderBy(*order)
     local = with_b.withColumn("_prev", F.lag(vals).over(w))
     # Built on the lagged rows (same partitioning): the input is shuffled once

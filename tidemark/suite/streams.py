@@ -20,7 +20,7 @@ from ..streaming.sources import KAFKA_RECORD_SCHEMA, read_stream, replay_as_file
 from ..streaming.stateful import TailCarry, run_tail_carry
 from .insights import TEST_MINUTES
 from .market import gold_sql
-from .sqlviews import BRONZE, candles_cte
+from .sqlviews import BRONZE, candles_cte, spikes_sql
 
 PARTS = 4
 
@@ -48,7 +48,7 @@ def _medallion(spark, sf_dir, layers):
 VALID_BRONZE = BRONZE + """,
 vb AS (SELECT * FROM bronze WHERE symbol IS NOT NULL AND event_time IS NOT NULL)"""
 
-CLOSED_SILVER = VALID_BRONZE.replace("base_ticks", "base_ticks") + ", " + candles_cte(
+CLOSED_SILVER = VALID_BRONZE + ", " + candles_cte(
     "1 minute", "c_all", src="vb") + """,
 wm AS (SELECT max(event_time) - INTERVAL 5 MINUTE AS w FROM vb),
 silver AS (
@@ -293,7 +293,7 @@ def q_sink_kafka_keyed(spark, sf_dir):
 
 
 @register("sink_insight_tables", sql=f"""
-SELECT symbol, count(*) AS n FROM ({_over_valid(__import__('tidemark.suite.sqlviews', fromlist=['x']).spikes_sql())}) GROUP BY 1""")
+SELECT symbol, count(*) AS n FROM ({_over_valid(spikes_sql())}) GROUP BY 1""")
 def q_sink_insight_tables(spark, sf_dir):
     """The spikes table as appended batch by batch (one folder per batch id)."""
     return _tail_run(spark, sf_dir, lambda t, carry: volume_spikes(t, carry=carry), 49, "sink") \
