@@ -56,9 +56,11 @@ class TailCarry:
 
     def __init__(self, op: Callable[..., DataFrame], tail_rows: int, out_path: str, state_path: str,
                  columns: list[str] = TICK_COLUMNS, key: str = "symbol",
-                 order: tuple[str, str] = ("event_time", "kafka_offset")):
+                 order: tuple[str, str] = ("event_time", "kafka_offset"),
+                 summary_path: str | None = None):
         self.op, self.k, self.out, self.state = op, tail_rows, out_path, state_path
         self.columns, self.key, self.order = list(columns), key, order
+        self.summary = summary_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -71,6 +73,15 @@ class TailCarry:
         try:
             out = self.op(u, carry=[GEN]).filter(F.col(GEN) == 1).drop(GEN)
             out.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+            if self.summary:
+                # newest output row per (key, day): lets readers skip old history
+                written = batch.sparkSession.read.parquet(f"{self.out}/batch_id={batch_id}")
+                t = self.order[0]
+                last = (written.groupBy(self.key, F.to_date(t).alias("_day"))
+                               .agg(F.max_by(F.struct(*written.columns), F.struct(*[F.col(c) for c in self.order]))
+                                    .alias("_r"))
+                               .select("_r.*"))
+                last.write.mode("overwrite").parquet(f"{self.summary}/batch_id={batch_id}")
             w = Window.partitionBy(self.key).orderBy(*[F.col(c).desc() for c in self.order])
             tail = (u.withColumn("_rn", F.row_number().over(w))
                      .filter(F.col("_rn") <= self.k).drop("_rn", GEN))
@@ -88,16 +99,24 @@ def run_tail_carry(stream: DataFrame, handler: TailCarry, checkpoint: str, avail
 class SentimentJoin:
     """``foreachBatch`` handler for the sentiment stream. The price stream's
     handler appends, per tick, the window state the correlation reads
-    (``correlation_state``); each sentiment micro-batch is as-of joined to
-    that table (``plans.asof``: bucketed, no per-key sort), giving every
-    reading the state of the latest tick at or before it — the event-time
-    version of the reference's "current window at arrival"."""
+    (``correlation_state``) and a per-(symbol, day) summary of its newest
+    state. Each sentiment micro-batch is as-of joined (``plans.asof``) to the
+    state rows from the day before its first reading on, plus the day
+    summaries before that — exact, and the history read per batch does not
+    grow with the length of the stream."""
 
-    def __init__(self, state_table: str, out_path: str, symbols=CORR_SYMBOLS):
-        self.state, self.out, self.symbols = state_table, out_path, symbols
+    def __init__(self, state_table: str, summary_table: str, out_path: str, symbols=CORR_SYMBOLS,
+                 time_col: str = "event_time"):
+        self.state, self.summary, self.out = state_table, summary_table, out_path
+        self.symbols, self.t = symbols, time_col
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = spark.read.parquet(self.state).drop("batch_id")
-        out = signals_from_asof(asof_state(batch, state, self.symbols))
+        first = batch.agg(F.min(self.t).alias("lo")).first().lo  # one scalar
+        if first is None:
+            return
+        lo = F.date_sub(F.to_date(F.lit(first)), 1).cast("timestamp_ntz")
+        recent = spark.read.parquet(self.state).drop("batch_id").filter(F.col(self.t) >= lo)
+        older = spark.read.parquet(self.summary).drop("batch_id").filter(F.col(self.t) < lo)
+        out = signals_from_asof(asof_state(batch, recent.unionByName(older), self.symbols))
         out.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")

@@ -336,13 +336,14 @@ def q_stateful_sentiment_join(spark, sf_dir):
     ticks = ticks.withColumn("event_time", F.timestamp_millis("timestamp").cast("timestamp_ntz"))
     states, tails, ck = (scratch_path(spark, "sj-states"), scratch_path(spark, "sj-tail"),
                          scratch_path(spark, "sj-ckpt"))
+    days = scratch_path(spark, "sj-days")
     op = lambda t, carry: correlation_state(t, TEST_MINUTES, carry=carry)
-    run_tail_carry(ticks, TailCarry(op, 9, states, tails), ck).awaitTermination()
+    run_tail_carry(ticks, TailCarry(op, 9, states, tails, summary_path=days), ck).awaitTermination()
     spath = scratch_path(spark, "topic-sentiment")
     sentiment(spark, sf_dir).write.mode("overwrite").parquet(spath)
     ss = spark.readStream.schema(spark.read.parquet(spath).schema).option("maxFilesPerTrigger", 1).parquet(spath)
     sout, sck = scratch_path(spark, "sj-out"), scratch_path(spark, "sj-sckpt")
-    ss.writeStream.foreachBatch(SentimentJoin(states, sout)).option(
+    ss.writeStream.foreachBatch(SentimentJoin(states, days, sout)).option(
         "checkpointLocation", sck).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(sout).drop("batch_id")
 
