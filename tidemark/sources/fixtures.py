@@ -184,8 +184,8 @@ def rss_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     pub = base + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return d.select(
         F.col("source").alias("feed"),
-        F.substring("text", 1, 70).alias("title"),
-        F.substring("text", 1, 200).alias("summary"),
+        F.substring_index("text", "\n", 1).alias("title"),   # the first line is the headline
+        F.col("text").alias("summary"),
         F.col("text").alias("link"),
         F.when(F.col("lang") == "en", F.col("source")).alias("author"),
         F.when(F.col("lang").isin("en", "fr"), pub).alias("published"),
@@ -204,8 +204,8 @@ def newsapi_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     pub = base + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return d.select(
         F.when(F.col("n_chars") % 2 == 0, F.struct(F.col("source").alias("name"))).alias("source"),
-        F.substring("text", 1, 70).alias("title"),
-        F.substring("text", 1, 200).alias("description"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text").alias("description"),
         F.col("text").alias("url"),
         F.col("source").alias("author"),
         F.when(F.col("n_chars") % 3 == 0, F.lit("not a time"))

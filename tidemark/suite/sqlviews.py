@@ -388,7 +388,7 @@ AS_OF_TS = "TIMESTAMP '2024-01-31 00:00:00'"
 
 RSS = f"""rss AS (
     SELECT 'news_article' AS type, md5(coalesce(text, '')) AS id, source,
-           coalesce(substring(text, 1, 70), '') AS title,
+           coalesce(split_part(text, chr(10), 1), '') AS title,
            CASE WHEN lang = 'en' THEN source END AS author0,
            coalesce(CASE WHEN lang IN ('en', 'fr') THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) END,
                     CASE WHEN lang <> 'de' THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) + INTERVAL 30 SECOND END,
@@ -401,7 +401,7 @@ RSS = f"""rss AS (
 NEWSAPI = f"""newsapi AS (
     SELECT 'news_article' AS type, md5(coalesce(text, '')) AS id,
            CASE WHEN n_chars % 2 = 0 THEN source ELSE 'NewsAPI' END AS source,
-           coalesce(substring(text, 1, 70), '') AS title,
+           coalesce(split_part(text, chr(10), 1), '') AS title,
            source AS author0,
            CASE WHEN n_chars % 3 = 0 THEN {AS_OF_TS}
                 ELSE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) END AS t,
