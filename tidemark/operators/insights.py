@@ -80,12 +80,17 @@ def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int
         "spike_multiplier", F.col("price").alias("price_at_spike"), *carry)
 
 
-def _stdev_samp(arr: Column) -> Column:
-    """Sample standard deviation of an array of doubles (0 when < 2 values)."""
-    n = F.size(arr)
-    mean = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / n
-    ss = F.aggregate(arr, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    return F.when(n >= 2, F.sqrt(ss / (n - 1))).otherwise(F.lit(0.0))
+def _moments(arr: Column) -> Column:
+    """One pass over an array of doubles (Welford): struct(n, mean, m2).
+    Sample variance = m2 / (n - 1); stable for large prices with small spread."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def step(acc, x):
+        n1 = acc["n"] + 1
+        mean1 = acc["mean"] + (x - acc["mean"]) / n1
+        return F.struct(n1.alias("n"), mean1.alias("mean"),
+                        (acc["m2"] + (x - acc["mean"]) * (x - mean1)).alias("m2"))
+    return F.aggregate(arr, zero, step)
 
 
 def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: int = MOVE_MINUTES,
@@ -100,13 +105,14 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
     pts = F.filter(F.collect_list(F.struct("event_time", "price")).over(w),
                    lambda p: p["event_time"] >= cutoff)
     s = drop_halo(h.withColumn("_pts", pts))
-    prices = F.transform("_pts", lambda p: p["price"])
-    s = (s.withColumn("_n", F.size("_pts"))
-          .filter(F.col("_n") >= min_points)
-          .withColumn("window_start", F.col("_pts")[0]["event_time"])
-          .withColumn("price_change_pct", pct_change(F.col("price"), F.col("_pts")[0]["price"]))
-          .withColumn("avg_price", F.aggregate(prices, F.lit(0.0), lambda a, x: a + x) / F.col("_n"))
-          .withColumn("volatility", _stdev_samp(prices)))
+    s = s.withColumn("_n", F.size("_pts")).filter(F.col("_n") >= min_points)
+    m = _moments(F.transform("_pts", lambda p: p["price"]))
+    s = s.select("*", m.alias("_m")).select(
+        "*", F.col("_pts")[0]["event_time"].alias("window_start"),
+        pct_change(F.col("price"), F.col("_pts")[0]["price"]).alias("price_change_pct"),
+        F.col("_m.mean").alias("avg_price"),
+        F.when(F.col("_n") >= 2, F.sqrt(F.col("_m.m2") / (F.col("_n") - 1))).otherwise(F.lit(0.0))
+         .alias("volatility"))
     return s.filter(F.abs(F.col("price_change_pct")) >= threshold).select(
         "window_start", F.col("event_time").alias("window_end"), "symbol",
         "price_change_pct", "avg_price", "volatility", *carry)

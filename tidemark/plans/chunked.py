@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import chunk_index
 
-# Defaults sized for a large cluster: a one-hour bucket of one symbol is the
-# unit of sorting work, and a row chunk holds one million rows.
+# Defaults: a one-hour bucket of one symbol is the unit of sorting work; a
+# row chunk holds 10,000 rows, so even a thin series spreads over many tasks
+# while a 99-row halo adds about 1 % of copies.
 DEFAULT_BUCKET_SECONDS = 3600
-DEFAULT_CHUNK_ROWS = 1_000_000
+DEFAULT_CHUNK_ROWS = 10_000
 
 # Session settings overriding the defaults, e.g. a finer bucket where one
 # symbol-hour holds more rows than a task should sort.
@@ -93,10 +94,8 @@ def row_halo(df: DataFrame, halo: int, chunk_rows: int | None = None) -> DataFra
     z = F.col(SEQ) - 1
     own = F.floor(z / chunk_rows).cast("long")
     last = F.floor((z + int(halo)) / chunk_rows).cast("long")
-    return (df.withColumn("_own", own)
-              .withColumn(PART, F.explode(F.sequence(own, last)))
-              .withColumn(IS_HALO, F.col(PART) != F.col("_own"))
-              .drop("_own"))
+    p = df.select("*", own.alias("_own"), F.explode(F.sequence(own, last)).alias(PART))
+    return p.withColumn(IS_HALO, F.col(PART) != F.col("_own")).drop("_own")
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
@@ -163,8 +162,8 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
     t = F.col(time_col)
     b = chunk_index(t, B)
     shift = F.make_dt_interval(secs=F.lit(L))
-    own = df.withColumn("_b", b).withColumn("_role", F.lit(1)).withColumn("_st", t) \
-            .withColumn("_ot", t).withColumn("_tie", F.col(tie_col)).withColumn("_v", F.col(value_col))
+    own = df.select("*", b.alias("_b"), F.lit(1).alias("_role"), t.alias("_st"), t.alias("_ot"),
+                    F.col(tie_col).alias("_tie"), F.col(value_col).alias("_v"))
     start = df.select(*keys, (b + m).alias("_b"), F.lit(0).alias("_role"), (t + shift).alias("_st"),
                       t.alias("_ot"), F.col(tie_col).alias("_tie"), F.col(value_col).alias("_v"))
     parts = [own, start]
@@ -217,9 +216,9 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
         r = r.withColumn("_mfirst", F.when(F.col("_mfirst").isNotNull(),
                                            F.struct(F.col("_mfirst.t").alias("t"), F.col("_mfirst.v").alias("v"))))
     else:
-        r = (r.withColumn("_mmax", F.lit(None).cast("double")).withColumn("_mmin", F.lit(None).cast("double"))
-              .withColumn("_mfirst", F.lit(None).cast(r.schema["_rfirst"].dataType))
-              .withColumn("_mcnt", F.lit(None).cast("long")).withColumn("_msum", F.lit(None).cast("double")))
+        r = r.withColumns({"_mmax": F.lit(None).cast("double"), "_mmin": F.lit(None).cast("double"),
+                           "_mfirst": F.lit(None).cast(r.schema["_rfirst"].dataType),
+                           "_mcnt": F.lit(None).cast("long"), "_msum": F.lit(None).cast("double")})
     first = F.coalesce("_sfirst", "_mfirst", "_rfirst")
     res = F.struct(
         F.greatest("_rmax", "_mmax", "_smax").alias("max"),

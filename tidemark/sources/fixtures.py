@@ -65,12 +65,9 @@ def with_rolling_24h(df: DataFrame, time_col: str = "event_time",
     number of ticks per 24 h.
     """
     r = range_frame(df, ["symbol"], time_col, "kafka_offset", "price", lookback_seconds, 3600)
-    return (r.withColumn("high_24h", F.col("_rf.max"))
-             .withColumn("low_24h", F.col("_rf.min"))
-             .withColumn("price_change_percent",
-                         F.try_divide(F.col("price") - F.col("_rf.first"),
-                                      F.nullif(F.col("_rf.first"), F.lit(0.0))) * 100)
-             .drop("_rf"))
+    return r.select(*df.columns, F.col("_rf.max").alias("high_24h"), F.col("_rf.min").alias("low_24h"),
+                    (F.try_divide(F.col("price") - F.col("_rf.first"),
+                                  F.nullif(F.col("_rf.first"), F.lit(0.0))) * 100).alias("price_change_percent"))
 
 
 def ticks(spark: SparkSession, sf_dir: str, rolling: bool = True) -> DataFrame:
@@ -79,9 +76,8 @@ def ticks(spark: SparkSession, sf_dir: str, rolling: bool = True) -> DataFrame:
     if rolling:
         t = with_rolling_24h(t)
     else:
-        t = (t.withColumn("high_24h", F.lit(None).cast("double"))
-              .withColumn("low_24h", F.lit(None).cast("double"))
-              .withColumn("price_change_percent", F.lit(None).cast("double")))
+        t = t.withColumns({c: F.lit(None).cast("double")
+                           for c in ("high_24h", "low_24h", "price_change_percent")})
     return t.withColumn("human_time", epoch_ms_to_iso(F.col("timestamp")))
 
 
