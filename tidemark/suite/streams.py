@@ -116,7 +116,7 @@ def q_pipeline_lifecycle(spark, sf_dir):
 
 def _tail_run(spark, sf_dir, op, k, name):
     topic = _price_topic(spark, sf_dir)
-    ticks = decode_price_json(kafka_envelope(_stream(spark, topic, per_trigger=2)))
+    ticks = decode_price_json(kafka_envelope(_stream(spark, topic, per_trigger=8)))
     ticks = ticks.withColumn("event_time", F.timestamp_millis("timestamp").cast("timestamp_ntz"))
     out, state, ck = (scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-state"),
                       scratch_path(spark, f"{name}-ckpt"))
@@ -332,7 +332,7 @@ def q_stateful_sentiment_join(spark, sf_dir):
     from ..operators.insights import correlation_state
     from ..streaming.stateful import SentimentJoin
     topic = _price_topic(spark, sf_dir)
-    ticks = decode_price_json(kafka_envelope(_stream(spark, topic, per_trigger=2)))
+    ticks = decode_price_json(kafka_envelope(_stream(spark, topic, per_trigger=8)))
     ticks = ticks.withColumn("event_time", F.timestamp_millis("timestamp").cast("timestamp_ntz"))
     states, tails, ck = (scratch_path(spark, "sj-states"), scratch_path(spark, "sj-tail"),
                          scratch_path(spark, "sj-ckpt"))
