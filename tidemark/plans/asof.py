@@ -41,14 +41,21 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], left_time: s
     u = L.unionByName(R, allowMissingColumns=True)
     w = (Window.partitionBy(*keys, b).orderBy("_t", "_side", "_ord")
                .rowsBetween(Window.unboundedPreceding, 0))
-    filled = (u.withColumn("_in", F.last("_val", ignorenulls=True).over(w))
-               .withColumn("_seen", F.max(1 - F.col("_side")).over(w))
-               .filter(F.col("_side") == 1))
+    uw = (u.withColumn("_in", F.last("_val", ignorenulls=True).over(w))
+           .withColumn("_seen", F.max(1 - F.col("_side")).over(w)))
+    filled = uw.filter(F.col("_side") == 1)
     # Carry-in: last right value per (key, bucket), shifted to the next
-    # non-empty bucket of the union of both sides' buckets.
-    last_r = R.groupBy(*keys, b).agg(F.max_by("_val", "_ord").alias("_lastv"))
-    lb = L.select(*keys, b).distinct().withColumn("_lastv", F.lit(None).cast(
-        last_r.schema["_lastv"].dataType)).withColumn("_isl", F.lit(1))
+    # non-empty bucket of the union of both sides' buckets. It is read off
+    # the same windowed rows with all their columns, so the shuffle of the
+    # union is shared (ReusedExchange) and neither side is computed twice.
+    whole = F.struct(*[F.col(c) for c in uw.columns])
+    last_r = (uw.filter(F.col("_side") == 0).groupBy(*keys, b)
+                .agg(F.max_by(whole, F.col("_ord")).alias("_w"))
+                .select(*keys, b, F.col("_w._val").alias("_lastv")))
+    lb = (uw.filter(F.col("_side") == 1).groupBy(*keys, b)
+            .agg(F.max(whole).alias("_w")).select(*keys, b)
+            .withColumn("_lastv", F.lit(None).cast(last_r.schema["_lastv"].dataType))
+            .withColumn("_isl", F.lit(1)))
     grid = last_r.withColumn("_isl", F.lit(0)).unionByName(lb)
     # Left rows sort before right rows of their own bucket, so the frame
     # (which stops one row short) sees only strictly earlier buckets.

@@ -69,9 +69,12 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     local = with_b.withColumn(
         "_lrank", F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order)))
-    # From the ranked rows: already partitioned by (key, bucket), so this
-    # reuses the window's shuffle instead of recomputing the input.
-    counts = local.groupBy(*keys, bucket).agg(F.max("_lrank").alias("_n"))
+    # From the ranked rows, reading all their columns: both branches then
+    # share one identical shuffle (a ReusedExchange) and the input is
+    # computed once.
+    whole = F.struct(*[F.col(c) for c in local.columns])
+    counts = (local.groupBy(*keys, bucket).agg(F.max_by(whole, F.col("_lrank")).alias("_w"))
+                   .select(*keys, bucket, F.col("_w._lrank").alias("_n")))
     offsets = counts.withColumn(
         "_off",
         F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(bucket)
@@ -120,11 +123,14 @@ def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     w = Window.partitionBy(*keys, bucket).orderBy(*order)
     local = with_b.withColumn("_prev", F.lag(vals).over(w))
-    # Built on the lagged rows (same partitioning): the input is shuffled once
-    # and not recomputed for the side table.
-    last = (local.groupBy(*keys, bucket).agg(F.max_by(vals, ostruct).alias("_last"))
-                  .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bucket)))
-                  .drop("_last"))
+    # The side table reads every column of the lagged rows, so both branches
+    # share one identical shuffle (a ReusedExchange) and the input is computed
+    # once; partial aggregation keeps the side table one row per bucket.
+    whole = F.struct(*[F.col(c) for c in local.columns])
+    last = (local.groupBy(*keys, bucket).agg(F.max_by(whole, ostruct).alias("_w"))
+                 .select(*keys, bucket, F.struct(*[F.col(f"_w.{c}").alias(c) for c in cols]).alias("_last"))
+                 .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bucket)))
+                 .drop("_last"))
     o = last.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, bucket]], "_carry")
     cond = [local[k].eqNullSafe(o[f"_o_{k}"]) for k in [*keys, bucket]]
     j = local.join(o, on=cond, how="left")
@@ -153,7 +159,9 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
     ``peers`` keeps RANGE semantics for rows at exactly ``t`` (all included);
     without it only rows with (time, tie) <= the current row's count.
     Adds struct ``out`` with fields max, min, first (value of the earliest
-    row by (time, tie)), first_time, count, sum.
+    row by (time, tie)), first_time, count, sum. ``df`` is read for the rows,
+    their shifted copies and the bucket table: pass a scan or a written
+    table, not an expensive plan.
     """
     L, B = int(lookback_seconds), int(bucket_seconds)
     if L % B:
