@@ -66,7 +66,8 @@ def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int
     """v2: baseline = mean of the last <= ``window`` volumes including the
     current one, once ``min_history`` exist; emit when volume / baseline >=
     ``multiplier`` (ratio 0 for a non-positive baseline). Missing volume = 0."""
-    t = ticks.withColumn("volume", F.coalesce(F.col("volume"), F.lit(0.0)))
+    t = ticks.select("symbol", "price", F.coalesce(F.col("volume"), F.lit(0.0)).alias("volume"),
+                     *TICK_ORDER, *carry)
     h = _ordered(t, window - 1, chunk_rows)
     w = _rows_window(window - 1)
     s = (h.withColumn("_n", F.count(F.lit(1)).over(w))
@@ -99,7 +100,7 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
     """v2: per tick, the window is the last <= ``max_rows`` ticks whose time is
     >= tick time - ``minutes`` (a tick exactly at the cutoff stays). With
     >= ``min_points`` points, emit when |first -> last change| >= threshold."""
-    h = _ordered(ticks, max_rows - 1, chunk_rows)
+    h = _ordered(ticks.select("symbol", "price", *TICK_ORDER, *carry), max_rows - 1, chunk_rows)
     w = _rows_window(max_rows - 1)
     cutoff = F.col("event_time") - F.make_dt_interval(mins=F.lit(int(minutes)))
     pts = F.filter(F.collect_list(F.struct("event_time", "price")).over(w),
@@ -145,7 +146,7 @@ def correlation_state(ticks: DataFrame, minutes: int = MOVE_MINUTES, strict: boo
     holds it right after that tick, reduced to what the correlation reads —
     the count of its last <= ``points`` entries and their first -> last
     change. ``strict`` selects the simple processor's eviction (time > cutoff)."""
-    t = ticks.filter(F.col("symbol").isin(list(symbols)))
+    t = ticks.filter(F.col("symbol").isin(list(symbols))).select("symbol", "price", *TICK_ORDER, *carry)
     h = _ordered(t, points - 1, chunk_rows)
     w = _rows_window(points - 1)
     cutoff = F.col("event_time") - F.make_dt_interval(mins=F.lit(int(minutes)))

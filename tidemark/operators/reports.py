@@ -35,7 +35,7 @@ def volatility_long(moves: DataFrame, min_rows: int = 20) -> DataFrame:
     """symbol x n-th observation -> mean volatility, in long form (one row per
     cell; every observation kept). Empty unless there are more than
     ``min_rows`` moves, as in the reference's chart."""
-    c = cumcount(moves, "window_end", "window_start")
+    c = cumcount(moves.select("symbol", "window_end", "window_start", "volatility"), "window_end", "window_start")
     cells = c.groupBy("symbol", "n").agg(F.avg("volatility").alias("volatility"))
     # The row-count gate is a scalar subquery, evaluated once.
     return moves.sparkSession.sql(

@@ -84,7 +84,8 @@ def q_last_n_per_symbol(spark, sf_dir):
 SELECT symbol, window_end, row_number() OVER (PARTITION BY symbol ORDER BY window_end, window_start) - 1 AS n
 FROM ({MOVES})""")
 def q_cumcount(spark, sf_dir):
-    return cumcount(_moves(spark, sf_dir), "window_end", "window_start").select("symbol", "window_end", "n")
+    m = _moves(spark, sf_dir).select("symbol", "window_end", "window_start")
+    return cumcount(m, "window_end", "window_start").select("symbol", "window_end", "n")
 
 
 @register("volatility_pivot", doubles=["volatility"], sql=f"""

@@ -50,7 +50,7 @@ def main() -> None:
             continue
         df = REGISTRY[name].run(spark, sf)
         df.collect()  # run it, so the adaptive plan is final (small results at this scale)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         s = summarise(plan)
         scans = sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan)))
         print(f"## {name}\n")
