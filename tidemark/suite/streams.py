@@ -389,3 +389,15 @@ def _fix_emit_sql():
 
 
 _fix_emit_sql()
+
+
+@register("sink_console", sql=f"WITH {BRONZE} SELECT count(*) AS rows_in FROM bronze")
+def q_sink_console(spark, sf_dir):
+    """Decoded rows to the console sink (untruncated, first rows of each
+    batch); the answer is the number of rows the query consumed."""
+    from ..streaming.monitor import progress_table
+    from ..streaming.sources import sink_console
+    s = bronze_stream(_stream(spark, _price_topic(spark, sf_dir)))
+    q = sink_console(s, scratch_path(spark, "console-ckpt"))
+    q.awaitTermination()
+    return progress_table(spark, [q]).agg(F.sum("num_input_rows").alias("rows_in"))
