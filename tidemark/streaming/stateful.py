@@ -36,9 +36,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 def latest_committed(spark: SparkSession, root: str, before: int) -> str | None:
-    """Path of the newest ``root/<n>`` with a success marker and n < before
-    (directory listing: metadata only)."""
+    """Path of the newest ``root/<n>`` with a success marker and n < before.
+    The previous batch id is probed first (one existence check); only when
+    it is missing is the folder listed (metadata only)."""
     fs, p = _fs(spark, root)
+    if before > 0:
+        prev = p.suffix(f"/{before - 1}/_SUCCESS")
+        if fs.exists(prev):
+            return f"{root}/{before - 1}"
     if not fs.exists(p):
         return None
     best = None
