@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidemark.operators.quality import (
     expectation_suite, quality_metric_rows, quality_metrics, validate_ohlc, validate_prices,

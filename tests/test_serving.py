@@ -32,3 +32,23 @@ def test_history(spark):
     assert [r.kafka_offset for r in rows] == [2, 1, 3]                        # newest first, limit > data
     assert price_history(b, "b", "2024-01-31 00:00:00", hours=24).count() == 0  # older than look-back
     assert price_history_simple(b, "b", 50).count() == 1
+
+
+def test_limits_and_null_volatility(spark):
+    import pytest
+    from tidemark.operators.serving import analytics_latest, ohlc_latest
+    gold = spark.createDataFrame(
+        [("A", T, T + dt.timedelta(minutes=15), 1.0, None, "NEUTRAL", "NORMAL_VOLUME", 3)],
+        "symbol string, period_start timestamp_ntz, period_end timestamp_ntz, price_change_pct double, "
+        "avg_volatility double, signal string, volume_signal string, total_trades long")
+    assert analytics_latest(gold, "a").first().volatility == 0.0
+    assert analytics_latest(gold, "a", limit=None).count() == 1
+    with pytest.raises(ValueError):
+        analytics_latest(gold, "a", limit=201)
+    silver = spark.createDataFrame([("A", T, T, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 0.0)],
+                                   "symbol string, window_start timestamp_ntz, window_end timestamp_ntz, "
+                                   "open double, high double, low double, close double, volume double, "
+                                   "vwap double, trade_count long, candle_change_pct double")
+    assert ohlc_latest(silver, "A", limit=500).count() == 1
+    with pytest.raises(ValueError):
+        ohlc_latest(silver, "A", limit=0)
