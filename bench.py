@@ -40,7 +40,8 @@ def main() -> None:
     from tidemark.registry import REGISTRY
 
     spark = build_session(master=f"local[{cpus}]", app="tidemark-bench",
-                          shuffle_partitions=max(8, cpus * 2))
+                          shuffle_partitions=max(8, cpus * 2),
+                          extra={"spark.ui.showConsoleProgress": "false"})
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in HEADLINE:
