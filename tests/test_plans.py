@@ -29,10 +29,14 @@ def _data(spark, n=400, seed=7, ties=True):
     return rows, spark.createDataFrame(rows, SCHEMA)
 
 
-def test_row_sequence_and_halo(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("reuse", [False, True])
+def test_row_sequence_and_halo(spark, reuse):
     rows, df = _data(spark)
     seq = row_sequence(df, ["symbol"], "event_time", [F.col("event_time"), F.col("kafka_offset")],
-                       bucket_seconds=600)
+                       bucket_seconds=600, reuse_input=reuse)
     naive = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("symbol").orderBy("event_time", "kafka_offset")))
     j = seq.join(naive, ["symbol", "kafka_offset"])
@@ -47,10 +51,11 @@ def test_row_sequence_and_halo(spark):
     assert a == b
 
 
-def test_lag_by_key(spark):
+@pytest.mark.parametrize("reuse", [False, True])
+def test_lag_by_key(spark, reuse):
     rows, df = _data(spark)
     got = lag_by_key(df, ["symbol"], "event_time", [F.col("event_time"), F.col("kafka_offset")],
-                     ["price"], bucket_seconds=300)
+                     ["price"], bucket_seconds=300, reuse_input=reuse)
     ref = df.withColumn("p", F.lag("price").over(Window.partitionBy("symbol").orderBy("event_time", "kafka_offset")))
     a = {r.kafka_offset: r.prev_price for r in got.collect()}
     b = {r.kafka_offset: r.p for r in ref.collect()}

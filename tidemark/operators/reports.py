@@ -28,7 +28,8 @@ def cumcount(df: DataFrame, order_col: str, tie_col: str | None = None) -> DataF
     """0-based running index per symbol, from the distributed sequence (no
     per-symbol sort in one task)."""
     order = [F.col(order_col)] + ([F.col(tie_col)] if tie_col else [])
-    return row_sequence(df, ["symbol"], order_col, order).withColumn("n", F.col(SEQ) - 1).drop(SEQ)
+    return (row_sequence(df, ["symbol"], order_col, order, reuse_input=True)
+            .withColumn("n", F.col(SEQ) - 1).drop(SEQ))
 
 
 def volatility_long(moves: DataFrame, min_rows: int = 20) -> DataFrame:

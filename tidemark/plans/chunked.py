@@ -55,10 +55,13 @@ def chunk_size(df: DataFrame, given: int | None = None) -> int:
 
 
 def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
-                 bucket_seconds: int | None = None) -> DataFrame:
+                 bucket_seconds: int | None = None, reuse_input: bool = False) -> DataFrame:
     """Add ``_seq``: 1-based row number per key in ``order`` (whose first
     element must be ``time_col``), computed without a per-key sort.
 
+    ``reuse_input``: build the count table from the shuffled rows (for an
+    input that is expensive to compute twice) instead of a second read.
+
     1. rank inside (key, time bucket) — parallel over buckets;
     2. count per (key, bucket) — partial aggregation, a tiny table;
     3. running sum of earlier buckets' counts per key over that tiny table;
@@ -69,12 +72,17 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     local = with_b.withColumn(
         "_lrank", F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order)))
-    # From the ranked rows, reading all their columns: both branches then
-    # share one identical shuffle (a ReusedExchange) and the input is
-    # computed once.
-    whole = F.struct(*[F.col(c) for c in local.columns])
-    counts = (local.groupBy(*keys, bucket).agg(F.max_by(whole, F.col("_lrank")).alias("_w"))
-                   .select(*keys, bucket, F.col("_w._lrank").alias("_n")))
+    if reuse_input:
+        # Expensive input: read the counts off the ranked rows with all their
+        # columns, so both branches share one shuffle (ReusedExchange) and
+        # the input is computed once.
+        whole = F.struct(*[F.col(c) for c in local.columns])
+        counts = (local.groupBy(*keys, bucket).agg(F.max_by(whole, F.col("_lrank")).alias("_w"))
+                       .select(*keys, bucket, F.col("_w._lrank").alias("_n")))
+    else:
+        # Cheap input (a scan): a second, narrow read with partial counts
+        # costs less than re-sorting the shuffled rows.
+        counts = with_b.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off",
         F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(bucket)
@@ -107,7 +115,7 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
                cols: list[str], prefix: str = "prev_",
-               bucket_seconds: int | None = None) -> DataFrame:
+               bucket_seconds: int | None = None, reuse_input: bool = True) -> DataFrame:
     """``lag(c) OVER (PARTITION BY keys ORDER BY order)`` for each c in cols,
     evaluated per (key, time bucket).
 
@@ -123,13 +131,17 @@ def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     w = Window.partitionBy(*keys, bucket).orderBy(*order)
     local = with_b.withColumn("_prev", F.lag(vals).over(w))
-    # The side table reads every column of the lagged rows, so both branches
-    # share one identical shuffle (a ReusedExchange) and the input is computed
-    # once; partial aggregation keeps the side table one row per bucket.
-    whole = F.struct(*[F.col(c) for c in local.columns])
-    last = (local.groupBy(*keys, bucket).agg(F.max_by(whole, ostruct).alias("_w"))
-                 .select(*keys, bucket, F.struct(*[F.col(f"_w.{c}").alias(c) for c in cols]).alias("_last"))
-                 .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bucket)))
+    if reuse_input:
+        # The side table reads every column of the lagged rows, so both
+        # branches share one identical shuffle (a ReusedExchange) and an
+        # expensive input is computed once.
+        whole = F.struct(*[F.col(c) for c in local.columns])
+        lastv = (local.groupBy(*keys, bucket).agg(F.max_by(whole, ostruct).alias("_w"))
+                      .select(*keys, bucket,
+                              F.struct(*[F.col(f"_w.{c}").alias(c) for c in cols]).alias("_last")))
+    else:
+        lastv = with_b.groupBy(*keys, bucket).agg(F.max_by(vals, ostruct).alias("_last"))
+    last = (lastv.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bucket)))
                  .drop("_last"))
     o = last.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, bucket]], "_carry")
     cond = [local[k].eqNullSafe(o[f"_o_{k}"]) for k in [*keys, bucket]]
