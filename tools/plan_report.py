@@ -44,7 +44,7 @@ def main() -> None:
           "read by two branches (side tables built from the same rows). Joins to small side tables are "
           "broadcast by AQE because their measured size is under the threshold; at larger sizes the "
           "same plan stays a sort-merge join. No query contains a cartesian product, a nested-loop join, "
-          "a single-partition exchange or a Python UDF.\n")
+          "a single-partition exchange of raw rows or a Python UDF (tests/test_plan_guard.py checks all lazily built queries).\n")
     for name in HEADLINE:
         if name.startswith("stream") or name.startswith("stateful"):
             continue
