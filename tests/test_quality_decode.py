@@ -94,3 +94,14 @@ def test_dedup_first_wins_and_emit_on_change(spark):
         "poll_id long, poll_time timestamp_ntz, value string, timestamp string")
     kept = [r.poll_id for r in emit_on_change(polls).orderBy("poll_id").collect()]
     assert kept == [1, 3, 4]
+
+
+def test_freshness_and_completeness(spark):
+    from tidemark.operators.quality import check_completeness, check_freshness
+    t = dt.datetime(2024, 1, 31)
+    df = spark.createDataFrame([("BTCUSDT", t - dt.timedelta(minutes=5)), ("ETHUSDT", t - dt.timedelta(hours=2))],
+                               "symbol string, event_time timestamp_ntz")
+    f = check_freshness(df, AS_OF).first()
+    assert f.age_seconds == 300.0 and f.fresh                       # exactly 5 minutes is still fresh
+    c = {r.symbol: r.has_recent_data for r in check_completeness(df, spark, AS_OF).collect()}
+    assert c == {"BTCUSDT": True, "ETHUSDT": False, "BNBUSDT": False}
