@@ -105,3 +105,9 @@ def test_freshness_and_completeness(spark):
     assert f.age_seconds == 300.0 and f.fresh                       # exactly 5 minutes is still fresh
     c = {r.symbol: r.has_recent_data for r in check_completeness(df, spark, AS_OF).collect()}
     assert c == {"BTCUSDT": True, "ETHUSDT": False, "BNBUSDT": False}
+
+
+def test_validate_record_alias(spark):
+    from tidemark.operators.quality import validate_record
+    df = spark.createDataFrame([("BTCUSDT", 10.0, 1.0, AS_OF_MS, None)], REC)
+    assert validate_record(df, validation_bounds(spark), AS_OF).first().valid

@@ -191,3 +191,8 @@ def quality_metric_rows(results: DataFrame, table_name: str, as_of) -> DataFrame
     return stacked.select(F.lit(as_of).cast("timestamp_ntz").alias("check_time"),
                           F.lit(table_name).alias("table_name"), "metric_name", "metric_value",
                           "threshold", status.alias("status"))
+
+
+def validate_record(records: DataFrame, bounds: DataFrame, as_of, **kw) -> DataFrame:
+    """The single-record entry point of the reference is the same call."""
+    return validate_prices(records, bounds, as_of, **kw)
