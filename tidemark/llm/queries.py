@@ -119,8 +119,8 @@ FROM w LEFT JOIN kept USING (doc_id)""",
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 good AS (
-  SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, e -> e IS NULL OR isnan(e) OR isinf(e))) = 0
-    AND len(list_filter(x, e -> e <> 0)) > 0),
+  SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
   ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
