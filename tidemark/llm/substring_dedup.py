@@ -98,7 +98,8 @@ def _collapse(ids, pos, flag, hashes):
     """Of every hash its first place in each document; whether it is in several of them."""
     order = np.lexsort((pos, ids, hashes))
     ids, pos, flag, hashes = ids[order], pos[order], flag[order], hashes[order]
-    same = np.r_[False, (hashes[1:] == hashes[:-1]) & (ids[1:] == ids[:-1])]
+    same = np.zeros(len(ids), bool)
+    same[1:] = (hashes[1:] == hashes[:-1]) & (ids[1:] == ids[:-1])
     first = np.flatnonzero(~same)
     if len(first):
         flag = np.bitwise_or.reduceat(flag, first)
