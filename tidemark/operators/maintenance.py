@@ -2,42 +2,50 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 
 def compact_table(spark: SparkSession, src: str, dst: str, partition_col: str = "symbol",
-                  files_per_partition: int = 1, fmt: str = "parquet") -> DataFrame:
-    """Rewrite a small-file table into ``files_per_partition`` files per
-    partition value at a new path, then verify row counts match.
-
-    ``repartition(k, col, salt)`` spreads a hot partition value over k tasks
-    (one file each) instead of funnelling it through one writer. The new path
-    is swapped in by the caller (readers point at ``dst``); the source is
-    left untouched, so an interrupted run is simply repeated.
+                  fmt: str = "parquet") -> DataFrame:
+    """Rewrite a small-file table into few files per partition value at a new
+    path, then verify that the rows are the same (count and sum of row hashes).
+
+    A ``REBALANCE`` by the partition column merges small pieces up to the
+    advisory partition size and splits a hot value over several tasks, one
+    file each, instead of funnelling it through one writer. The new path is
+    swapped in by the caller (readers point at ``dst``); the source is left
+    untouched, so an interrupted run is simply repeated.
     """
     df = spark.read.format(fmt).load(src)
-    if files_per_partition > 1:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        out = df.repartition(F.col(partition_col), salt)
-    else:
-        out = df.repartition(F.col(partition_col))
+    out = rebalanced(df, [partition_col])
     out.write.mode("overwrite").format(fmt).partitionBy(partition_col).save(dst)
     compacted = spark.read.format(fmt).load(dst)
-    n_src, n_dst = df.count(), compacted.count()
-    if n_src != n_dst:
-        raise RuntimeError(f"compaction changed the row count: {n_src} -> {n_dst}")
+    before, after = _fingerprint(df, df.columns), _fingerprint(compacted, df.columns)
+    if before != after:
+        raise RuntimeError(f"compaction changed the rows: {before} -> {after}")
     return compacted
 
 
+def rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of a value together, in partitions of about the advisory size."""
+    names = ", ".join(f"`{c}`" for c in cols)
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{d}}", d=df)
+
+
+def _fingerprint(df: DataFrame, cols: list[str]) -> tuple:
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("h")).first()
+    return r.n, r.h
+
+
 def register_layer_views(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> list[str]:
     """Register each existing layer path as a temp view; missing layers are
     skipped (tolerated), as the serving API does."""
     done = []
     for name, path in paths.items():
-        if not _exists(spark, path):
+        if not path_exists(spark, path):
             continue
         spark.read.format(fmt).load(path).createOrReplaceTempView(name)
         done.append(name)
@@ -48,10 +56,3 @@ def scan_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     """A table scan by path inside SQL (the path is a parameter)."""
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

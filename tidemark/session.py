@@ -7,7 +7,9 @@ do not reproduce.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -58,14 +60,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read it from the session; only where it is unset (local tests) pick a
-    fresh local folder and register it, so lineage cuts and streaming
-    checkpoints always land in one place every executor can see.
+    Read it from the session. Only a local master (one machine, as in tests)
+    may leave it unset and gets a fresh local folder, removed at exit; on a
+    cluster an unset folder is an error, because executors would write to
+    their own disks and not see each other's files.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():
@@ -73,6 +79,37 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """One JVM on one machine (``local-cluster`` isn't: its executors have folders of their own)."""
+    return master == "local" or master.startswith("local[")
+
+
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared folder for one run of one job."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Spark itself resolves it, default file system included."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the scratch copies made so far; call it once their results have
+    been consumed (results read them lazily). Returns how many were there."""
+    n = 0
+    while _scratch:
+        fs, p = hadoop_path(spark, _scratch.pop())
+        n += bool(fs.delete(p, True))
+    return n
