@@ -9,7 +9,7 @@ import tidemark.suite  # noqa: F401
 from tidemark.registry import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-LAZY = ("market", "warehouse", "insights", "serving", "wire")
+LAZY = ("market", "warehouse", "insights", "serving", "wire", "reports")
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 NAMES = sorted(n for n, s in REGISTRY.items() if s.build.__module__.split(".")[-1] in LAZY)

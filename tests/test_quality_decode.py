@@ -27,7 +27,7 @@ def test_validate_prices_rules(spark):
         ("ETHUSDT", 500.0, 95.0, AS_OF_MS, None),           # outside test bounds
     ]
     df = spark.createDataFrame(rows, REC)
-    out = validate_prices(df, validation_bounds(spark), AS_OF, bounds_rows=3).collect()
+    out = validate_prices(df, validation_bounds(spark), AS_OF).collect()
     assert not out[0].valid and out[0].errors == ["Schema validation failed: price missing"]
     assert not out[1].valid and "Price must be positive" in out[1].errors[0]
     assert not out[2].valid and "Volume cannot be negative" in out[2].errors[0]
@@ -37,7 +37,7 @@ def test_validate_prices_rules(spark):
     assert out[6].warnings == ["Stale data: 300s old", "Extreme price change: -50.5%"]
     assert out[7].warnings == ["Price 500.0 outside expected range [1.0, 200.0]",
                                "Volume 95.0 outside expected range [0.0, 90.0]"]
-    m = quality_metrics(validate_prices(df, validation_bounds(spark), AS_OF, bounds_rows=3)).first()
+    m = quality_metrics(validate_prices(df, validation_bounds(spark), AS_OF)).first()
     assert m.total_records == 8 and m.invalid_records == 3 and m.valid_records == 5
     rows = quality_metric_rows(validate_prices(df, validation_bounds(spark), AS_OF), "t", AS_OF).collect()
     assert {r.metric_name for r in rows} == {"validity_rate", "warning_rate", "invalid_records"}

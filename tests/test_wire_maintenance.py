@@ -68,7 +68,7 @@ def test_compact_and_views(spark):
     df = spark.range(0, 500).select((F.col("id") % 3).cast("string").alias("symbol"), "id")
     df.repartition(20).write.partitionBy("symbol").parquet(src)
     dst = scratch_path(spark, "t-compact")
-    out = compact_table(spark, src, dst, files_per_partition=1)
+    out = compact_table(spark, src, dst)
     assert out.count() == 500
     files = [f for _, _, fs in os.walk(dst) for f in fs if f.endswith(".parquet")]
     assert len(files) == 3

@@ -44,6 +44,10 @@ CORR_WINDOW_MINUTES_V1 = 15
 TICK_ORDER = ["event_time", "kafka_offset"]
 
 
+def _priced(ticks: DataFrame) -> DataFrame:
+    return ticks.filter(F.col("price").isNotNull())
+
+
 def _ordered(df: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
     seq = row_sequence(df, ["symbol"], "event_time", [F.col(c) for c in TICK_ORDER])
     return row_halo(seq, halo, chunk_rows)
@@ -54,8 +58,8 @@ def _rows_window(halo: int) -> Window:
 
 
 def volume_spikes_simple(ticks: DataFrame, threshold: float = SIMPLE_SPIKE_VOLUME) -> DataFrame:
-    """v1: any tick with volume above a fixed threshold."""
-    return ticks.filter(F.col("volume") > threshold).select(
+    """v1: any priced tick with volume above a fixed threshold."""
+    return ticks.filter((F.col("volume") > threshold) & F.col("price").isNotNull()).select(
         F.col("event_time").alias("spike_time"), "symbol", "volume",
         F.col("price").alias("price_at_spike"))
 
@@ -65,7 +69,8 @@ def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int
                   chunk_rows: int | None = None, carry: list[str] = ()) -> DataFrame:
     """v2: baseline = mean of the last <= ``window`` volumes including the
     current one, once ``min_history`` exist; emit when volume / baseline >=
-    ``multiplier`` (ratio 0 for a non-positive baseline). Missing volume = 0."""
+    ``multiplier`` (ratio 0 for a non-positive baseline). Missing volume = 0.
+    A tick without a price counts in the baseline and is never emitted."""
     t = ticks.select("symbol", "price", F.coalesce(F.col("volume"), F.lit(0.0)).alias("volume"),
                      *TICK_ORDER, *carry)
     h = _ordered(t, window - 1, chunk_rows)
@@ -76,7 +81,7 @@ def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int
     s = s.withColumn("spike_multiplier",
                      F.when(F.col("volume_baseline") > 0,
                             F.col("volume") / F.col("volume_baseline")).otherwise(F.lit(0.0)))
-    return s.filter(F.col("spike_multiplier") >= multiplier).select(
+    return s.filter((F.col("spike_multiplier") >= multiplier) & F.col("price").isNotNull()).select(
         F.col("event_time").alias("spike_time"), "symbol", "volume", "volume_baseline",
         "spike_multiplier", F.col("price").alias("price_at_spike"), *carry)
 
@@ -99,8 +104,10 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
                     chunk_rows: int | None = None, carry: list[str] = ()) -> DataFrame:
     """v2: per tick, the window is the last <= ``max_rows`` ticks whose time is
     >= tick time - ``minutes`` (a tick exactly at the cutoff stays). With
-    >= ``min_points`` points, emit when |first -> last change| >= threshold."""
-    h = _ordered(ticks.select("symbol", "price", *TICK_ORDER, *carry), max_rows - 1, chunk_rows)
+    >= ``min_points`` points, emit when |first -> last change| >= threshold.
+    A tick without a price is no tick: it takes no place in a window. The
+    tick's offset tells moves of one symbol and time apart."""
+    h = _ordered(_priced(ticks).select("symbol", "price", *TICK_ORDER, *carry), max_rows - 1, chunk_rows)
     w = _rows_window(max_rows - 1)
     cutoff = F.col("event_time") - F.make_dt_interval(mins=F.lit(int(minutes)))
     pts = F.filter(F.collect_list(F.struct("event_time", "price")).over(w),
@@ -116,20 +123,20 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
          .alias("volatility"))
     return s.filter(F.abs(F.col("price_change_pct")) >= threshold).select(
         "window_start", F.col("event_time").alias("window_end"), "symbol",
-        "price_change_pct", "avg_price", "volatility", *carry)
+        "price_change_pct", "avg_price", "volatility", "kafka_offset", *carry)
 
 
 def price_movements_simple(ticks: DataFrame, minutes: int = MOVE_MINUTES,
                            min_points: int = SIMPLE_MOVE_MIN_POINTS) -> DataFrame:
     """v1: window = ticks newer than tick time - ``minutes`` (strict), up to
     and including this tick in (event_time, offset) order, no row cap; with
-    >= ``min_points`` points emit every tick.
+    >= ``min_points`` points emit every tick. Ticks without a price are left out.
 
     The frame has no row bound, so it is computed by the linear bucketed
     frame (``plans.chunked.range_frame``): streaming aggregates only, no
     per-row re-scan of the frame and no collected lists."""
     secs = int(minutes) * 60
-    r = range_frame(ticks, ["symbol"], "event_time", "kafka_offset", "price", secs, secs,
+    r = range_frame(_priced(ticks), ["symbol"], "event_time", "kafka_offset", "price", secs, secs,
                     strict=True, peers=False)
     n = F.col("_rf.count")
     return (r.filter(n >= min_points)
@@ -145,8 +152,9 @@ def correlation_state(ticks: DataFrame, minutes: int = MOVE_MINUTES, strict: boo
     """Per tick of the correlated symbols: the price window as the processor
     holds it right after that tick, reduced to what the correlation reads —
     the count of its last <= ``points`` entries and their first -> last
-    change. ``strict`` selects the simple processor's eviction (time > cutoff)."""
-    t = ticks.filter(F.col("symbol").isin(list(symbols))).select("symbol", "price", *TICK_ORDER, *carry)
+    change. ``strict`` selects the simple processor's eviction (time > cutoff).
+    Ticks without a price are left out."""
+    t = _priced(ticks).filter(F.col("symbol").isin(list(symbols))).select("symbol", "price", *TICK_ORDER, *carry)
     h = _ordered(t, points - 1, chunk_rows)
     w = _rows_window(points - 1)
     cutoff = F.col("event_time") - F.make_dt_interval(mins=F.lit(int(minutes)))

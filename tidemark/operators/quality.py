@@ -20,10 +20,11 @@ PRICE_BOUNDS = [
 ]
 STALE_SECONDS = 300
 EXTREME_CHANGE = MAX_PRICE_CHANGE_PCT
+VWAP_ROUNDING = 1e-9
+# Bounds tables of at most so many (counted) rows are broadcast.
+BROADCAST_ROWS = 100_000
 REQUIRED = ["symbol", "price", "volume", "timestamp"]
 BOUNDS_SCHEMA = "symbol string, min_price double, max_price double, min_volume double, max_volume double"
-# Bounds tables hold one row per symbol; above this they are not broadcast.
-MAX_BROADCAST_BOUNDS = 100_000
 
 
 def reference_bounds(spark) -> DataFrame:
@@ -39,24 +40,21 @@ def _txt(c) -> Column:
     return F.col(c).cast("string")
 
 
-def bounds_lookup(records: DataFrame, bounds: DataFrame, bounds_rows: int | None = None) -> DataFrame:
-    """Left join to the per-symbol bounds; symbols without bounds pass.
-    The bounds table is one row per symbol: it is broadcast when its row
-    count is known to be small, otherwise left to the planner."""
-    b = bounds
-    if bounds_rows is not None and bounds_rows <= MAX_BROADCAST_BOUNDS:
-        b = F.broadcast(bounds)
-    return records.join(b, on="symbol", how="left")
+def bounds_lookup(records: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Left join to the per-symbol bounds; symbols without bounds pass. The
+    bounds (one narrow row per symbol) are counted, up to the limit: a small
+    table is broadcast, a larger one shuffle-joins."""
+    small = bounds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return records.join(F.broadcast(bounds) if small else bounds, on="symbol", how="left")
 
 
-def validate_prices(records: DataFrame, bounds: DataFrame, as_of, bounds_rows: int | None = None,
-                    stale_seconds: int = STALE_SECONDS, known=KNOWN_SYMBOLS) -> DataFrame:
+def validate_prices(records: DataFrame, bounds: DataFrame, as_of, stale_seconds: int = STALE_SECONDS, known=KNOWN_SYMBOLS) -> DataFrame:
     """Per record: ``valid``, ``errors``, ``warnings``, upper-cased symbol and
     ``unknown_symbol``. A schema error (missing required field, price <= 0,
     volume < 0) makes the record invalid and suppresses all warnings."""
     sym_up = F.upper(F.col("symbol"))
     r = records.withColumn("symbol", sym_up)
-    r = bounds_lookup(r, bounds, bounds_rows)
+    r = bounds_lookup(r, bounds)
     errors = _msgs(*[(F.col(c).isNull(), f"Schema validation failed: {c} missing") for c in REQUIRED],
                    (F.col("price") <= 0, "Schema validation failed: Price must be positive"),
                    (F.col("volume") < 0, "Schema validation failed: Volume cannot be negative"))
@@ -82,20 +80,28 @@ def validate_prices(records: DataFrame, bounds: DataFrame, as_of, bounds_rows: i
              .drop("min_price", "max_price", "min_volume", "max_volume"))
 
 
+def route_validated(results: DataFrame) -> DataFrame:
+    """One pass: each record with its route, ``valid`` or ``invalid``."""
+    return results.withColumn("route", F.when(F.col("valid"), "valid").otherwise("invalid"))
+
+
 def split_valid_invalid(results: DataFrame):
+    """The same as two tables."""
     return results.filter(F.col("valid")), results.filter(~F.col("valid"))
 
 
 def validate_ohlc(candles: DataFrame) -> DataFrame:
     """Invalid: high < low, negative volume. Warn: open > high, close < low,
-    VWAP outside [low, high] (the reference checks only these sides)."""
+    VWAP outside [low, high] (the reference checks only these sides). A VWAP
+    is a quotient of sums: it is outside only beyond their rounding."""
     h, l, o, c, v = (F.col(x) for x in ("high", "low", "open", "close", "vwap"))
     errors = _msgs((h < l, F.concat(F.lit("High ("), _txt("high"), F.lit(") < Low ("), _txt("low"), F.lit(")"))),
                    (F.coalesce(F.col("volume"), F.lit(0.0)) < 0, F.lit("Negative volume")))
     warnings = _msgs(
         (o > h, F.concat(F.lit("Open ("), _txt("open"), F.lit(") > High ("), _txt("high"), F.lit(")"))),
         (c < l, F.concat(F.lit("Close ("), _txt("close"), F.lit(") < Low ("), _txt("low"), F.lit(")"))),
-        ((v < l) | (v > h), F.concat(F.lit("VWAP ("), _txt("vwap"), F.lit(") outside OHLC range ["),
+        ((v < l - VWAP_ROUNDING * F.abs(l)) | (v > h + VWAP_ROUNDING * F.abs(h)),
+         F.concat(F.lit("VWAP ("), F.format_string("%.6f", v), F.lit(") outside OHLC range ["),
                                      _txt("low"), F.lit(", "), _txt("high"), F.lit("]"))))
     return (candles.withColumn("errors", errors)
                    .withColumn("valid", F.size("errors") == 0)

@@ -18,9 +18,10 @@ def last_n_per_symbol(df: DataFrame, order_col: str, n: int = 10, tie_col: str |
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def latest_per_symbol(df: DataFrame, order_col: str, cols: list[str]) -> DataFrame:
+def latest_per_symbol(df: DataFrame, order_col: str, cols: list[str], tie_col: str | None = None) -> DataFrame:
     """Last row per symbol: one ``max_by`` per symbol (map-side combined)."""
-    g = df.groupBy("symbol").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_r"))
+    order = F.struct(order_col, tie_col) if tie_col else F.col(order_col)
+    g = df.groupBy("symbol").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
     return g.select("symbol", *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
@@ -35,8 +36,9 @@ def cumcount(df: DataFrame, order_col: str, tie_col: str | None = None) -> DataF
 def volatility_long(moves: DataFrame, min_rows: int = 20) -> DataFrame:
     """symbol x n-th observation -> mean volatility, in long form (one row per
     cell; every observation kept). Empty unless there are more than
-    ``min_rows`` moves, as in the reference's chart."""
-    c = cumcount(moves.select("symbol", "window_end", "window_start", "volatility"), "window_end", "window_start")
+    ``min_rows`` moves: the reference draws this chart only then, so the rule is
+    part of the answer; pass 0 for no such rule."""
+    c = cumcount(moves.select("symbol", "window_end", "kafka_offset", "volatility"), "window_end", "kafka_offset")
     cells = c.groupBy("symbol", "n").agg(F.avg("volatility").alias("volatility"))
     # The row-count gate is a scalar subquery, evaluated once.
     return moves.sparkSession.sql(
@@ -63,6 +65,17 @@ def direction_distribution(correlations: DataFrame) -> DataFrame:
     return g.withColumn("percent", F.round(F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy()), 1))
 
 
+def store_insights(tables: dict[str, DataFrame], root: str, mode: str = "append") -> None:
+    """Each table under its own folder, rows stamped with the time they were written."""
+    for name, df in tables.items():
+        df.withColumn("created_at", F.current_timestamp()).write.mode(mode).parquet(f"{root}/{name}")
+
+
+def load_insights(spark: SparkSession, root: str, order_cols: dict[str, str]) -> dict[str, DataFrame]:
+    """The stored tables, each sorted by its own time column."""
+    return {name: spark.read.parquet(f"{root}/{name}").orderBy(t) for name, t in order_cols.items()}
+
+
 def insight_counts(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():
@@ -72,18 +85,19 @@ def insight_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def describe_tables(tables: dict[str, DataFrame], order_cols: dict[str, str], last: int = 5) -> DataFrame:
-    """Per table: its columns, row count and newest ``last`` rows as JSON.
-    Each newest-rows list is a top-k (bounded) before it is collected."""
+    """Per table its newest ``last`` rows: number (1 is the newest), time, the
+    whole row as JSON, the table's columns and row count. The newest rows are a
+    top-k: each task keeps ``last`` of them. An empty table gives no rows."""
     out = None
     for name, df in tables.items():
-        top = df.orderBy(F.col(order_cols[name]).desc()).limit(last) \
-                .select(F.to_json(F.struct(*df.columns)).alias("j"))
-        row = df.sparkSession.sql(
-            "SELECT {name} AS table_name, {cols} AS columns, "
-            "(SELECT count(*) FROM {t}) AS row_count, "
-            "(SELECT collect_list(j) FROM {top}) AS last_rows",
-            name=name, cols=",".join(df.columns), t=df, top=top)
-        out = row if out is None else out.unionByName(row)
+        t = F.col(order_cols[name])
+        top = df.orderBy(t.desc(), *[F.col(c).desc() for c in df.columns]).limit(last)
+        w = Window.partitionBy(F.lit(name)).orderBy(t.desc(), *[F.col(c).desc() for c in df.columns])
+        rows = top.select(F.lit(name).alias("table_name"), F.row_number().over(w).alias("nth"), t.alias("at"),
+                          F.to_json(F.struct(*df.columns)).alias("row"), F.lit(",".join(df.columns)).alias("columns"))
+        size = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
+        rows = rows.join(F.broadcast(size), "table_name")  # one row
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 

@@ -9,7 +9,7 @@ partitioned by symbol they prune directories. "Now" is a parameter
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import TRACKED_SYMBOLS, null_to_zero
@@ -36,11 +36,12 @@ def latest_price_correlated(spark: SparkSession, bronze: DataFrame) -> DataFrame
 
 
 def latest_price_semi(bronze: DataFrame) -> DataFrame:
-    """Same rows via a two-key semi join against per-symbol maxima (a
-    partial aggregate: one row per symbol, so the build side stays small)."""
-    mx = bronze.groupBy("symbol").agg(F.max("event_time").alias("event_time"))
-    return (bronze.select(*PRICE_COLUMNS)
-                  .join(mx, on=["symbol", "event_time"], how="left_semi")
+    """Same rows as the semi join with per-symbol maxima, in one pass: the rows
+    of rank 1 by time within their symbol, ties included. Spark keeps only
+    each task's candidates before the shuffle (a window group limit)."""
+    w = Window.partitionBy("symbol").orderBy(F.col("event_time").desc())
+    return (bronze.select(*PRICE_COLUMNS).filter(F.col("symbol").isNotNull() & F.col("event_time").isNotNull())
+                  .withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
                   .orderBy("symbol"))
 
 
@@ -110,9 +111,8 @@ def dashboard_analytics(gold: DataFrame) -> DataFrame:
 
 
 def recent_movements(moves: DataFrame, limit: int = 20) -> DataFrame:
-    """Newest moves first (insertion order = event order here)."""
-    return (moves.select("symbol", "price_change_pct", "avg_price", "window_end", "window_start")
-                 .orderBy(F.col("window_end").desc(), F.col("symbol").desc())
+    """Newest moves first (insertion order = event order here, offsets break ties)."""
+    return (moves.orderBy(F.col("window_end").desc(), F.col("kafka_offset").desc()).select("symbol", "price_change_pct", "avg_price", "window_end", "window_start")
                  .limit(limit))
 
 
@@ -134,8 +134,7 @@ def recent_summary(moves: DataFrame, per_symbol: int = 100, symbols=TRACKED_SYMB
     avg of avg_price; a symbol whose avg change is null or 0 is skipped.
     The per-symbol top-k runs as a window group limit (partial top-k before
     the shuffle), so no task holds a whole symbol."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("symbol").orderBy(F.col("window_end").desc(), F.col("window_start").desc())
+    w = Window.partitionBy("symbol").orderBy(F.col("window_end").desc(), F.col("kafka_offset").desc())
     top = (moves.filter(F.col("symbol").isin(list(symbols)))
                 .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_symbol))
     g = top.groupBy("symbol").agg(F.avg("price_change_pct").alias("avg_change"),

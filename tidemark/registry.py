@@ -1,8 +1,10 @@
 """Named queries: a Spark plan plus the DuckDB SQL that must give the same rows.
 
-Doubles are rounded in *both* wrappers (never inside the operators) to 6
-decimals after a 1e-9 nudge, so float sums taken in a different order, or a
-value sitting exactly on a rounding tie, hash the same on both sides.
+Computed doubles (sums, means, deviations, ratios) are rounded in *both*
+wrappers (never inside the operators) to 6 decimals after a 1e-9 nudge, so
+float sums taken in a different order, or a value sitting exactly on a rounding
+tie, hash the same on both sides. Values that are only passed through are
+compared as they are.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from .session import prepare
 
 ROUND_DIGITS = 6
 NUDGE = 1e-9
+# Passed through or picked (first, last, largest, smallest), never computed.
+EXACT = {"price", "prev_price", "open", "high", "low", "close", "high_24h", "low_24h", "price_at_spike",
+         "period_open", "period_high", "period_low", "period_close", "hour_open", "hour_high", "hour_low", "hour_close"}
 
 
 @dataclass
@@ -57,6 +62,6 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = QuerySpec(name, fn, sql, list(doubles or []), headline)
+        REGISTRY[name] = QuerySpec(name, fn, sql, [c for c in doubles or [] if c not in EXACT], headline)
         return fn
     return deco

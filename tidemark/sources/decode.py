@@ -58,15 +58,23 @@ def bronze_records(envelope: DataFrame, audit: bool = True) -> DataFrame:
     return out.withColumn("event_time", epoch_ms_to_ts("timestamp"))
 
 
-def split_malformed(df: DataFrame, col: str, schema: StructType):
-    """(good, quarantine): rows whose JSON parsed, and the raw text of those
-    that did not — the stream goes on, nothing is silently dropped."""
+def route_malformed(df: DataFrame, col: str, schema: StructType) -> DataFrame:
+    """One pass: the declared fields where the JSON parsed (``route`` good), the
+    raw text where it did not (``route`` quarantine). Nothing is dropped."""
     parsed = df.withColumn("_d", F.from_json(F.col(col), with_corrupt(schema), PERMISSIVE))
-    bad_cond = F.col(f"_d.{CORRUPT}").isNotNull() | F.col(col).isNull()
+    bad = F.col(f"_d.{CORRUPT}").isNotNull() | F.col(col).isNull()
     keep = [c for c in df.columns if c != col]
-    good = parsed.filter(~bad_cond).select(*keep, *[F.col(f"_d.{f.name}").alias(f.name) for f in schema.fields])
-    bad = parsed.filter(bad_cond).select(*keep, F.col(col).alias("raw_text"))
-    return good, bad
+    return parsed.select(*keep, F.when(bad, "quarantine").otherwise("good").alias("route"),
+                         F.when(bad, F.col(col)).alias("raw_text"),
+                         *[F.col(f"_d.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def split_malformed(df: DataFrame, col: str, schema: StructType):
+    """(good, quarantine) as two tables; ``route_malformed`` gives both in one pass."""
+    routed = route_malformed(df, col, schema)
+    names = [f.name for f in schema.fields]
+    return (routed.filter("route = 'good'").drop("route", "raw_text"),
+            routed.filter("route = 'quarantine'").drop("route", *names))
 
 
 def normalize_ticker(raw: DataFrame, col: str = "raw_json") -> DataFrame:
@@ -205,12 +213,12 @@ def emit_on_change(polls: DataFrame, time_col: str = "poll_time", key_cols=("tim
     from a chunked lag (``plans.chunked.lag_by_key``), so a single global
     series is still spread over time buckets."""
     from ..plans.chunked import lag_by_key
-    p = polls.withColumn("_series", F.lit(0))
+    p = polls.withColumns({"_series": F.lit(0), "_seen": F.lit(True)})
     lagged = lag_by_key(p, ["_series"], time_col, [F.col(time_col), F.col(tie_col)],
-                        list(key_cols), prefix="_prev_")
+                        [*key_cols, "_seen"], prefix="_prev_")
     changed = None
     for k in key_cols:
         c = ~F.col(k).eqNullSafe(F.col(f"_prev_{k}"))
         changed = c if changed is None else changed | c
-    first = F.col(f"_prev_{key_cols[0]}").isNull() & F.col(f"_prev_{key_cols[1]}").isNull()
-    return lagged.filter(first | changed).drop("_series", *[f"_prev_{k}" for k in key_cols])
+    first = F.col("_prev__seen").isNull()  # a previous poll of nulls is a previous poll
+    return lagged.filter(first | changed).drop("_series", "_seen", "_prev__seen", *[f"_prev_{k}" for k in key_cols])

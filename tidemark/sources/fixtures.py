@@ -89,14 +89,15 @@ def _maybe_cut(text: F.Column, bad: F.Column) -> F.Column:
     return F.when(bad, F.substring(text, 1, (F.length(text) / 2).cast("int"))).otherwise(text)
 
 
-def kafka_price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the price topic holds: key = symbol, value = the 8-field JSON."""
+def kafka_price_records(spark: SparkSession, sf_dir: str, cut: bool = False) -> DataFrame:
+    """What the price topic holds: key = symbol, value = the 8-field JSON; with
+    ``cut`` every 97th message is broken (for queries about bad input)."""
     t = ticks(spark, sf_dir)
     value = F.to_json(F.struct("symbol", "price", "volume", "price_change_percent",
                                "high_24h", "low_24h", "timestamp", "human_time"))
     return t.select(
         F.col("symbol").cast("binary").alias("key"),
-        _maybe_cut(value, _malformed(F.col("kafka_offset"))).cast("binary").alias("value"),
+        (_maybe_cut(value, _malformed(F.col("kafka_offset"))) if cut else value).cast("binary").alias("value"),
         F.lit("crypto-prices").alias("topic"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
@@ -117,7 +118,7 @@ def raw_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("low_24h").cast("string").alias("l"),
         F.col("timestamp").alias("E")))
     return t.select(F.col("kafka_offset").alias("msg_id"),
-                    _maybe_cut(js, _malformed(F.col("kafka_offset"))).alias("raw_json"))
+                    js.alias("raw_json"))
 
 
 def sentiment_class(value) -> F.Column:
@@ -193,9 +194,9 @@ def rss_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newsapi_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search-API articles: the English documents again (the API is queried
-    with language=en), so they overlap the feed entries."""
-    d = table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    """Search-API articles: the documents again, so they overlap the feed
+    entries. (The API's own language parameter is not applied here.)"""
+    d = table(spark, sf_dir, "documents")
     base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     pub = base + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return d.select(
@@ -239,16 +240,13 @@ def market_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").alias("msg_id"), js.alias("raw_json"))
 
 
-TRENDING_LIST_SIZE = 15  # the trending endpoint answers with a short list
-
-
-def trending_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trending-coins answers: per brand, its first parts (by part key) as
-    coins (``coins: array<struct<item: struct<name>>>``). The list is bounded
-    before it is collected (a per-brand top-k, limited map side)."""
+def trending_payloads(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """Trending-coins answers: per brand, its first ``size`` parts (by part key)
+    as coins (``coins: array<struct<item: struct<name>>>``). The list is bounded
+    by what is asked for before it is collected (a per-brand top-k, limited map side)."""
     p = table(spark, sf_dir, "part")
     w = Window.partitionBy("p_brand").orderBy("p_partkey")
-    p = p.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= TRENDING_LIST_SIZE)
+    p = p.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= size)
     return (p.groupBy("p_brand")
              .agg(F.sort_array(F.collect_list(F.struct(F.col("p_partkey"), F.col("p_name"))))
                   .alias("_parts"))

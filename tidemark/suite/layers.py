@@ -5,12 +5,28 @@ the driver's tables)."""
 from __future__ import annotations
 
 from ..operators.candles import market_analytics, ohlc_candles
+from ..operators.maintenance import rebalanced
+from ..session import path_exists, scratch_path
 from ..sources.decode import bronze_records, kafka_envelope
 from ..sources.fixtures import base_ticks, kafka_price_records
 
 
-def bronze(spark, sf_dir, audit=False):
-    return bronze_records(kafka_envelope(kafka_price_records(spark, sf_dir)), audit=audit)
+def bronze(spark, sf_dir, audit=False, cut=False):
+    return bronze_records(kafka_envelope(kafka_price_records(spark, sf_dir, cut=cut)), audit=audit)
+
+
+_written: dict[tuple, str] = {}
+
+
+def bronze_table(spark, sf_dir):
+    """The bronze layer as serving reads it: written once per session and
+    input, partitioned by symbol, so symbol and time filters prune and push."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written or not path_exists(spark, _written[key]):
+        path = scratch_path(spark, "bronze-table")
+        rebalanced(bronze(spark, sf_dir), ["symbol"]).write.partitionBy("symbol").parquet(path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
 
 
 def silver(spark, sf_dir, interval="1 minute"):

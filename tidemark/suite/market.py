@@ -31,6 +31,12 @@ def q_ohlc_1hour(spark, sf_dir):
     return silver(spark, sf_dir, "1 hour")
 
 
+for _name, _interval in (("ohlc_5min", "5 minutes"), ("ohlc_15min", "15 minutes")):
+    register(_name, doubles=CANDLE_DOUBLES, sql=f"""
+WITH {BASE_TICKS}, {candles_cte(_interval)}
+SELECT {CANDLE_COLS} FROM candles""")(lambda spark, sf_dir, i=_interval: silver(spark, sf_dir, i))
+
+
 @register("vwap", doubles=["vwap", "total_volume"], sql=f"""
 WITH {BASE_TICKS}
 SELECT symbol, time_bucket(INTERVAL '1 day', event_time) AS day,

@@ -9,11 +9,11 @@ from ..operators.insights import market_sentiment, price_movements, sentiment_si
 from ..operators.maintenance import compact_table, register_layer_views, scan_path
 from ..operators.quality import (
     check_completeness, check_freshness, expectation_suite, quality_metric_rows, quality_metrics,
-    split_valid_invalid, validate_ohlc, validate_prices,
+    route_validated, validate_ohlc, validate_prices,
 )
 from ..operators.reports import (
     cumcount, describe_tables, direction_distribution, insight_counts, last_n_per_symbol,
-    latest_per_symbol, signal_distribution, throughput_stats, volatility_long,
+    latest_per_symbol, load_insights, signal_distribution, store_insights, throughput_stats, volatility_long,
 )
 from ..operators.warehouse import materialize_table, materialize_view, stg_crypto_prices
 from ..registry import register
@@ -46,10 +46,45 @@ def _insight_tables(spark, sf_dir):
             "sentiment_price_correlation": _corr(spark, sf_dir)}
 
 
-@register("load_insights", doubles=["btc_price_change", "eth_price_change"],
-          sql=f"SELECT * FROM ({CORR}) ORDER BY window_end")
+#: Per table: time, key and value column of the compared answer.
+INSIGHT_COLUMNS = {
+    "price_movements": ("window_end", "symbol", "price_change_pct"),
+    "volume_spikes": ("spike_time", "symbol", "spike_multiplier"),
+    "market_sentiment": ("recorded_time", "fear_greed_class", "fear_greed_index"),
+    "sentiment_price_correlation": ("window_end", "correlation_signal", "btc_price_change"),
+}
+SENTIMENT_ROWS = f"""WITH {SENTIMENT}
+SELECT event_time AS recorded_time, CAST(value AS INTEGER) AS fear_greed_index, classification AS fear_greed_class
+FROM sentiment"""
+INSIGHT_SQL = {"price_movements": MOVES, "volume_spikes": spikes_sql(), "market_sentiment": SENTIMENT_ROWS,
+               "sentiment_price_correlation": CORR}
+
+
+def insight_rows(tables):
+    """Rows of all insight tables side by side: table, time, key, value, stamped."""
+    out = None
+    for name, (t, k, v) in INSIGHT_COLUMNS.items():
+        df = tables[name]
+        stamped = F.col("created_at").isNotNull() if "created_at" in df.columns else F.lit(False)
+        one = df.select(F.lit(name).alias("table_name"), F.col(t).alias("at"), F.col(k).alias("key"),
+                        F.col(v).cast("double").alias("value"), stamped.alias("stamped"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def insight_rows_sql(sql, stamped: bool) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {t} AS at, {k} AS key, CAST({v} AS DOUBLE) AS value, {stamped} AS stamped FROM ({sql[name]})"
+        for name, (t, k, v) in INSIGHT_COLUMNS.items())
+
+
+@register("load_insights", doubles=["value"], sql=insight_rows_sql(INSIGHT_SQL, True))
 def q_load_insights(spark, sf_dir):
-    return _corr(spark, sf_dir).orderBy("window_end")
+    """All four tables, stored with their audit stamp and loaded again, each in the order of its own time."""
+    root = scratch_path(spark, "insights")
+    store_insights(_insight_tables(spark, sf_dir), root)
+    order = {name: t for name, (t, _, _) in INSIGHT_COLUMNS.items()}
+    return insight_rows(load_insights(spark, root, order))
 
 
 @register("insight_counts", sql=f"""
@@ -63,35 +98,35 @@ def q_insight_counts(spark, sf_dir):
 
 
 @register("latest_per_symbol", doubles=["avg_price", "price_change_pct"], sql=f"""
-SELECT symbol, arg_max(avg_price, window_end) AS avg_price,
-       arg_max(price_change_pct, window_end) AS price_change_pct, max(window_end) AS window_end
+SELECT symbol, arg_max(avg_price, (window_end, kafka_offset)) AS avg_price,
+       arg_max(price_change_pct, (window_end, kafka_offset)) AS price_change_pct, max(window_end) AS window_end
 FROM ({MOVES}) GROUP BY symbol""")
 def q_latest_per_symbol(spark, sf_dir):
     return latest_per_symbol(_moves(spark, sf_dir), "window_end",
-                             ["avg_price", "price_change_pct", "window_end"])
+                             ["avg_price", "price_change_pct", "window_end"], "kafka_offset")
 
 
 @register("last_n_per_symbol", doubles=["price_change_pct"], sql=f"""
 SELECT symbol, window_end, price_change_pct FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC, window_start DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC, kafka_offset DESC) AS rn
   FROM ({MOVES})) WHERE rn <= 10""")
 def q_last_n_per_symbol(spark, sf_dir):
-    return last_n_per_symbol(_moves(spark, sf_dir), "window_end", 10, "window_start").select(
+    return last_n_per_symbol(_moves(spark, sf_dir), "window_end", 10, "kafka_offset").select(
         "symbol", "window_end", "price_change_pct")
 
 
 @register("cumcount", sql=f"""
-SELECT symbol, window_end, row_number() OVER (PARTITION BY symbol ORDER BY window_end, window_start) - 1 AS n
+SELECT symbol, window_end, row_number() OVER (PARTITION BY symbol ORDER BY window_end, kafka_offset) - 1 AS n
 FROM ({MOVES})""")
 def q_cumcount(spark, sf_dir):
-    m = _moves(spark, sf_dir).select("symbol", "window_end", "window_start")
-    return cumcount(m, "window_end", "window_start").select("symbol", "window_end", "n")
+    m = _moves(spark, sf_dir).select("symbol", "window_end", "kafka_offset")
+    return cumcount(m, "window_end", "kafka_offset").select("symbol", "window_end", "n")
 
 
 @register("volatility_pivot", doubles=["volatility"], sql=f"""
 WITH m AS ({MOVES}),
 c AS (SELECT symbol, volatility,
-             row_number() OVER (PARTITION BY symbol ORDER BY window_end, window_start) - 1 AS n FROM m)
+             row_number() OVER (PARTITION BY symbol ORDER BY window_end, kafka_offset) - 1 AS n FROM m)
 SELECT symbol, n, avg(volatility) AS volatility FROM c
 WHERE (SELECT count(*) FROM m) > 20 GROUP BY symbol, n""")
 def q_volatility_pivot(spark, sf_dir):
@@ -121,24 +156,28 @@ def q_throughput_stats(spark, sf_dir):
     return throughput_stats(base_ticks(spark, sf_dir))
 
 
-@register("describe_tables", sql=f"""
-WITH {BASE_TICKS}, {SENTIMENT}
-SELECT 'market_sentiment' AS table_name, 'recorded_time,fear_greed_index,fear_greed_class' AS columns,
-       (SELECT count(*) FROM sentiment) AS row_count, 5 AS n_last
-UNION ALL
-SELECT 'volume_spikes', 'spike_time,symbol,volume,volume_baseline,spike_multiplier,price_at_spike',
-       (SELECT count(*) FROM ({spikes_sql()})), 5""")
+def _describe_sql() -> str:
+    parts = []
+    for name, (t, _, _) in INSIGHT_COLUMNS.items():
+        parts.append(f"""
+SELECT * FROM (SELECT '{name}' AS table_name, row_number() OVER (ORDER BY {t} DESC) AS nth, {t} AS at,
+       (SELECT string_agg(column_name, ',') FROM (DESCRIBE {INSIGHT_SQL[name]})) AS columns,
+       count(*) OVER () AS row_count
+FROM ({INSIGHT_SQL[name]})) WHERE nth <= 5""")
+    return " UNION ALL ".join(parts)
+
+
+@register("describe_tables", sql=_describe_sql())
 def q_describe_tables(spark, sf_dir):
-    t = {"market_sentiment": market_sentiment(sentiment(spark, sf_dir)),
-         "volume_spikes": volume_spikes(base_ticks(spark, sf_dir))}
-    d = describe_tables(t, {"market_sentiment": "recorded_time", "volume_spikes": "spike_time"})
-    return d.select("table_name", "columns", "row_count", F.size("last_rows").alias("n_last"))
+    order = {name: t for name, (t, _, _) in INSIGHT_COLUMNS.items()}
+    d = describe_tables(_insight_tables(spark, sf_dir), order)
+    return d.select("table_name", F.col("nth").cast("long").alias("nth"), "at", "columns", "row_count")
 
 
 # --- quality ---------------------------------------------------------------
 
 def _validated(spark, sf_dir):
-    return validate_prices(bronze(spark, sf_dir), validation_bounds(spark), AS_OF, bounds_rows=3)
+    return validate_prices(bronze(spark, sf_dir, cut=True), validation_bounds(spark), AS_OF)
 
 
 @register("quality_metrics", doubles=["validity_rate", "warning_rate"], sql=f"""
@@ -154,11 +193,12 @@ def q_quality_metrics(spark, sf_dir):
 
 
 @register("split_valid_invalid", sql=f"""
-WITH {VALIDATED} SELECT valid, count(*) AS n FROM validated GROUP BY 1""")
+WITH {VALIDATED}
+SELECT kafka_offset, symbol, CASE WHEN valid THEN 'valid' ELSE 'invalid' END AS route, errors_text FROM validated""")
 def q_split_valid_invalid(spark, sf_dir):
-    good, bad = split_valid_invalid(_validated(spark, sf_dir))
-    return (good.select(F.lit(True).alias("valid")).unionByName(bad.select(F.lit(False).alias("valid")))
-                .groupBy("valid").agg(F.count(F.lit(1)).alias("n")))
+    """Both sides in one pass over the validated records."""
+    return route_validated(_validated(spark, sf_dir)).select(
+        "kafka_offset", "symbol", "route", F.concat_ws("; ", "errors").alias("errors_text"))
 
 
 WARN_PREFIX = {"warn_price_bounds": "Price ", "warn_volume_bounds": "Volume ",
@@ -191,18 +231,19 @@ WITH {BASE_TICKS}, {candles_cte('1 hour')}
 SELECT symbol, window_start,
        concat_ws('; ',
          CASE WHEN high < low THEN 'High (' || CAST(high AS VARCHAR) || ') < Low (' || CAST(low AS VARCHAR) || ')' END,
-         CASE WHEN coalesce(volume, 0.0) < 0 THEN 'Negative volume' END) = '' AS valid,
+         CASE WHEN coalesce(volume, 0.0) < 0 THEN 'Negative volume' END) AS errors_text,
+       errors_text = '' AS valid,
        concat_ws('; ',
          CASE WHEN open > high THEN 'Open (' || CAST(open AS VARCHAR) || ') > High (' || CAST(high AS VARCHAR) || ')' END,
          CASE WHEN close < low THEN 'Close (' || CAST(close AS VARCHAR) || ') < Low (' || CAST(low AS VARCHAR) || ')' END,
-         CASE WHEN round(vwap, 9) < low OR round(vwap, 9) > high THEN 'VWAP outside OHLC range' END) AS warnings_text
+         CASE WHEN vwap < low - 1e-9 * abs(low) OR vwap > high + 1e-9 * abs(high) THEN
+           'VWAP (' || printf('%.6f', vwap) || ') outside OHLC range [' || CAST(low AS VARCHAR) || ', ' || CAST(high AS VARCHAR) || ']'
+         END) AS warnings_text
 FROM candles""")
 def q_validate_ohlc(spark, sf_dir):
-    c = ohlc_candles(base_ticks(spark, sf_dir), "1 hour").withColumn("vwap", F.round("vwap", 9))
-    v = validate_ohlc(c)
-    txt = F.concat_ws("; ", F.transform("warnings", lambda x: F.when(x.startswith("VWAP"), F.lit(
-        "VWAP outside OHLC range")).otherwise(x)))
-    return v.select("symbol", "window_start", "valid", txt.alias("warnings_text"))
+    v = validate_ohlc(ohlc_candles(base_ticks(spark, sf_dir), "1 hour"))
+    return v.select("symbol", "window_start", F.concat_ws("; ", "errors").alias("errors_text"), "valid",
+                    F.concat_ws("; ", "warnings").alias("warnings_text"))
 
 
 EXPECT_SQL = f"""

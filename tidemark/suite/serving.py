@@ -16,9 +16,9 @@ from ..operators.warehouse import dim_symbols, stg_crypto_prices
 from ..registry import register
 from ..sources.decode import decode_price_json, kafka_envelope
 from ..sources.fixtures import AS_OF, base_ticks, kafka_price_records, validation_bounds, ticks
-from .layers import bronze, gold, silver
+from .layers import bronze, bronze_table, gold, silver
 from .market import gold_sql
-from .sqlviews import BASE_TICKS, BRONZE, CANDLE_COLS, DIM, VALIDATED, candles_cte, moves_v2_sql
+from .sqlviews import BASE_TICKS, BRONZE, BRONZE_CUT, CANDLE_COLS, DIM, VALIDATED, candles_cte, moves_v2_sql
 
 SYMBOL = "BTCUSDT"
 PRICE_DOUBLES = ["price", "volume", "price_change_percent"]
@@ -37,12 +37,12 @@ BRONZE_DOUBLES = ["price", "volume", "price_change_percent", "high_24h", "low_24
 
 
 @register("decode_price_json", doubles=BRONZE_DOUBLES, sql=f"""
-WITH {BRONZE}
+WITH {BRONZE_CUT}
 SELECT symbol_key, symbol, price, volume, price_change_percent, high_24h, low_24h, "timestamp",
        human_time, kafka_timestamp, kafka_partition, kafka_offset
 FROM bronze""")
 def q_decode_price_json(spark, sf_dir):
-    return decode_price_json(kafka_envelope(kafka_price_records(spark, sf_dir)))
+    return decode_price_json(kafka_envelope(kafka_price_records(spark, sf_dir, cut=True)))
 
 
 @register("bronze_ingest", doubles=BRONZE_DOUBLES, sql=f"WITH {BRONZE} SELECT * FROM bronze")
@@ -62,7 +62,7 @@ SELECT symbol, price, volume, coalesce(price_change_percent, 0.0) AS price_chang
 FROM bronze b1
 WHERE event_time = (SELECT max(event_time) FROM bronze b2 WHERE b2.symbol = b1.symbol)""")
 def q_latest_price_correlated(spark, sf_dir):
-    return latest_price_correlated(spark, bronze(spark, sf_dir))
+    return latest_price_correlated(spark, bronze_table(spark, sf_dir))
 
 
 @register("latest_price_semi", doubles=PRICE_DOUBLES, sql=f"""
@@ -71,7 +71,7 @@ SELECT symbol, price, volume, price_change_percent, event_time
 FROM bronze
 WHERE (symbol, event_time) IN (SELECT symbol, max(event_time) FROM bronze GROUP BY symbol)""")
 def q_latest_price_semi(spark, sf_dir):
-    return latest_price_semi(bronze(spark, sf_dir))
+    return latest_price_semi(bronze_table(spark, sf_dir))
 
 
 @register("null_to_zero", doubles=["price_change_percent"], sql=f"""
@@ -91,7 +91,7 @@ FROM bronze
 WHERE symbol = '{SYMBOL}' AND event_time > TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
 ORDER BY event_time DESC, kafka_offset DESC LIMIT 100""")
 def q_price_history(spark, sf_dir):
-    return price_history(bronze(spark, sf_dir), SYMBOL.lower(), AS_OF, hours=24, limit=100)
+    return price_history(bronze_table(spark, sf_dir), SYMBOL.lower(), AS_OF, hours=24, limit=100)
 
 
 @register("price_history_simple", doubles=PRICE_DOUBLES, sql=f"""
@@ -100,7 +100,7 @@ SELECT symbol, price, volume, price_change_percent, event_time, kafka_offset
 FROM bronze WHERE symbol = 'ETHUSDT'
 ORDER BY event_time DESC, kafka_offset DESC LIMIT 50""")
 def q_price_history_simple(spark, sf_dir):
-    return price_history_simple(bronze(spark, sf_dir), "ethusdt", limit=50)
+    return price_history_simple(bronze_table(spark, sf_dir), "ethusdt", limit=50)
 
 
 @register("ohlc_latest", doubles=["open", "high", "low", "close", "volume", "vwap", "candle_change_pct"],
@@ -147,7 +147,7 @@ def q_list_symbols(spark, sf_dir):
 
 @register("recent_movements", doubles=["price_change_pct", "avg_price"], sql=f"""
 SELECT symbol, price_change_pct, avg_price, window_end, window_start
-FROM ({moves_v2_sql()}) ORDER BY window_end DESC, symbol DESC LIMIT 20""")
+FROM ({moves_v2_sql()}) ORDER BY window_end DESC, kafka_offset DESC LIMIT 20""")
 def q_recent_movements(spark, sf_dir):
     return recent_movements(price_movements(base_ticks(spark, sf_dir)))
 
@@ -159,7 +159,7 @@ def q_table_row_count(spark, sf_dir):
 
 @register("recent_summary", doubles=["avg_change", "min_price", "max_price", "avg_price_overall"], sql=f"""
 WITH m AS ({moves_v2_sql()}),
-r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC, window_start DESC) AS rn
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC, kafka_offset DESC) AS rn
       FROM m WHERE symbol IN ('BTCUSDT', 'ETHUSDT', 'BNBUSDT'))
 SELECT symbol, avg(price_change_pct) AS avg_change, min(avg_price) AS min_price,
        max(avg_price) AS max_price, avg(avg_price) AS avg_price_overall
@@ -179,7 +179,7 @@ def q_layer_counts(spark, sf_dir):
 
 
 def _metric_rows(spark, sf_dir):
-    res = validate_prices(bronze(spark, sf_dir), validation_bounds(spark), AS_OF, bounds_rows=3)
+    res = validate_prices(bronze(spark, sf_dir, cut=True), validation_bounds(spark), AS_OF)
     return quality_metric_rows(res, "bronze_prices", AS_OF)
 
 
@@ -227,7 +227,7 @@ def q_quality_metric_rows(spark, sf_dir):
 
 @register("validate_prices", sql=f"WITH {VALIDATED} SELECT * FROM validated")
 def q_validate_prices(spark, sf_dir):
-    res = validate_prices(bronze(spark, sf_dir), validation_bounds(spark), AS_OF, bounds_rows=3)
+    res = validate_prices(bronze(spark, sf_dir, cut=True), validation_bounds(spark), AS_OF)
     return res.select("kafka_offset", "symbol", "valid",
                       F.concat_ws("; ", "errors").alias("errors_text"),
                       F.concat_ws("; ", "warnings").alias("warnings_text"), "unknown_symbol")

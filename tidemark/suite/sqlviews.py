@@ -197,13 +197,13 @@ m AS (
 )
 SELECT event_time AS spike_time, symbol, volume, volume_baseline, spike_multiplier,
        price AS price_at_spike
-FROM m WHERE spike_multiplier >= {mult}"""
+FROM m WHERE spike_multiplier >= {mult} AND price IS NOT NULL"""
 
 
 SEQ_TICKS = """seqd AS (
     SELECT symbol, event_time, kafka_offset, price,
            row_number() OVER (PARTITION BY symbol ORDER BY event_time, kafka_offset) AS rn
-    FROM base_ticks
+    FROM base_ticks WHERE price IS NOT NULL
 )"""
 
 
@@ -223,7 +223,7 @@ win AS (
 )
 SELECT window_start, window_end, symbol,
        (last_price - first_price) / NULLIF(first_price, 0) * 100 AS price_change_pct,
-       avg_price, volatility
+       avg_price, volatility, kafka_offset
 FROM win
 WHERE n >= {min_points}
   AND abs((last_price - first_price) / NULLIF(first_price, 0) * 100) >= {threshold}"""
@@ -232,12 +232,13 @@ WHERE n >= {min_points}
 def moves_v1_sql(minutes: int = 20, min_points: int = 10) -> str:
     return f"""
 WITH {BASE_TICKS},
+priced AS (SELECT * FROM base_ticks WHERE price IS NOT NULL),
 win AS (
     SELECT a.symbol, a.event_time AS window_end, a.kafka_offset, a.price AS last_price,
            count(*) AS n, min(b.event_time) AS window_start,
            arg_min(b.price, (b.event_time, b.kafka_offset)) AS first_price,
            avg(b.price) AS avg_price
-    FROM base_ticks a JOIN base_ticks b
+    FROM priced a JOIN priced b
       ON a.symbol = b.symbol AND b.event_time > a.event_time - INTERVAL {minutes} MINUTE
      AND (b.event_time < a.event_time OR (b.event_time = a.event_time AND b.kafka_offset <= a.kafka_offset))
     GROUP BY a.symbol, a.event_time, a.kafka_offset, a.price
@@ -253,7 +254,7 @@ def asof_sql(minutes: int = 20, strict: bool = False) -> str:
 seqd AS (
     SELECT symbol, event_time, kafka_offset, price,
            row_number() OVER (PARTITION BY symbol ORDER BY event_time, kafka_offset) AS rn
-    FROM base_ticks WHERE symbol IN ('BTCUSDT', 'ETHUSDT')
+    FROM base_ticks WHERE symbol IN ('BTCUSDT', 'ETHUSDT') AND price IS NOT NULL
 ),
 st AS (
     SELECT a.symbol, a.event_time, a.kafka_offset, count(*) AS n_points,
@@ -322,7 +323,9 @@ SELECT event_time - INTERVAL 15 MINUTE AS window_start, event_time AS window_end
 FROM d"""
 
 
-BRONZE = TICKS + f""",
+def _bronze(bad: str) -> str:
+    """Bronze rows; where ``bad`` holds the message is broken on the wire."""
+    return TICKS + f""",
 bronze AS (
     SELECT symbol AS symbol_key,
            CASE WHEN bad THEN NULL ELSE symbol END AS symbol,
@@ -335,9 +338,13 @@ bronze AS (
            CASE WHEN bad THEN NULL ELSE {iso_ms('"timestamp"')} END AS human_time,
            epoch_ms(t."timestamp") AS kafka_timestamp, kafka_partition, kafka_offset,
            CASE WHEN bad THEN NULL ELSE epoch_ms(t."timestamp") END AS event_time
-    FROM (SELECT *, kafka_offset % 97 = 0 AS bad FROM ticks) AS t
+    FROM (SELECT *, {bad} AS bad FROM ticks) AS t
 )"""
 
+
+BRONZE = _bronze("FALSE")
+BRONZE_CUT = _bronze("kafka_offset % 97 = 0")
+
 TEST_BOUNDS_SQL = """bounds AS (
     SELECT * FROM (VALUES ('BTCUSDT', 1.0, 200.0, 0.0, 90.0), ('ETHUSDT', 1.0, 200.0, 0.0, 90.0),
                           ('BNBUSDT', 1.0, 200.0, 0.0, 90.0))
@@ -346,7 +353,7 @@ TEST_BOUNDS_SQL = """bounds AS (
 
 AS_OF_MS = "epoch_ms(TIMESTAMP '2024-01-31 00:00:00')"
 
-VALIDATED = BRONZE + ", " + TEST_BOUNDS_SQL + f""",
+VALIDATED = BRONZE_CUT + ", " + TEST_BOUNDS_SQL + f""",
 v0 AS (
     SELECT b.*, bd.min_price, bd.max_price, bd.min_volume, bd.max_volume,
            concat_ws('; ',
@@ -388,7 +395,7 @@ AS_OF_TS = "TIMESTAMP '2024-01-31 00:00:00'"
 
 RSS = f"""rss AS (
     SELECT 'news_article' AS type, md5(coalesce(text, '')) AS id, source,
-           coalesce(split_part(text, chr(10), 1), '') AS title,
+           coalesce(split_part(text, chr(10), 1), '') AS title, coalesce(text, '') AS summary, coalesce(text, '') AS link,
            CASE WHEN lang = 'en' THEN source END AS author0,
            coalesce(CASE WHEN lang IN ('en', 'fr') THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) END,
                     CASE WHEN lang <> 'de' THEN TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) + INTERVAL 30 SECOND END,
@@ -401,18 +408,18 @@ RSS = f"""rss AS (
 NEWSAPI = f"""newsapi AS (
     SELECT 'news_article' AS type, md5(coalesce(text, '')) AS id,
            CASE WHEN n_chars % 2 = 0 THEN source ELSE 'NewsAPI' END AS source,
-           coalesce(split_part(text, chr(10), 1), '') AS title,
+           coalesce(split_part(text, chr(10), 1), '') AS title, coalesce(text, '') AS summary, coalesce(text, '') AS link,
            source AS author0,
            CASE WHEN n_chars % 3 = 0 THEN {AS_OF_TS}
                 ELSE TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) END AS t,
            '' AS tags_text,
            doc_id AS entry_id, 0 AS source_rank
-    FROM documents WHERE lang = 'en'
+    FROM documents
 )"""
 
 
 def article_cols(src: str) -> str:
-    return f"""SELECT type, id, source, title, coalesce(author0, 'Unknown') AS author,
+    return f"""SELECT type, id, source, title, summary, link, coalesce(author0, 'Unknown') AS author,
        epoch_us(t) / 1e6 AS created_utc, epoch_ms({AS_OF_TS}) AS "timestamp",
        {iso_ts('t')} AS human_time, tags_text, entry_id, source_rank FROM {src}"""
 

@@ -11,7 +11,7 @@ from ..registry import register
 from ..sources.decode import (
     article_id, decode_sentiment_json, dedup_seen_ids, emit_on_change, news_union,
     normalize_market_data, normalize_newsapi, normalize_rss, normalize_sentiment,
-    normalize_ticker, split_malformed, trending_top,
+    normalize_ticker, route_malformed, trending_top,
 )
 from ..schemas import PRICE_SCHEMA
 from ..sources.fixtures import (
@@ -21,7 +21,7 @@ from ..sources.fixtures import (
 )
 from .layers import bronze
 from .sqlviews import (
-    AS_OF_TS, BRONZE, NEWSAPI, POLLS, RSS, SENTIMENT, TEST_BOUNDS_SQL, TICKS, article_cols,
+    AS_OF_TS, BRONZE, BRONZE_CUT, NEWSAPI, POLLS, RSS, SENTIMENT, TEST_BOUNDS_SQL, TICKS, article_cols,
     iso_ms, iso_ts,
 )
 
@@ -45,15 +45,14 @@ def q_epoch_ms_to_iso(spark, sf_dir):
 
 
 @register("skip_malformed", sql=f"""
-WITH {BRONZE}
-SELECT CASE WHEN symbol IS NULL THEN 'quarantine' ELSE 'good' END AS route, count(*) AS n
-FROM bronze GROUP BY 1""")
+WITH {BRONZE_CUT}
+SELECT kafka_offset AS "offset", CASE WHEN symbol IS NULL THEN 'quarantine' ELSE 'good' END AS route,
+       symbol, price, "timestamp", symbol IS NULL AS has_raw_text
+FROM bronze""")
 def q_skip_malformed(spark, sf_dir):
-    rec = kafka_price_records(spark, sf_dir).select(F.col("offset"), F.col("value").cast("string").alias("raw_json"))
-    good, bad = split_malformed(rec, "raw_json", PRICE_SCHEMA)
-    return (good.select(F.lit("good").alias("route"))
-                .unionByName(bad.select(F.lit("quarantine").alias("route")))
-                .groupBy("route").agg(F.count(F.lit(1)).alias("n")))
+    rec = kafka_price_records(spark, sf_dir, cut=True).select("offset", F.col("value").cast("string").alias("raw_json"))
+    return route_malformed(rec, "raw_json", PRICE_SCHEMA).select(
+        "offset", "route", "symbol", "price", "timestamp", F.col("raw_text").isNotNull().alias("has_raw_text"))
 
 
 @register("decode_sentiment_json", sql=f"""
@@ -158,16 +157,16 @@ FROM (SELECT p_brand AS poll_key, p_name, p_partkey,
              row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part)
 WHERE rn <= 5 GROUP BY 1""")
 def q_trending_top5(spark, sf_dir):
-    t = trending_top(trending_payloads(spark, sf_dir), 5)
+    t = trending_top(trending_payloads(spark, sf_dir, 5), 5)
     return t.select("poll_key", F.concat_ws("|", "trending").alias("trending"))
 
 
 def _articles_out(df):
-    return df.select("type", "id", "source", "title", "author", "created_utc", "timestamp",
+    return df.select("type", "id", "source", "title", "summary", "link", "author", "created_utc", "timestamp",
                      "human_time", F.concat_ws(",", "tags").alias("tags_text"), "entry_id")
 
 
-ART_SQL_COLS = 'type, id, source, title, author, created_utc, "timestamp", human_time, tags_text, entry_id'
+ART_SQL_COLS = 'type, id, source, title, summary, link, author, created_utc, "timestamp", human_time, tags_text, entry_id'
 
 
 @register("normalize_rss", doubles=["created_utc"], sql=f"""
@@ -218,5 +217,5 @@ WITH {BRONZE}, {TEST_BOUNDS_SQL}
 SELECT b.kafka_offset, b.symbol, bd.min_price, bd.max_price, bd.min_volume, bd.max_volume
 FROM bronze b LEFT JOIN bounds bd ON b.symbol = bd.symbol""")
 def q_bounds_lookup(spark, sf_dir):
-    j = bounds_lookup(bronze(spark, sf_dir), validation_bounds(spark), bounds_rows=3)
+    j = bounds_lookup(bronze(spark, sf_dir), validation_bounds(spark))
     return j.select("kafka_offset", "symbol", "min_price", "max_price", "min_volume", "max_volume")
