@@ -79,9 +79,8 @@ def start_all(queries: list[StreamingQuery]) -> None:
     (or fail), then stop the rest, so a failure is never left half-running."""
     if not queries:
         return
-    spark = queries[0].sparkSession
     try:
-        spark.streams.awaitAnyTermination()
+        SparkSession.active().streams.awaitAnyTermination()
     finally:
         for q in queries:
             if q.isActive:

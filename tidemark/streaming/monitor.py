@@ -1,17 +1,16 @@
 """Stream progress.
 
-Counts come from Spark's own progress events (``StreamingQueryProgress``),
-not from counters in user code: rows per batch, input and processing rates.
+Rows per batch are recorded in a table by the sink itself (``BatchLog``); rates
+come from Spark's progress events (``StreamingQueryProgress``) through a
+listener attached before the queries start.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-PROGRESS_SCHEMA = ("query_name string, batch_id long, num_input_rows long, "
-                   "input_rows_per_second double, processed_rows_per_second double")
-
 
 class ProgressCollector(StreamingQueryListener):
     """Keeps the progress events of all queries of a session (driver side;
@@ -35,10 +34,38 @@ class ProgressCollector(StreamingQueryListener):
         pass
 
 
-def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    rows = []
-    for q in queries:
-        for p in q.recentProgress:
-            rows.append((p.name, p.batchId, p.numInputRows, float(p.inputRowsPerSecond or 0.0),
-                         float(p.processedRowsPerSecond or 0.0)))
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+def collect_progress(spark: SparkSession) -> ProgressCollector:
+    """Attach a collector; do it before the queries start, so none of their
+    batches is missed (a query itself only remembers its last records)."""
+    c = ProgressCollector()
+    spark.streams.addListener(c)
+    return c
+
+
+class BatchLog:
+    """``foreachBatch`` handler that writes each micro-batch, then records its
+    number and row count in a table next to it. The counts are read back from
+    that table, one row per batch however many there were; a retried batch
+    replaces its own folders."""
+
+    def __init__(self, out_path: str, log_path: str, then=None):
+        self.out, self.log, self.then = out_path, log_path, then
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, path = batch.sparkSession, f"{self.out}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        written = spark.read.schema(batch.schema).parquet(path)
+        if self.then:
+            self.then(written, batch_id)
+        (written.agg(F.count(F.lit(1)).alias("num_input_rows"))
+                .write.mode("overwrite").parquet(f"{self.log}/batch_id={batch_id}"))
+
+
+def logged_stream(df: DataFrame, out_path: str, log_path: str, checkpoint: str, then=None) -> StreamingQuery:
+    return (df.writeStream.foreachBatch(BatchLog(out_path, log_path, then))
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def batch_table(spark: SparkSession, log_path: str) -> DataFrame:
+    """(num_input_rows, batch_id) of every batch recorded."""
+    return spark.read.parquet(log_path)

@@ -8,10 +8,14 @@ which is what tests and registered queries use.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import hadoop_path
+
 # Topic names of the reference's configuration (fixed values).
 TOPIC_PRICES = "crypto-prices"
 TOPIC_MARKET = "crypto-market-data"
@@ -73,9 +77,20 @@ def sink_table_append(df: DataFrame, path: str, checkpoint: str, partition_by=("
     return w.start()
 
 
-def sink_console(df: DataFrame, checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Debug sink: rows to the console, untruncated."""
-    w = df.writeStream.format("console").option("truncate", "false").outputMode("append")
+def console_rows(rows: int):
+    """Handler that prints the first ``rows`` rows of a micro-batch."""
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"Batch: {batch_id}")
+        batch.show(rows, truncate=False)
+    return show
+
+
+def sink_console(df: DataFrame, checkpoint: str | None = None, available_now: bool = True,
+                 rows: int = 20) -> StreamingQuery:
+    """Debug sink: the first ``rows`` rows of each micro-batch to the console,
+    untruncated. Only those reach the driver (Spark's own console sink
+    collects the whole batch first)."""
+    w = df.writeStream.foreachBatch(console_rows(rows))
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     if available_now:
@@ -99,29 +114,29 @@ def write_kafka(df: DataFrame, topic: str, bootstrap_servers: str, key_col: str,
         .option("topic", topic).save())
 
 
-def replay_as_files(df: DataFrame, path: str, time_col: str, parts: int = 4, fmt: str = "json",
-                    only: list[int] | None = None) -> list[str]:
-    """Write ``df`` as ``parts`` time-ordered file groups, one after another,
-    so a file stream (one group per trigger) sees them in event-time order —
-    a stand-in for a topic being consumed. Boundaries come from
-    ``approxQuantile`` (a handful of numbers reach the driver)."""
-    import time as _time
-    secs = F.unix_micros(F.col(time_col).cast("timestamp"))
-    d = df.withColumn("_us", secs)
-    qs = d.approxQuantile("_us", [i / parts for i in range(1, parts)], 0.0) if parts > 1 else []
-    bounds = [None, *qs, None]
-    out = []
-    for i in range(parts):
-        if only is not None and i not in only:
-            continue
-        lo, hi = bounds[i], bounds[i + 1]
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_us") >= F.lit(int(lo)))
-        if hi is not None:
-            cond = cond & (F.col("_us") < F.lit(int(hi)))
-        target = f"{path}/part-group-{i:04d}"
-        d.filter(cond).drop("_us").write.mode("overwrite").format(fmt).save(target)
-        out.append(target)
-        _time.sleep(0.05)  # distinct modification times keep the groups in order
-    return out
+def stage_replay(df: DataFrame, path: str, time_col: str, parts: int = 4, fmt: str = "json") -> list[str]:
+    """Write ``df`` once, range-partitioned into at most ``parts`` files in time
+    order (null times first), outside the watched folder. Returns the files
+    in order (a listing; the rows stay on the executors)."""
+    staged = f"{path}-staged"
+    df.repartitionByRange(parts, F.col(time_col).asc_nulls_first()).write.mode("overwrite").format(fmt).save(staged)
+    fs, p = hadoop_path(df.sparkSession, staged)
+    return sorted(str(st.getPath()) for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
+
+
+def release(spark: SparkSession, files: list[str], path: str) -> None:
+    """Move staged files into the watched folder, the first with the oldest
+    modification time: a file stream takes them in that order."""
+    fs, folder = hadoop_path(spark, path)
+    fs.mkdirs(folder)
+    now = int(time.time() * 1000)
+    for i, f in enumerate(files):
+        target = folder.suffix("/" + f.rsplit("/", 1)[1])
+        fs.rename(hadoop_path(spark, f)[1], target)
+        fs.setTimes(target, now - 1000 * (len(files) - i), -1)
+
+
+def replay_as_files(df: DataFrame, path: str, time_col: str, parts: int = 4, fmt: str = "json") -> None:
+    """A stand-in for a topic being consumed: ``df`` as time-ordered files for
+    a file stream that takes one per trigger."""
+    release(df.sparkSession, stage_replay(df, path, time_col, parts, fmt), path)

@@ -24,63 +24,81 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.insights import CORR_SYMBOLS, asof_state, signals_from_asof
+from ..session import hadoop_path, path_exists
 
 GEN = "_gen"
 TICK_COLUMNS = ["symbol", "price", "volume", "event_time", "kafka_offset"]
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def latest_committed(spark: SparkSession, root: str, before: int) -> str | None:
-    """Path of the newest ``root/<n>`` with a success marker and n < before.
+    """Path of the newest ``root/<n>`` with a success marker and n < before;
+    None for batch 0, which has no past. Batches are handled in order and each
+    one writes its tail, so a later batch without any is an error: going on
+    would silently restart the baselines.
     The previous batch id is probed first (one existence check); only when
     it is missing is the folder listed (metadata only)."""
-    fs, p = _fs(spark, root)
-    if before > 0:
-        prev = p.suffix(f"/{before - 1}/_SUCCESS")
-        if fs.exists(prev):
-            return f"{root}/{before - 1}"
-    if not fs.exists(p):
+    if before <= 0:
         return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.isdigit() and int(name) < before:
-            if fs.exists(st.getPath().suffix("/_SUCCESS")) and (best is None or int(name) > best):
-                best = int(name)
-    return None if best is None else f"{root}/{best}"
+    if path_exists(spark, f"{root}/{before - 1}/_SUCCESS"):
+        return f"{root}/{before - 1}"
+    best = max((n for n in _committed(spark, root, "") if n < before), default=None)
+    if best is None:
+        raise RuntimeError(f"no carried tail before batch {before} under {root}")
+    return f"{root}/{best}"
+
+
+def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Numbers of the ``root/<prefix><n>`` folders with a success marker (metadata only)."""
+    fs, p = hadoop_path(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    ids = [int(x[len(prefix):]) for x in names if x.startswith(prefix) and x[len(prefix):].isdigit()]
+    return [n for n in ids if path_exists(spark, f"{root}/{prefix}{n}/_SUCCESS")]
+
+
+def read_batches(spark: SparkSession, root: str) -> DataFrame:
+    """All finished batch folders of an output; unfinished ones are left out."""
+    done = sorted(_committed(spark, root, "batch_id="))
+    return spark.read.option("basePath", root).parquet(*[f"{root}/batch_id={n}" for n in done])
 
 
 class TailCarry:
     """``foreachBatch`` handler running ``op(ticks, carry=[...])`` over the
-    carried tail plus the new rows."""
+    carried tail plus the new rows.
+
+    Rows without a key, a time or one of the ``required`` columns are left out
+    before the tail is taken: they never take up places of a frame. With
+    ``by_day`` the output's folders are partitioned by the order column's day,
+    for readers that need recent rows only.
+    """
 
     def __init__(self, op: Callable[..., DataFrame], tail_rows: int, out_path: str, state_path: str,
                  columns: list[str] = TICK_COLUMNS, key: str = "symbol",
                  order: tuple[str, str] = ("event_time", "kafka_offset"),
-                 summary_path: str | None = None):
+                 summary_path: str | None = None, required: list[str] = (), by_day: bool = False):
         self.op, self.k, self.out, self.state = op, tail_rows, out_path, state_path
         self.columns, self.key, self.order = list(columns), key, order
-        self.summary = summary_path
+        self.summary, self.by_day = summary_path, by_day
+        self.required = [key, order[0], *required]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cur = (batch.select(*self.columns)
-                    .filter(F.col(self.key).isNotNull() & F.col(self.order[0]).isNotNull())
+                    .dropna(subset=self.required)
                     .withColumn(GEN, F.lit(1)))
         prev = latest_committed(spark, self.state, batch_id)
         u = cur if prev is None else spark.read.parquet(prev).withColumn(GEN, F.lit(0)).unionByName(cur)
         u = u.persist()
         try:
             out = self.op(u, carry=[GEN]).filter(F.col(GEN) == 1).drop(GEN)
-            out.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+            w = out.write
+            if self.by_day:
+                w = out.withColumn("day", F.to_date(self.order[0])).write.partitionBy("day")
+            w.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
             if self.summary:
                 # newest output row per (key, day): lets readers skip old history
-                written = batch.sparkSession.read.parquet(f"{self.out}/batch_id={batch_id}")
+                written = spark.read.parquet(f"{self.out}/batch_id={batch_id}").select(*out.columns)
                 t = self.order[0]
                 last = (written.groupBy(self.key, F.to_date(t).alias("_day"))
                                .agg(F.max_by(F.struct(*written.columns), F.struct(*[F.col(c) for c in self.order]))
@@ -95,7 +113,23 @@ class TailCarry:
             u.unpersist()
 
 
-def run_tail_carry(stream: DataFrame, handler: TailCarry, checkpoint: str, available_now: bool = True):
+class Fanout:
+    """One pass over a stream for several ``foreachBatch`` handlers, run one
+    after another; each replaces its own folders when a batch is retried."""
+
+    def __init__(self, *handlers):
+        self.handlers = handlers
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for h in self.handlers:
+                h(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+
+def run_tail_carry(stream: DataFrame, handler: Callable, checkpoint: str, available_now: bool = True):
     w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
@@ -104,24 +138,25 @@ def run_tail_carry(stream: DataFrame, handler: TailCarry, checkpoint: str, avail
 class SentimentJoin:
     """``foreachBatch`` handler for the sentiment stream. The price stream's
     handler appends, per tick, the window state the correlation reads
-    (``correlation_state``) and a per-(symbol, day) summary of its newest
-    state. Each sentiment micro-batch is as-of joined (``plans.asof``) to the
-    state rows from the day before its first reading on, plus the day
-    summaries before that — exact, and the history read per batch does not
-    grow with the length of the stream."""
+    (``correlation_state``), partitioned by day, and a per-(symbol, day)
+    summary of its newest state. Each sentiment micro-batch is as-of joined
+    (``plans.asof``) to the state rows from the day before its first reading
+    on (older day folders are pruned), plus the day summaries before that: one
+    row per symbol and day. Only finished batch folders are read. A batch
+    without any time writes an empty result."""
 
     def __init__(self, state_table: str, summary_table: str, out_path: str, symbols=CORR_SYMBOLS,
-                 time_col: str = "event_time"):
+                 time_col: str = "event_time", stamp: bool = False):
         self.state, self.summary, self.out = state_table, summary_table, out_path
-        self.symbols, self.t = symbols, time_col
+        self.symbols, self.t, self.stamp = symbols, time_col, stamp
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = batch.agg(F.min(self.t).alias("lo")).first().lo  # one scalar
-        if first is None:
-            return
-        lo = F.date_sub(F.to_date(F.lit(first)), 1).cast("timestamp_ntz")
-        recent = spark.read.parquet(self.state).drop("batch_id").filter(F.col(self.t) >= lo)
-        older = spark.read.parquet(self.summary).drop("batch_id").filter(F.col(self.t) < lo)
+        day = F.date_sub(F.to_date(F.lit(first).cast("timestamp_ntz")), 1)
+        recent = read_batches(spark, self.state).filter(F.col("day") >= day).drop("batch_id", "day")
+        older = read_batches(spark, self.summary).drop("batch_id").filter(F.col(self.t) < day.cast("timestamp_ntz"))
         out = signals_from_asof(asof_state(batch, recent.unionByName(older), self.symbols))
+        if self.stamp:
+            out = out.withColumn("created_at", F.current_timestamp())
         out.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")

@@ -10,17 +10,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.insights import price_movements, volume_spikes
+from ..operators.insights import correlation_state, market_sentiment, price_movements, volume_spikes
 from ..registry import register
 from ..session import scratch_path
 from ..sources.fixtures import kafka_price_records, newsapi_articles, rss_entries, sentiment, AS_OF
 from ..sources.decode import decode_price_json, kafka_envelope
 from ..streaming.medallion import bronze_stream, run_medallion
-from ..streaming.sources import KAFKA_RECORD_SCHEMA, read_stream, replay_as_files, split_topics
-from ..streaming.stateful import TailCarry, run_tail_carry
+from ..streaming.sources import (
+    KAFKA_RECORD_SCHEMA, console_rows, read_stream, release, replay_as_files, stage_replay,
+)
+from ..streaming.stateful import Fanout, SentimentJoin, TailCarry, read_batches, run_tail_carry
 from .insights import TEST_MINUTES
 from .market import gold_sql
-from .sqlviews import BRONZE, candles_cte, spikes_sql
+from .reports import INSIGHT_COLUMNS, SENTIMENT_ROWS, insight_rows, insight_rows_sql
+from .sqlviews import BRONZE, candles_cte, moves_v2_sql, signals_v2_sql, spikes_sql
 
 PARTS = 4
 
@@ -36,6 +39,12 @@ def _price_topic(spark, sf_dir):
     return path
 
 
+def _run(df, out, ck, **options):
+    """An append-only file sink run over what is there; returns when it is done."""
+    w = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).options(**options)
+    w.trigger(availableNow=True).start().awaitTermination()
+
+
 def _stream(spark, path, per_trigger=None):
     return read_stream(spark, "json", path=path, schema=KAFKA_RECORD_SCHEMA, max_per_trigger=per_trigger)
 
@@ -114,15 +123,26 @@ def q_pipeline_lifecycle(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _tail_run(spark, sf_dir, op, k, name):
-    topic = _price_topic(spark, sf_dir)
-    ticks = decode_price_json(kafka_envelope(_stream(spark, topic, per_trigger=8)))
-    ticks = ticks.withColumn("event_time", F.timestamp_millis("timestamp").cast("timestamp_ntz"))
+def _tick_stream(spark, sf_dir):
+    """Decoded ticks, one time-ordered file group per micro-batch."""
+    ticks = decode_price_json(kafka_envelope(_stream(spark, _price_topic(spark, sf_dir), per_trigger=1)))
+    return ticks.withColumn("event_time", F.timestamp_millis("timestamp").cast("timestamp_ntz"))
+
+
+def _tail_run(spark, sf_dir, op, k, name, required=()):
+    """Output of a tail-carry operator over several micro-batches, with their number as ``batch_id``."""
     out, state, ck = (scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-state"),
                       scratch_path(spark, f"{name}-ckpt"))
-    q = run_tail_carry(ticks, TailCarry(op, k, out, state), ck)
-    q.awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    run_tail_carry(_tick_stream(spark, sf_dir), TailCarry(op, k, out, state, required=required), ck).awaitTermination()
+    return read_batches(spark, out)
+
+
+def spikes_op(t, carry):
+    return volume_spikes(t, carry=carry)
+
+
+def moves_op(t, carry):
+    return price_movements(t, minutes=TEST_MINUTES, carry=carry)
 
 
 VALID_TICKS_SRC = VALID_BRONZE + """,
@@ -140,18 +160,16 @@ def _over_valid(sql: str) -> str:
           doubles=["volume", "volume_baseline", "spike_multiplier", "price_at_spike"],
           sql=None)
 def q_stateful_volume_baseline(spark, sf_dir):
-    return _tail_run(spark, sf_dir, lambda t, carry: volume_spikes(t, carry=carry), 49, "spikes")
+    return _tail_run(spark, sf_dir, spikes_op, 49, "spikes").drop("batch_id")
 
 
 @register("stateful_price_window", doubles=["price_change_pct", "avg_price", "volatility"], sql=None)
 def q_stateful_price_window(spark, sf_dir):
-    return _tail_run(spark, sf_dir, lambda t, carry: price_movements(t, minutes=TEST_MINUTES, carry=carry),
-                     99, "moves")
+    return _tail_run(spark, sf_dir, moves_op, 99, "moves", required=["price"]).drop("batch_id")
 
 
 def _fix_stateful_sql():
     from ..registry import REGISTRY
-    from .sqlviews import moves_v2_sql, spikes_sql
     REGISTRY["stateful_volume_baseline"].sql = _over_valid(spikes_sql())
     REGISTRY["stateful_price_window"].sql = _over_valid(moves_v2_sql(TEST_MINUTES))
 
@@ -165,8 +183,7 @@ def q_src_kafka_tail(spark, sf_dir):
     topic = _price_topic(spark, sf_dir)
     s = bronze_stream(_stream(spark, topic)).select("symbol", "price", "price_change_percent", "event_time")
     out, ck = scratch_path(spark, "tail-out"), scratch_path(spark, "tail-ckpt")
-    s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .trigger(availableNow=True).start().awaitTermination()
+    _run(s, out, ck)
     return spark.read.parquet(out)
 
 
@@ -186,14 +203,15 @@ def q_src_multi_topic(spark, sf_dir):
                     F.col("msg_id").alias("offset"), F.col("event_time").cast("timestamp").alias("timestamp"),
                     F.lit(0).alias("timestampType"))
     rec.unionByName(srec).write.mode("overwrite").json(path)
-    both = split_topics(_stream(spark, path), ["crypto-prices", "crypto-fear-greed"])
-    outs = []
-    for t, df in both.items():
-        out, ck = scratch_path(spark, f"mt-{t}"), scratch_path(spark, f"mt-{t}-ckpt")
-        df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-            .trigger(availableNow=True).start().awaitTermination()
-        outs.append(spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("topic"), "n"))
-    return outs[0].unionByName(outs[1])
+    # one subscription, read once: the sink's folders split it by topic
+    out, ck = scratch_path(spark, "topics-out"), scratch_path(spark, "topics-ckpt")
+    w = _stream(spark, path).writeStream.format("parquet").partitionBy("topic").option("path", out)
+    w.option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+# How long a news id is remembered after its article's time: longer than feeds repeat their entries.
+NEWS_DEDUP_HORIZON = "45 days"
 
 
 @register("dedup_stream", sql="SELECT DISTINCT md5(coalesce(text, '')) AS id FROM documents")
@@ -205,10 +223,9 @@ def q_dedup_stream(spark, sf_dir):
     arts.withColumn("t", F.timestamp_seconds("created_utc")).write.mode("overwrite").parquet(path)
     schema = spark.read.parquet(path).schema
     s = (spark.readStream.schema(schema).parquet(path)
-              .withWatermark("t", "3650 days").dropDuplicatesWithinWatermark(["id"]))
+              .withWatermark("t", NEWS_DEDUP_HORIZON).dropDuplicatesWithinWatermark(["id"]))
     out, ck = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
-    s.select("id").writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .trigger(availableNow=True).start().awaitTermination()
+    _run(s.select("id"), out, ck)
     return spark.read.parquet(out)
 
 
@@ -222,9 +239,10 @@ def q_checkpoint_recovery(spark, sf_dir):
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", "timestamp", "timestampType")
     out, ck = scratch_path(spark, "recovery-out"), scratch_path(spark, "recovery-ckpt")
-    replay_as_files(rec, src, "timestamp", PARTS, only=[0, 1])
+    files = stage_replay(rec, src, "timestamp", PARTS)
+    release(spark, files[:2], src)
     sink_table_append(bronze_stream(_stream(spark, src)), out, ck).awaitTermination()
-    replay_as_files(rec, src, "timestamp", PARTS, only=[2, 3])
+    release(spark, files[2:], src)
     sink_table_append(bronze_stream(_stream(spark, src)), out, ck).awaitTermination()
     return spark.read.parquet(out).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
 
@@ -234,8 +252,7 @@ WITH {BRONZE} SELECT symbol_key, kafka_partition AS "partition", kafka_offset AS
 def q_src_kafka_stream(spark, sf_dir):
     s = kafka_envelope(_stream(spark, _price_topic(spark, sf_dir))).select("symbol_key", "partition", "offset")
     out, ck = scratch_path(spark, "env-out"), scratch_path(spark, "env-ckpt")
-    s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .trigger(availableNow=True).start().awaitTermination()
+    _run(s, out, ck)
     return spark.read.parquet(out)
 
 
@@ -246,8 +263,7 @@ def q_src_table_stream(spark, sf_dir):
     p = _medallion(spark, sf_dir, ("bronze",))
     s = read_table_stream(spark, p.table("bronze")).select("symbol")
     out, ck = scratch_path(spark, "tbl-out"), scratch_path(spark, "tbl-ckpt")
-    s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .trigger(availableNow=True).start().awaitTermination()
+    _run(s, out, ck)
     return spark.read.parquet(out).filter(F.col("symbol").isNotNull()).groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -292,65 +308,52 @@ def q_sink_kafka_keyed(spark, sf_dir):
     return r.select("key", "v.symbol", "v.price", "v.timestamp")
 
 
-@register("sink_insight_tables", sql=f"""
-SELECT symbol, count(*) AS n FROM ({_over_valid(spikes_sql())}) GROUP BY 1""")
-def q_sink_insight_tables(spark, sf_dir):
-    """The spikes table as appended batch by batch (one folder per batch id)."""
-    return _tail_run(spark, sf_dir, lambda t, carry: volume_spikes(t, carry=carry), 49, "sink") \
-        .groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+def _logged(spark, sf_dir, name, per_trigger, then=None):
+    """Bronze symbols through a sink that records each batch; the table of its records."""
+    from ..streaming.monitor import batch_table, logged_stream
+    s = bronze_stream(_stream(spark, _price_topic(spark, sf_dir), per_trigger=per_trigger)).select("symbol", "price", "event_time")
+    out, log, ck = (scratch_path(spark, f"{name}-{x}") for x in ("out", "log", "ckpt"))
+    logged_stream(s, out, log, ck, then).awaitTermination()
+    return batch_table(spark, log)
 
 
 @register("rate_limit_input", sql=f"WITH {BRONZE} SELECT count(*) AS rows_in, TRUE AS several_batches FROM bronze")
 def q_rate_limit_input(spark, sf_dir):
-    from ..streaming.monitor import progress_table
-    topic = _price_topic(spark, sf_dir)
-    s = bronze_stream(_stream(spark, topic, per_trigger=1)).select("symbol")
-    out, ck = scratch_path(spark, "rl-out"), scratch_path(spark, "rl-ckpt")
-    q = s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
-    prog = progress_table(spark, [q]).filter(F.col("num_input_rows") > 0)
-    return prog.agg(F.sum("num_input_rows").alias("rows_in"),
-                    (F.count(F.lit(1)) >= PARTS).alias("several_batches"))
+    log = _logged(spark, sf_dir, "rate-limit", 1).filter(F.col("num_input_rows") > 0)
+    return log.agg(F.sum("num_input_rows").alias("rows_in"), (F.count(F.lit(1)) >= PARTS).alias("several_batches"))
 
 
 @register("progress_stats", sql=f"WITH {BRONZE} SELECT count(*) AS rows_in FROM bronze")
 def q_progress_stats(spark, sf_dir):
-    from ..streaming.monitor import progress_table
-    s = bronze_stream(_stream(spark, _price_topic(spark, sf_dir), per_trigger=2)).select("symbol")
-    out, ck = scratch_path(spark, "pg-out"), scratch_path(spark, "pg-ckpt")
-    q = s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
-    return progress_table(spark, [q]).agg(F.sum("num_input_rows").alias("rows_in"))
+    return _logged(spark, sf_dir, "progress", 2).agg(F.sum("num_input_rows").alias("rows_in"))
 
 
 @register("stateful_sentiment_join", doubles=["btc_price_change", "eth_price_change"], sql=None)
 def q_stateful_sentiment_join(spark, sf_dir):
     """Price stream (carried tail) appends per-tick window states; the
     sentiment stream then as-of joins each micro-batch to them."""
-    from ..operators.insights import correlation_state
-    from ..streaming.stateful import SentimentJoin
-    topic = _price_topic(spark, sf_dir)
-    ticks = decode_price_json(kafka_envelope(_stream(spark, topic, per_trigger=8)))
-    ticks = ticks.withColumn("event_time", F.timestamp_millis("timestamp").cast("timestamp_ntz"))
-    states, tails, ck = (scratch_path(spark, "sj-states"), scratch_path(spark, "sj-tail"),
-                         scratch_path(spark, "sj-ckpt"))
-    days = scratch_path(spark, "sj-days")
+    return read_batches(spark, _correlate(spark, sf_dir, [], [])).drop("batch_id")
+
+
+def _correlate(spark, sf_dir, price_handlers, sentiment_handlers, stamp=False):
+    """Runs the price stream (states and ``price_handlers``), then the
+    sentiment stream (the join and ``sentiment_handlers``); the join's output folder."""
+    states, tails, days, out = (scratch_path(spark, f"sj-{x}") for x in ("states", "tail", "days", "out"))
     op = lambda t, carry: correlation_state(t, TEST_MINUTES, carry=carry)
-    run_tail_carry(ticks, TailCarry(op, 9, states, tails, summary_path=days), ck).awaitTermination()
-    spath = scratch_path(spark, "topic-sentiment")
-    sentiment(spark, sf_dir).write.mode("overwrite").parquet(spath)
-    ss = spark.readStream.schema(spark.read.parquet(spath).schema).option("maxFilesPerTrigger", 1).parquet(spath)
-    sout, sck = scratch_path(spark, "sj-out"), scratch_path(spark, "sj-sckpt")
-    ss.writeStream.foreachBatch(SentimentJoin(states, days, sout)).option(
-        "checkpointLocation", sck).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(sout).drop("batch_id")
+    carry = TailCarry(op, 9, states, tails, summary_path=days, required=["price"], by_day=True)
+    run_tail_carry(_tick_stream(spark, sf_dir), Fanout(carry, *price_handlers), scratch_path(spark, "sj-ckpt")).awaitTermination()
+    topic = scratch_path(spark, "topic-sentiment")
+    readings = sentiment(spark, sf_dir)
+    replay_as_files(readings, topic, "event_time", PARTS, fmt="parquet")
+    s = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(topic)
+    join = Fanout(SentimentJoin(states, days, out, stamp=stamp), *sentiment_handlers)
+    (s.writeStream.foreachBatch(join).option("checkpointLocation", scratch_path(spark, "sj-sckpt"))
+      .trigger(availableNow=True).start().awaitTermination())
+    return out
 
 
 def _fix_sentiment_sql():
     from ..registry import REGISTRY
-    from .sqlviews import signals_v2_sql
     sql = signals_v2_sql(TEST_MINUTES)
     # state over the decodable ticks only, as the stream sees them
     sql = sql.replace("FROM base_ticks WHERE symbol IN", "FROM vticks WHERE symbol IN", 1)
@@ -373,13 +376,13 @@ def q_emit_on_change_stream(spark, sf_dir):
     src = scratch_path(spark, "topic-polls")
     replay_as_files(polls, src, "poll_time", PARTS, fmt="parquet")
     s = spark.readStream.schema(polls.schema).option("recursiveFileLookup", "true") \
-        .option("maxFilesPerTrigger", 2).parquet(src)
+        .option("maxFilesPerTrigger", 1).parquet(src)
     out, st, ck = (scratch_path(spark, "eoc-out"), scratch_path(spark, "eoc-state"),
                    scratch_path(spark, "eoc-ckpt"))
     handler = TailCarry(lambda t, carry: emit_on_change(t), 1, out, st, columns=polls.columns,
                         key="_series", order=("poll_time", "poll_id"))
     run_tail_carry(s, handler, ck).awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return read_batches(spark, out).drop("batch_id")
 
 
 def _fix_emit_sql():
@@ -393,11 +396,24 @@ _fix_emit_sql()
 
 @register("sink_console", sql=f"WITH {BRONZE} SELECT count(*) AS rows_in FROM bronze")
 def q_sink_console(spark, sf_dir):
-    """Decoded rows to the console sink (untruncated, first rows of each
-    batch); the answer is the number of rows the query consumed."""
-    from ..streaming.monitor import progress_table
-    from ..streaming.sources import sink_console
-    s = bronze_stream(_stream(spark, _price_topic(spark, sf_dir)))
-    q = sink_console(s, scratch_path(spark, "console-ckpt"))
-    q.awaitTermination()
-    return progress_table(spark, [q]).agg(F.sum("num_input_rows").alias("rows_in"))
+    """Decoded rows to the console (untruncated, the first rows of each batch);
+    the answer is the number of rows the sink was given."""
+    return _logged(spark, sf_dir, "console", 1, then=console_rows(5)).agg(F.sum("num_input_rows").alias("rows_in"))
+
+
+@register("sink_insight_tables", doubles=["value"], sql=insight_rows_sql({
+    "price_movements": _over_valid(moves_v2_sql(TEST_MINUTES)), "volume_spikes": _over_valid(spikes_sql()),
+    "market_sentiment": SENTIMENT_ROWS, "sentiment_price_correlation": signals_v2_sql(TEST_MINUTES)}, True))
+def q_sink_insight_tables(spark, sf_dir):
+    """All four insight tables as the streams append them, batch by batch, each row stamped."""
+    paths = {name: scratch_path(spark, f"insight-{name}") for name in INSIGHT_COLUMNS}
+    stamped = lambda op: lambda t, carry: op(t, carry).withColumn("created_at", F.current_timestamp())
+    moves = TailCarry(stamped(moves_op), 99, paths["price_movements"], scratch_path(spark, "mv-tail"), required=["price"])
+    spikes = TailCarry(stamped(spikes_op), 49, paths["volume_spikes"], scratch_path(spark, "sp-tail"))
+
+    def readings(batch, batch_id):
+        (market_sentiment(batch).withColumn("created_at", F.current_timestamp())
+         .write.mode("overwrite").parquet(f"{paths['market_sentiment']}/batch_id={batch_id}"))
+
+    paths["sentiment_price_correlation"] = _correlate(spark, sf_dir, [moves, spikes], [readings], stamp=True)
+    return insight_rows({name: read_batches(spark, p) for name, p in paths.items()})
