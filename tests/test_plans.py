@@ -116,3 +116,40 @@ def test_chunk_knobs_do_not_change_results(spark):
         spark.conf.unset("spark.tidemark.chunkRows")
         spark.conf.unset("spark.tidemark.bucketSeconds")
     assert got == ref and len(ref) > 0
+
+
+def test_sequence_groups_follow_the_rows(spark):
+    """Nine of ten rows in one hour of one symbol: no group sorts that hour whole."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.chunked import SEQ, density_chunks, row_sequence
+    t0 = dt.datetime(2024, 1, 1)
+    burst = [("A", t0 + dt.timedelta(seconds=i * 3600 / 1800), i) for i in range(1800)]
+    rest = [("AB"[i % 2], t0 + dt.timedelta(hours=2 + i), 5000 + i) for i in range(200)]
+    df = spark.createDataFrame(burst + rest, "k string, t timestamp_ntz, i long")
+    groups = density_chunks(df, ["k"], "t", sort_rows=100).groupBy("k", "_chunk").count().collect()
+    assert max(r["count"] for r in groups) <= 100 + 30 and len(groups) > 15  # a slice of a minute holds 30
+    order = [F.col("t"), F.col("i")]
+    try:
+        spark.conf.set("spark.tidemark.sortRows", "100")
+        a = {(r.k, r.i): r[SEQ] for r in row_sequence(df, ["k"], "t", order).collect()}
+    finally:
+        spark.conf.unset("spark.tidemark.sortRows")
+    for k in "AB":
+        want = [i for x, t, i in sorted(burst + rest, key=lambda r: (r[1], r[2])) if x == k]
+        assert [a[k, i] for i in want] == list(range(1, len(want) + 1))
+
+
+def test_candle_order_is_a_hash_aggregate(spark):
+    import datetime as dt
+
+    from tidemark.operators.candles import ohlc_candles
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("A", float(p), 1.0, t0 + dt.timedelta(seconds=s), o) for p, s, o in [(1, 0, 7), (2, 0, 3), (3, 5, 1), (4, 5, 10**17)]]
+    df = spark.createDataFrame(rows, "symbol string, price double, volume double, event_time timestamp_ntz, kafka_offset long")
+    c = ohlc_candles(df)
+    assert "SortAggregate" not in c._jdf.queryExecution().executedPlan().toString()
+    r = c.first()
+    assert (r.open, r.close) == (2.0, 4.0)

@@ -26,10 +26,18 @@ def vwap(price="price", volume="volume"):
     return safe_ratio(F.sum(F.col(price) * F.col(volume)), F.sum(volume))
 
 
+def tick_order(time_col: str = "event_time", tie_col: str = "kafka_offset"):
+    """(time, offset) as one decimal: micros times 10^18 plus the offset, the same
+    order as the pair for offsets of 0 to 10^18. A fixed-width key keeps the
+    candles in a hash aggregate, where a struct would sort all rows."""
+    micros = F.unix_micros(F.col(time_col).cast("timestamp")).cast("decimal(20,0)")
+    return (micros * F.lit(10**18).cast("decimal(19,0)") + F.col(tie_col).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def ohlc_candles(ticks: DataFrame, interval: str = "1 minute", time_col: str = "event_time",
                  tie_col: str = "kafka_offset", audit: bool = False) -> DataFrame:
     """Tumbling candles per symbol (the silver layer)."""
-    order = F.struct(F.col(time_col), F.col(tie_col))
+    order = tick_order(time_col, tie_col)
     agg = (ticks.groupBy("symbol", F.window(time_col, interval).alias("w"))
                 .agg(F.min_by("price", order).alias("open"),
                      F.max("price").alias("high"),

@@ -9,13 +9,15 @@ window is a Spark window over (symbol, chunk) with an exact halo
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import pct_change
 from ..plans.asof import asof_latest
 from ..plans.chunked import (
-    PART, SEQ, drop_halo, range_frame, row_halo, row_sequence,
+    PART, SEQ, bucket_width, drop_halo, range_frame, row_halo, row_sequence,
 )
 
 # Fixed thresholds of the reference's processors.
@@ -136,8 +138,8 @@ def price_movements_simple(ticks: DataFrame, minutes: int = MOVE_MINUTES,
     frame (``plans.chunked.range_frame``): streaming aggregates only, no
     per-row re-scan of the frame and no collected lists."""
     secs = int(minutes) * 60
-    r = range_frame(_priced(ticks), ["symbol"], "event_time", "kafka_offset", "price", secs, secs,
-                    strict=True, peers=False)
+    r = range_frame(_priced(ticks), ["symbol"], "event_time", "kafka_offset", "price", secs,
+                    math.gcd(secs, bucket_width(ticks)), strict=True, peers=False)
     n = F.col("_rf.count")
     return (r.filter(n >= min_points)
              .select(F.col("_rf.first_time").alias("window_start"),

@@ -17,6 +17,7 @@ from ..functions.columns import (
 )
 from ..functions.timecols import trunc_ntz
 from ..plans.chunked import lag_by_key
+from .maintenance import rebalanced
 
 STG_PRICE_COLUMNS = ["symbol", "price", "volume", "price_change_percent", "high_24h", "low_24h",
                      "event_time", "ingested_at", "kafka_partition", "kafka_offset"]
@@ -119,8 +120,10 @@ def agg_hourly_stats(stg_candles: DataFrame, audit: bool = False) -> DataFrame:
 
 def materialize_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                       mode: str = "overwrite") -> None:
-    """Marts are tables: write Parquet, partitioned (e.g. by event_date)."""
-    w = df.write.mode(mode)
+    """Marts are tables: write Parquet, partitioned (e.g. by event_date). Rows
+    are rebalanced by the partition columns first: few files per value, and a
+    large value over several writers."""
+    w = (rebalanced(df, partition_by) if partition_by else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -36,6 +36,12 @@ DEFAULT_CHUNK_ROWS = 10_000
 # symbol-hour holds more rows than a task should sort.
 BUCKET_CONF = "spark.tidemark.bucketSeconds"
 CHUNK_CONF = "spark.tidemark.chunkRows"
+SORT_CONF = "spark.tidemark.sortRows"
+
+# Rows that one window group of a sequence should sort, and how many fine
+# slices a bucket is counted in to get there.
+DEFAULT_SORT_ROWS = 1_000_000
+FINE_SLICES = 60
 
 PART = "_part"       # chunk a (possibly copied) row is evaluated in
 IS_HALO = "_halo"    # true for copies that only feed frames
@@ -62,27 +68,29 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
     ``reuse_input``: build the count table from the shuffled rows (for an
     input that is expensive to compute twice) instead of a second read.
 
+    For a scan the groups follow the rows, not the clock (``density_chunks``):
+    a burst that puts most of a symbol's rows into one hour is cut into many.
+    For an expensive input:
+
     1. rank inside (key, time bucket) — parallel over buckets;
     2. count per (key, bucket) — partial aggregation, a tiny table;
     3. running sum of earlier buckets' counts per key over that tiny table;
     4. join the offsets back (AQE broadcasts it when its runtime size is
        under the broadcast threshold, else it shuffle-joins).
     """
+    if not reuse_input:
+        chunked = density_chunks(df, keys, time_col, bucket_seconds)
+        rank = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*order))
+        return chunked.withColumn(SEQ, (F.col("_off") + rank).cast("long")).drop("_chunk", "_off")
     bucket = "_bucket"
     with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
     local = with_b.withColumn(
         "_lrank", F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order)))
-    if reuse_input:
-        # Expensive input: read the counts off the ranked rows with all their
-        # columns, so both branches share one shuffle (ReusedExchange) and
-        # the input is computed once.
-        whole = F.struct(*[F.col(c) for c in local.columns])
-        counts = (local.groupBy(*keys, bucket).agg(F.max_by(whole, F.col("_lrank")).alias("_w"))
-                       .select(*keys, bucket, F.col("_w._lrank").alias("_n")))
-    else:
-        # Cheap input (a scan): a second, narrow read with partial counts
-        # costs less than re-sorting the shuffled rows.
-        counts = with_b.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    # Read the counts off the ranked rows with all their columns, so both
+    # branches share one shuffle (ReusedExchange) and the input is computed once.
+    whole = F.struct(*[F.col(c) for c in local.columns])
+    counts = (local.groupBy(*keys, bucket).agg(F.max_by(whole, F.col("_lrank")).alias("_w"))
+                   .select(*keys, bucket, F.col("_w._lrank").alias("_n")))
     offsets = counts.withColumn(
         "_off",
         F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(bucket)
@@ -95,6 +103,28 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
                  .drop("_off", "_lrank", bucket, *[f"_o_{k}" for k in [*keys, bucket]]))
 
 
+def density_chunks(df: DataFrame, keys: list[str], time_col: str, bucket_seconds: int | None = None,
+                   sort_rows: int | None = None) -> DataFrame:
+    """Add ``_chunk`` (consecutive time slices of a key holding about
+    ``sort_rows`` rows together) and ``_off`` (the key's rows before the chunk).
+
+    A narrow read counts rows per (key, fine slice) with partial aggregation;
+    the running count cuts the slices into chunks, and the small slice table is
+    joined back (AQE broadcasts it where it is small). A chunk holds at most
+    ``sort_rows`` rows plus those of its last slice."""
+    fine = max(1, bucket_width(df, bucket_seconds) // FINE_SLICES)
+    rows = int(sort_rows or df.sparkSession.conf.get(SORT_CONF, str(DEFAULT_SORT_ROWS)))
+    with_f = df.withColumn("_fine", chunk_index(F.col(time_col), fine))
+    counts = with_f.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
+                    .withColumn("_chunk", F.floor(F.col("_before") / rows).cast("long"))
+                    .withColumn("_off", F.min("_before").over(Window.partitionBy(*keys, "_chunk"))))
+    o = slices.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, "_fine"]], "_chunk", "_off")
+    cond = [with_f[k].eqNullSafe(o[f"_o_{k}"]) for k in [*keys, "_fine"]]
+    return with_f.join(o, on=cond, how="inner").drop("_fine", *[f"_o_{k}" for k in [*keys, "_fine"]])
+
+
 def row_halo(df: DataFrame, halo: int, chunk_rows: int | None = None) -> DataFrame:
     """From ``_seq``: add ``_part``/``_halo`` so a ROWS frame reaching back
     ``halo`` rows sees all its rows inside one (key, _part) partition. A row

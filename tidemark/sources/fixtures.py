@@ -8,12 +8,14 @@ no Python), so Catalyst prunes and pushes filters through them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import SENTIMENT_ZONES
 from ..functions.timecols import epoch_ms_to_iso, ts_to_epoch_ms
-from ..plans.chunked import range_frame
+from ..plans.chunked import bucket_width, range_frame
 
 # Fixed mapping of event types to symbols and the fixture's fixed rules
 # (FIXTURES.md §5).
@@ -64,7 +66,8 @@ def with_rolling_24h(df: DataFrame, time_col: str = "event_time",
     buckets) instead of a sliding RANGE window, whose cost grows with the
     number of ticks per 24 h.
     """
-    r = range_frame(df, ["symbol"], time_col, "kafka_offset", "price", lookback_seconds, 3600)
+    bucket = math.gcd(lookback_seconds, bucket_width(df))  # a whole number of buckets, following the session's width
+    r = range_frame(df, ["symbol"], time_col, "kafka_offset", "price", lookback_seconds, bucket)
     return r.select(*df.columns, F.col("_rf.max").alias("high_24h"), F.col("_rf.min").alias("low_24h"),
                     (F.try_divide(F.col("price") - F.col("_rf.first"),
                                   F.nullif(F.col("_rf.first"), F.lit(0.0))) * 100).alias("price_change_percent"))
