@@ -35,7 +35,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from tidemark.session import build_session
+    from tidemark.session import build_session, drop_scratch
     import tidemark.suite  # noqa: F401
     from tidemark.registry import REGISTRY
 
@@ -49,6 +49,7 @@ def main() -> None:
         t0 = time.perf_counter()
         spec.run(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    drop_scratch(spark)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     ticks = spark.read.parquet(f"{sf_dir}/events.parquet").count()
