@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import ship
 
 #: Remembered pieces and pre-tokens per worker; full caches start anew.
-CACHE = 400_000
+CACHE = 150_000
 #: Longer ones aren't remembered.
 LONGEST = 64
 #: Fixed value: the pattern that byte-level BPE vocabularies of this kind split text with.
