@@ -112,9 +112,15 @@ def train(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col:
         freq[r["feature"]] = r["df"]
     idf = np.log((1 + freq[DIM]) / (1 + freq[:DIM])) + 1
     place = F.xxhash64("id", F.lit(7))
+    slim = own.select("id", "lang", place.alias("place")).distinct()
+    # Hashes are uniform, so about twice the rows wanted lie under a bound that follows from a language's
+    # count; only those are ranked, however frequent the language is. (One row per language is broadcast:
+    # the model has a column for each.)
+    share = slim.groupBy("lang").agg((F.lit(2.0 * per_language) / F.count("*")).alias("share"))
+    near = slim.join(F.broadcast(share), "lang").where(F.col("place") / F.lit(2.0**64) + 0.5 <= F.col("share"))
     first = Window.partitionBy("lang").orderBy("place", "id")
-    chosen = (own.select("id", "lang", place.alias("place")).withColumn("nth", F.row_number().over(first))
-              .where(F.col("nth") <= per_language).select("id", "lang", "place").distinct())
+    chosen = (near.withColumn("nth", F.row_number().over(first))
+              .where(F.col("nth") <= per_language).select("id", "lang", "place"))
     # at most per_language rows a language: small enough to broadcast
     sample = own.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text", "place")
     rows = sample.mapInArrow(_features, "lang string, place long, features binary")
