@@ -95,8 +95,7 @@ def describe_tables(tables: dict[str, DataFrame], order_cols: dict[str, str], la
         w = Window.partitionBy(F.lit(name)).orderBy(t.desc(), *[F.col(c).desc() for c in df.columns])
         rows = top.select(F.lit(name).alias("table_name"), F.row_number().over(w).alias("nth"), t.alias("at"),
                           F.to_json(F.struct(*df.columns)).alias("row"), F.lit(",".join(df.columns)).alias("columns"))
-        size = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
-        rows = rows.join(F.broadcast(size), "table_name")  # one row
+        rows = df.sparkSession.sql("SELECT *, (SELECT count(*) FROM {t}) AS row_count FROM {rows}", t=df, rows=rows)
         out = rows if out is None else out.unionByName(rows)
     return out
 
