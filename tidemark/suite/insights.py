@@ -17,9 +17,9 @@ from ..operators.insights import (
     volume_spikes_simple,
 )
 from ..registry import register
-from ..sources.fixtures import base_ticks, sentiment
+from ..sources.fixtures import base_ticks, sentiment, ticks
 from .sqlviews import (
-    BASE_TICKS, SENTIMENT, asof_sql, moves_v1_sql, moves_v2_sql, signals_v1_sql, signals_v2_sql,
+    BASE_TICKS, SENTIMENT, TICKS, asof_sql, moves_v1_sql, moves_v2_sql, signals_v1_sql, signals_v2_sql,
     spikes_sql,
 )
 
@@ -111,3 +111,33 @@ def q_signal_v2(spark, sf_dir):
 def q_signal_v1(spark, sf_dir):
     return sentiment_signals_simple(sentiment(spark, sf_dir), base_ticks(spark, sf_dir),
                                     TEST_MINUTES)
+
+
+# The same with the reference's default windows.
+
+@register("price_movements_v1_default", doubles=["price_change_pct", "avg_price"], sql=moves_v1_sql())
+def q_price_movements_v1_default(spark, sf_dir):
+    return price_movements_simple(base_ticks(spark, sf_dir))
+
+
+@register("asof_sentiment_prices_default", doubles=["change"], sql=f"WITH {asof_sql()} SELECT * FROM asofj")
+def q_asof_default(spark, sf_dir):
+    return asof_sentiment_prices(sentiment(spark, sf_dir), base_ticks(spark, sf_dir))
+
+
+@register("sentiment_signal_v2_default", doubles=["btc_price_change", "eth_price_change"], sql=signals_v2_sql())
+def q_signal_v2_default(spark, sf_dir):
+    return sentiment_signals(sentiment(spark, sf_dir), base_ticks(spark, sf_dir))
+
+
+@register("sentiment_signal_v1_default", doubles=["btc_price_change", "eth_price_change"], sql=signals_v1_sql())
+def q_signal_v1_default(spark, sf_dir):
+    return sentiment_signals_simple(sentiment(spark, sf_dir), base_ticks(spark, sf_dir))
+
+
+@register("ticker_direction", sql=f"""
+WITH {TICKS}
+SELECT kafka_offset, CASE WHEN price_change_percent > 0 THEN 'UP' WHEN price_change_percent < 0 THEN 'DOWN' ELSE 'FLAT' END
+       AS direction FROM ticks""")
+def q_ticker_direction(spark, sf_dir):
+    return ticks(spark, sf_dir).select("kafka_offset", direction_label("price_change_percent").alias("direction"))

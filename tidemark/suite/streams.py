@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from ..operators.insights import correlation_state, market_sentiment, price_movements, volume_spikes
 from ..registry import register
 from ..session import scratch_path
-from ..sources.fixtures import kafka_price_records, newsapi_articles, rss_entries, sentiment, AS_OF
-from ..sources.decode import decode_price_json, kafka_envelope
+from ..schemas import PRICE_SCHEMA
+from ..sources.fixtures import kafka_price_records, market_snapshots, newsapi_articles, rss_entries, sentiment, AS_OF
+from ..sources.decode import decode_price_json, kafka_envelope, normalize_market_data, route_malformed
 from ..streaming.medallion import bronze_stream, run_medallion
 from ..streaming.sources import (
     KAFKA_RECORD_SCHEMA, console_rows, read_stream, release, replay_as_files, stage_replay,
@@ -23,15 +24,15 @@ from ..streaming.stateful import Fanout, SentimentJoin, TailCarry, read_batches,
 from .insights import TEST_MINUTES
 from .market import gold_sql
 from .reports import INSIGHT_COLUMNS, SENTIMENT_ROWS, insight_rows, insight_rows_sql
-from .sqlviews import BRONZE, candles_cte, moves_v2_sql, signals_v2_sql, spikes_sql
+from .sqlviews import BRONZE, BRONZE_CUT, SENTIMENT, candles_cte, moves_v2_sql, signals_v2_sql, spikes_sql
 
 PARTS = 4
 
 
-def _price_topic(spark, sf_dir):
-    """The price topic replayed as time-ordered JSON record files."""
+def _price_topic(spark, sf_dir, cut=False):
+    """The price topic replayed as time-ordered JSON record files (``cut``: with broken messages)."""
     path, staged = scratch_path(spark, "topic-prices"), scratch_path(spark, "records")
-    rec = kafka_price_records(spark, sf_dir).select(
+    rec = kafka_price_records(spark, sf_dir, cut=cut).select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", "timestamp", "timestampType")
     rec.write.mode("overwrite").parquet(staged)  # derive once, replay from the written copy
@@ -317,6 +318,51 @@ def _logged(spark, sf_dir, name, per_trigger, then=None):
     return batch_table(spark, log)
 
 
+def _published(df, key):
+    """(key, JSON value) as they would be published, the value as an object again."""
+    from ..streaming.sources import to_kafka_records
+    return to_kafka_records(df, key)
+
+
+@register("sink_kafka_keyed_sentiment", sql=f"""
+WITH {SENTIMENT} SELECT classification AS "key", value, "timestamp" FROM sentiment""")
+def q_sink_kafka_keyed_sentiment(spark, sf_dir):
+    r = _published(sentiment(spark, sf_dir).select("type", "value", "classification", "timestamp"), "classification")
+    v = F.from_json("value", "value long, timestamp long")
+    return r.select("key", v["value"].alias("value"), v["timestamp"].alias("timestamp"))
+
+
+@register("sink_kafka_keyed_market", sql="""
+SELECT upper(lower(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g'))) AS "key", 'coin-' || CAST(p_partkey AS VARCHAR) AS coin_id,
+       p_name AS name FROM part""")
+def q_sink_kafka_keyed_market(spark, sf_dir):
+    r = _published(normalize_market_data(market_snapshots(spark, sf_dir), AS_OF), "symbol")
+    v = F.from_json("value", "coin_id string, name string")
+    return r.select("key", v["coin_id"].alias("coin_id"), v["name"].alias("name"))
+
+
+@register("sink_kafka_keyed_news", sql="""
+SELECT source AS "key", md5(coalesce(text, '')) AS id, coalesce(text, '') AS summary FROM documents""")
+def q_sink_kafka_keyed_news(spark, sf_dir):
+    from ..sources.decode import normalize_rss
+    r = _published(normalize_rss(rss_entries(spark, sf_dir), AS_OF), "source")
+    v = F.from_json("value", "id string, summary string")
+    return r.select("key", v["id"].alias("id"), v["summary"].alias("summary"))
+
+
+@register("quarantine_stream", sql=f"""
+WITH {BRONZE_CUT}
+SELECT kafka_offset AS "offset", CASE WHEN symbol IS NULL THEN 'quarantine' ELSE 'good' END AS route, symbol,
+       symbol IS NULL AS has_raw_text FROM bronze""")
+def q_quarantine_stream(spark, sf_dir):
+    """Broken messages of the stream go to the quarantine folder of the sink with their text, the others to good."""
+    s = _stream(spark, _price_topic(spark, sf_dir, cut=True), per_trigger=1).select("offset", F.col("value").alias("raw_json"))
+    out, ck = scratch_path(spark, "routes-out"), scratch_path(spark, "routes-ckpt")
+    w = route_malformed(s, "raw_json", PRICE_SCHEMA).writeStream.format("parquet").partitionBy("route").option("path", out)
+    w.option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("offset", "route", "symbol", F.col("raw_text").isNotNull().alias("has_raw_text"))
+
+
 @register("rate_limit_input", sql=f"WITH {BRONZE} SELECT count(*) AS rows_in, TRUE AS several_batches FROM bronze")
 def q_rate_limit_input(spark, sf_dir):
     log = _logged(spark, sf_dir, "rate-limit", 1).filter(F.col("num_input_rows") > 0)
