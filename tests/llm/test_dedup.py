@@ -183,6 +183,19 @@ def test_simhash_brute_force(spark):
     assert simhash.simhash_dedup(empty(spark)).count() == 0
 
 
+def test_simhash_links_through_null_ids(spark, monkeypatch):
+    """1 and 2 are near the null row only; the null rows at the end have no named partner."""
+    rows = [(1, "a"), (None, "b"), (2, "c"), (None, "d"), (None, "e"), (7, "f"), (None, "g")]
+    x = 0x0123456789ABCDEF
+    fps = {"a": x, "b": x ^ 0xF, "c": x ^ 0xFF, "d": ~x & 2**64 - 1, "e": ~x & 2**64 - 1 ^ 1, "f": x ^ 0xFFFF0000, "g": x ^ 0xFFFE0000}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = {t: f - 2**64 if f >= 2**63 else f for t, f in fps.items()}
+    prints = spark.createDataFrame([(i, signed[t]) for i, t in rows], "id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *a, **b: prints)
+    got = {r.fp: r.component_id for r in simhash.simhash_dedup(docs).collect()}
+    assert {t: got[signed[t]] for t in fps} == {"a": 1, "b": 1, "c": 1, "d": None, "e": None, "f": 7, "g": 7}
+
+
 def test_simhash_hash_is_sparks(spark):
     """XXH64 with seed 42 is also what Spark's own function gives."""
     r = spark.sql("select xxhash64('a b c d') h").first()

@@ -139,12 +139,13 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of at most ``max_bits`` differing fingerprint bits, itself included.
 
     Null text counts as empty (fingerprint zero); a null id is part of its
-    group but never names it, and a group of null ids only has a null one.
+    group, links it and never names it, and a group of null ids only has a null one.
     Repeated rows get equal results; an empty table gives none.
     """
     prints = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("node")).where("node is not null")
-    nodes = materialise(nodes, "simhash-nodes")
+    nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
+    nodes = materialise(nodes.select("fp", F.col("fp").alias("node"), "first"), "simhash-nodes")
     found = connected_components(near_links(nodes, max_bits, agree))
-    named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp", "left").select("id", "fp", "component_id")
+    member = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("group"), "first")
+    named = member.groupBy("group").agg(F.min("first").alias("component_id"))
+    return prints.join(member.join(named, "group").select("fp", "component_id"), "fp", "left").select("id", "fp", "component_id")
