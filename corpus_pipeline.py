@@ -10,7 +10,7 @@ the columns of ``documents``. No stage's result can be stated in SQL as a whole
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, packing
@@ -38,26 +38,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return got.where(ok).select(*COLUMNS)
 
 
+def _digest() -> Column:
+    """SHA-256 of the text with A-Z lower-cased, as the exact stage takes it."""
+    return F.unhex(F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts (A-Z lower-cased) stays: the largest id, null ids last."""
     kept = (exact_dedup(docs, F.coalesce(crc_bucket("doc_id", 2) == 0, F.lit(False))).where("kept")
             .select(F.col("id").alias("__id"), F.col("digest").alias("__digest")))
-    digest = F.unhex(F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256))
-    own = docs.select(*COLUMNS, digest.alias("__digest"))
+    own = docs.select(*COLUMNS, _digest().alias("__digest"))
     one = Window.partitionBy("__digest", "doc_id").orderBy("source", "lang", "n_chars", "text")
     met = own.join(kept, (own["__digest"] == kept["__digest"]) & own["doc_id"].eqNullSafe(kept["__id"]), "left_semi")
     return met.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each SimHash group stays (4-word shingles, 4 bits); a
-    group of null ids only keeps its rows."""
-    groups = simhash_dedup(docs, shingle=4, max_bits=4)
-    gone = groups.where("id <> component_id OR (id IS NULL AND component_id IS NOT NULL)")
-    left = docs.select(*COLUMNS, F.coalesce("doc_id", F.lit(-1)).alias("__id"))
-    # ids are unique after the exact stage
-    gone = gone.select(F.coalesce("id", F.lit(-1)).alias("__id")).distinct()
-    return left.join(gone, "__id", "left_anti").select(*COLUMNS)
+    """One row of each SimHash group stays (4-word shingles, 4 bits): the smallest id, of
+    several texts under it the smallest digest; a group of null ids only keeps its rows.
+    Rows go one by one (id and digest), whatever other rows share their id."""
+    own = docs.select(*COLUMNS, _digest().alias("__digest"))
+    gone = (simhash_dedup(own, shingle=4, max_bits=4, row_col="__digest").where("NOT kept")
+            .select(F.col("id").alias("__id"), F.col("row").alias("__row")).distinct())
+    # id and digest tell all rows apart after the exact stage
+    return own.join(gone, (own["__digest"] == gone["__row"]) & own["doc_id"].eqNullSafe(gone["__id"]), "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,6 +91,17 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in rows[5]} == {r.doc_id for r in rows[4]}
 
 
+def test_near_copies_go_row_by_row(spark):
+    """White space makes near copies with one fingerprint; rows that share an id with one stay."""
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(30)) for k in "abcde")
+    wide = lambda t, gap="  ": t.replace(" ", gap)
+    rows = [(1, a), (None, wide(a)), (None, b), (-1, c), (7, d), (7, wide(a)), (7, e), (7, wide(e)), (None, wide(c, " \t"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "unused").collect()]
+    assert len(got) == 5 and {x for x in got if x[1] not in (e, wide(e))} == {(1, a), (None, b), (-1, c), (7, d)}
+    assert sum(t in (e, wide(e)) for _, t in got) == 1  # two texts of one id in one group: one of them
+
+
 def test_pipeline_empty(spark):
     assert run_stages(spark, empty(spark))[-1].count() == 0
 

@@ -47,16 +47,19 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(bits)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp) for every row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                 row_col: str | None = None) -> DataFrame:
+    """(id, fp[, row]) for every row; fp is the fingerprint as a signed long, row the binary ``row_col``."""
+    row = [F.col(row_col).cast("binary").alias("row")] if row_col else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             fp = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], ["id", "fp", *b.schema.names[2:]])
     ship(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
-                       ).mapInArrow(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *row
+                       ).mapInArrow(run, "id long, fp long" + (", row binary" if row else ""))
 
 
 def block_masks(max_bits: int, agree: int) -> list[int]:
@@ -134,18 +137,26 @@ def near_links(nodes: DataFrame, max_bits: int = 4, agree: int = 2) -> DataFrame
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                  max_bits: int = 4, agree: int = 2) -> DataFrame:
-    """(id, fp, component_id) per document: the smallest id reachable over links
-    of at most ``max_bits`` differing fingerprint bits, itself included.
+                  max_bits: int = 4, agree: int = 2, row_col: str | None = None) -> DataFrame:
+    """(id, fp, component_id[, row, kept]) per document: the smallest id reachable over
+    links of at most ``max_bits`` differing fingerprint bits, itself included.
 
     Null text counts as empty (fingerprint zero); a null id is part of its
     group, links it and never names it, and a group of null ids only has a null one.
-    Repeated rows get equal results; an empty table gives none.
+    Repeated rows get equal results; an empty table gives none. ``row_col`` (binary)
+    tells rows of one id apart: kept is then true for one row of a named group,
+    the smallest by id and row, and for all rows of a group of null ids only.
     """
-    prints = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
+    prints = materialise(fingerprints(docs, id_col, text_col, shingle, row_col), "simhash")
+    own = F.struct("id", "row") if row_col else F.col("id")
+    first = F.min(F.when(F.col("id").isNotNull(), own)) if row_col else F.min(own)
+    nodes = prints.groupBy("fp").agg(first.alias("first"))
     nodes = materialise(nodes.select("fp", F.col("fp").alias("node"), "first"), "simhash-nodes")
     found = connected_components(near_links(nodes, max_bits, agree))
     member = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("group"), "first")
-    named = member.groupBy("group").agg(F.min("first").alias("component_id"))
-    return prints.join(member.join(named, "group").select("fp", "component_id"), "fp", "left").select("id", "fp", "component_id")
+    named = member.groupBy("group").agg(F.min("first").alias("least"))
+    got = prints.join(member.join(named, "group").select("fp", "least"), "fp", "left")
+    if not row_col:
+        return got.select("id", "fp", F.col("least").alias("component_id"))
+    return got.select("id", "fp", F.col("least.id").alias("component_id"), "row",
+                      F.coalesce(F.col("least") == own, F.col("least").isNull()).alias("kept"))
