@@ -99,3 +99,7 @@ def test_quality_shapes():
     w = quality.Words()
     at, x = quality.features(b"a a a", w)
     assert abs((x[1:] ** 2).sum() - 1) < 1e-9 and at[0] == 0
+
+
+def test_shape_covers_the_whole_word():
+    assert quality.shape(b"ab" * 200 + b"1Z-") == b"x0X-"

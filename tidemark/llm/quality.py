@@ -34,7 +34,7 @@ _KIND = bytes(ord("X") if 65 <= b <= 90 else ord("x") if 97 <= b <= 122 or b >=
 
 def shape(word: bytes) -> bytes:
     """Letters as X or x, digits as 0, runs shortened to one."""
-    return _RUN.sub(rb"\1", word[:256].translate(_KIND))
+    return _RUN.sub(rb"\1", word.translate(_KIND))
 
 
 class Words:
