@@ -226,6 +226,21 @@ def test_spanning_links_connect_the_same():
     assert components(range(n), links) == components(range(n), list(zip(a, b)))
 
 
+def test_simhash_large_buckets_are_split(spark):
+    """One template: all fingerprints share two blocks, most are further than 4 bits apart."""
+    rnd = random.Random(7)
+    fps = sorted({rnd.getrandbits(40) for _ in range(300)})
+    fps = sorted({*fps, *(f ^ 1 << rnd.randrange(40) for f in fps[::3])})
+    nodes = spark.createDataFrame([(f, f) for f in fps], "fp long, node long")
+    parts = simhash.block_buckets(nodes, simhash.block_masks(4, 2), 50)
+    assert parts.groupBy("t", "k").count().agg(F.max("count")).first()[0] < 180  # of 400
+    pairs = [(a, b) for a in fps for b in fps if a < b and bin(a ^ b).count("1") <= 4]
+    assert len(pairs) >= 100
+    for per_chunk in (50, 50_000):
+        got = [tuple(r) for r in simhash.near_links(nodes, per_chunk=per_chunk).collect()]
+        assert components(fps, got) == components(fps, pairs)
+
+
 def vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 16))

@@ -124,14 +124,29 @@ def _bucket_links(max_bits: int):
     return run
 
 
-def near_links(nodes: DataFrame, max_bits: int = 4, agree: int = 2) -> DataFrame:
-    """(a, b) links over (fp, node) rows with distinct fp that connect exactly
-    what all links at ``max_bits`` or fewer differing bits connect."""
-    ship(nodes.sparkSession)
-    masks = block_masks(max_bits, agree)
+def block_buckets(nodes: DataFrame, masks: list[int], per_chunk: int) -> DataFrame:
+    """(t, k, fp, node): every row once per mask, a bucket being one (t, k). One with
+    more than ``per_chunk`` rows is dealt into chunks, and every two chunks are a bucket."""
     tables = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k"))
                                  for i, m in enumerate(masks)]))
     keyed = nodes.select(tables.alias("x"), "fp", "node").select("x.t", "x.k", "fp", "node")
+    sizes = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where(F.col("n") > per_chunk)
+    sizes = sizes.select("t", "k", F.ceil(F.col("n") / per_chunk).cast("long").alias("s"))
+    # at most len(masks) / per_chunk of the rows
+    dealt = (keyed.join(F.broadcast(sizes), ["t", "k"], "left").withColumn("s", F.coalesce("s", F.lit(1).cast("long")))
+             .withColumn("own", F.pmod(F.xxhash64("fp"), "s"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
+             .where("s = 1 OR own <> other"))
+    pair = F.least("own", "other") * F.col("s") + F.greatest("own", "other")
+    return dealt.select((F.col("t") + len(masks) * pair).alias("t"), "k", "fp", "node")
+
+
+def near_links(nodes: DataFrame, max_bits: int = 4, agree: int = 2, per_chunk: int = 50_000) -> DataFrame:
+    """(a, b) links over (fp, node) rows with distinct fp that connect exactly
+    what all links at ``max_bits`` or fewer differing bits connect. A bucket in a
+    task has about ``2 * per_chunk`` rows at most."""
+    ship(nodes.sparkSession)
+    keyed = block_buckets(nodes, block_masks(max_bits, agree), per_chunk)
     return (keyed.repartition("t", "k").sortWithinPartitions("t", "k")
             .mapInArrow(_bucket_links(max_bits), "a long, b long"))
 
