@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import struct
@@ -10,6 +11,7 @@ import tempfile
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +95,16 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused, and what one stage's
+    arrays left in the allocators would stay beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and length of each run of equal values."""
     if not len(sorted_values):

@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import LONGEST, Remembered
-from .common import materialise, parts_for, ship
+from .common import give_back, materialise, parts_for, ship
 
 #: Fixed value: the pattern of the lower-casing word vocabulary's pre-tokens.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -34,6 +36,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 GROUP = 1000
 #: Documents tokenised together.
 STEP = 2048
+#: Chunks remembered per worker (two generations of so many); never changes a result.
+CACHE = 80_000
 
 
 class WordEncoder:
@@ -53,7 +57,7 @@ class WordEncoder:
         self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.find = regex.compile(WORD_PATTERN).findall
-        self.known = Remembered(600_000)
+        self.known = Remembered(CACHE)
 
     def _one(self, chunk: bytes) -> bytes:
         return np.array(self.lib.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
@@ -78,7 +82,8 @@ class WordEncoder:
         words = [t.split() for t in texts]
         known, table, fresh = self.known.get, {}, []
         recent = self.known.new.get
-        for w in set().union(*words):
+        times = Counter(chain.from_iterable(words))
+        for w in times:
             ids = recent(w)
             if ids is None and (ids := known(w)) is None:
                 fresh.append(w)
@@ -88,7 +93,7 @@ class WordEncoder:
             group = fresh[s:s + GROUP]
             for w, ids in zip(group, self._group(group)):
                 table[w] = ids
-                if len(w) <= LONGEST:
+                if times[w] > 1 and len(w) <= LONGEST:  # most chunks come once: they would only push the others out
                     self.known.put(w, ids)
         for ws in words:
             yield b"".join(map(table.__getitem__, ws))
@@ -126,6 +131,7 @@ def tokenised_pieces(docs: DataFrame, vocab_path: str, capacity: int, end_id: in
                 names = ["id", "piece", "start", "length", "crc", "ids"]
                 n = 6 if with_ids else 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], types)], names[:n])
+        give_back()
     ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
                        ).mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, mix64, pack, parts_for, runs, ship, unpack
+from .common import NULL_ID, give_back, mix64, pack, parts_for, runs, ship, unpack
 
 ROW = "bucket long, blob binary"
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -149,6 +149,7 @@ def _probe(block: int, window: int, buckets: int, groups: int):
                     yield _table(_scatter(bucket[both], ids[both], pos[both], np.r_[anchor, anchor], short[both]))
                     known = np.full(int(many.sum()), KNOWN, np.uint8)
                     yield _table(_scatter(doc_group(ids[many], groups) % buckets, ids[many], pos[many], known, short[many] * 0))
+        give_back()
     return run
 
 
