@@ -1,4 +1,4 @@
-"""The contract queries of the ten operators and, where SQL can express one, its DuckDB twin.
+"""The contract queries of the thirteen operators and, where SQL can express one, its DuckDB twin.
 
 Each takes its rows through its operator over the whole table; digest columns
 are derived here from the operators' real outputs.
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language_id, packing, quality, sharding, simhash, substring_dedup, url_filter
+from . import bpe, exact_dedup, language_id, lexical_search, packing, quality, sharding, simhash, source_mix, spelling
+from . import substring_dedup, url_filter
 from . import embedding_dedup as embedding
 from .common import UPPER, crc_bucket, load
 
@@ -20,6 +21,8 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 SHARDS = 40
 SEQUENCE_LENGTH = 2048
 QUALITY_THRESHOLD = 0.3
+#: The mix's weights over the sources, its share of all words, and the most of a source or document.
+MIX_WEIGHTS, MIX_SHARE, MIX_MOST = [5, 2, 1], 1.5, 2
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,8 +87,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(load(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = source_mix.mix(load(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_MOST)
+    return got.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 OPERATORS = [op1_substring_dedup, op2_embedding_dedup, op3_url_filter, op4_language_id, op5_hilbert_sharding,
-             op6_exact_dedup, op7_simhash_dedup, op8_bpe, op9_packing, op10_quality]
+             op6_exact_dedup, op7_simhash_dedup, op8_bpe, op9_packing, op10_quality, op11_spelling_variants,
+             op12_lexical_search, op13_source_mix]
 
 
 def _prepared(query):
@@ -149,4 +166,59 @@ WITH d AS (
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE crc AS (  -- the table of crc32, by its rule
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{UPPER}', '{UPPER.lower()}') AS w
+  FROM documents),
+counted AS (SELECT doc_id, w, count(*) AS n FROM found WHERE length(w) >= 6 GROUP BY ALL),
+named AS (SELECT *, hex(encode(concat(doc_id, ':', w))) AS x FROM counted),
+hashed AS (
+  SELECT w, n, xor(list_reduce(list_concat([4294967295], list_transform(range(0, length(x), 2), lambda i:
+      16 * (instr('0123456789ABCDEF', substr(x, i + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(x, i + 2, 1)) - 1)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM named, crc),
+written AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word
+  FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM written WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+one AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+  UNION SELECT cut.word, v.word FROM cut JOIN v ON v.word = l || r
+  UNION SELECT v.word, cut.word FROM cut JOIN v ON v.word = l || r),
+near AS (
+  SELECT one.word, count(*) AS n_near, max(n) AS top_n, first(other ORDER BY n DESC, other) AS top
+  FROM one JOIN v ON v.word = other GROUP BY one.word),
+f AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top END AS form,
+         CASE WHEN top_n >= 5 * n THEN top_n END AS form_n
+  FROM v LEFT JOIN near USING (word)),
+walk AS (
+  SELECT word, word AS last, 0 AS step FROM f
+  UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN f ON f.word = walk.last WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(last, step) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)""",
+    "op12_lexical_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (
+  SELECT item_id, term, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+tf AS (SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+size AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM size),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+scored AS (
+  SELECT item_id, tf.r, doc_id, CAST(sum(c * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+         * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN size ON size.r = tf.r, total GROUP BY item_id, tf.r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
