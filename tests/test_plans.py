@@ -153,3 +153,32 @@ def test_candle_order_is_a_hash_aggregate(spark):
     assert "SortAggregate" not in c._jdf.queryExecution().executedPlan().toString()
     r = c.first()
     assert (r.open, r.close) == (2.0, 4.0)
+
+
+@pytest.mark.parametrize("max_rows,seconds,strict,chunk", [(5, 900, False, 13), (5, 900, True, 13), (100, 1200, False, 7), (3, 60, True, 50), (1, 600, False, 2)])
+def test_two_bound_frame_vs_brute_force(spark, max_rows, seconds, strict, chunk):
+    from tidemark.plans.frames import two_bound_frame
+    rows, df = _data(spark, n=300)
+    base = dt.datetime(2024, 1, 1)
+    extra = [("D", base + dt.timedelta(seconds=60 * (k // 3)), 1000 + k, float(k % 5)) for k in range(60)]  # ties, rows at the cutoff
+    rows = rows + extra
+    df = df.unionByName(spark.createDataFrame(extra, SCHEMA))
+    seq = row_sequence(df, ["symbol"], "event_time", [F.col("event_time"), F.col("kafka_offset")], bucket_seconds=600)
+    got = two_bound_frame(row_halo(seq, max_rows - 1, chunk), ["symbol"], "event_time", "price", max_rows, seconds, strict).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        past = sorted(x[1:] for x in rows if x[0] == r.symbol and (x[1], x[2]) <= (r.event_time, r.kafka_offset))[-max_rows:]
+        low = r.event_time - dt.timedelta(seconds=seconds)
+        win = [x for x in past if (x[0] > low if strict else x[0] >= low)]
+        mean = sum(x[2] for x in win) / len(win)
+        assert (r._fr.n, r._fr.first_time, r._fr.first) == (len(win), win[0][0], win[0][2])
+        assert r._fr.mean == pytest.approx(mean) and r._fr.m2 == pytest.approx(sum((x[2] - mean) ** 2 for x in win), abs=1e-7)
+
+
+def test_price_movements_hold_no_lists(spark):
+    from tidemark.operators.insights import asof_sentiment_prices, price_movements
+    from tidemark.sources.fixtures import base_ticks
+    t = base_ticks(spark, "/root/testdata/sf0.001")
+    assert "collect_list" not in price_movements(t)._jdf.queryExecution().optimizedPlan().toString()
+    s = spark.createDataFrame([], "msg_id string, event_time timestamp_ntz, value int, classification string")
+    assert "collect_list" not in asof_sentiment_prices(s, t)._jdf.queryExecution().optimizedPlan().toString()

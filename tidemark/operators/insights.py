@@ -19,6 +19,7 @@ from ..plans.asof import asof_latest
 from ..plans.chunked import (
     PART, SEQ, bucket_width, drop_halo, range_frame, row_halo, row_sequence,
 )
+from ..plans.frames import frame_chunk_rows, two_bound_frame
 
 # Fixed thresholds of the reference's processors.
 SPIKE_WINDOW = 50
@@ -88,19 +89,6 @@ def volume_spikes(ticks: DataFrame, window: int = SPIKE_WINDOW, min_history: int
         "spike_multiplier", F.col("price").alias("price_at_spike"), *carry)
 
 
-def _moments(arr: Column) -> Column:
-    """One pass over an array of doubles (Welford): struct(n, mean, m2).
-    Sample variance = m2 / (n - 1); stable for large prices with small spread."""
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-
-    def step(acc, x):
-        n1 = acc["n"] + 1
-        mean1 = acc["mean"] + (x - acc["mean"]) / n1
-        return F.struct(n1.alias("n"), mean1.alias("mean"),
-                        (acc["m2"] + (x - acc["mean"]) * (x - mean1)).alias("m2"))
-    return F.aggregate(arr, zero, step)
-
-
 def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: int = MOVE_MINUTES,
                     min_points: int = MOVE_MIN_POINTS, threshold: float = MOVE_THRESHOLD,
                     chunk_rows: int | None = None, carry: list[str] = ()) -> DataFrame:
@@ -109,23 +97,19 @@ def price_movements(ticks: DataFrame, max_rows: int = MOVE_MAX_ROWS, minutes: in
     >= ``min_points`` points, emit when |first -> last change| >= threshold.
     A tick without a price is no tick: it takes no place in a window. The
     tick's offset tells moves of one symbol and time apart."""
-    h = _ordered(_priced(ticks).select("symbol", "price", *TICK_ORDER, *carry), max_rows - 1, chunk_rows)
-    w = _rows_window(max_rows - 1)
-    cutoff = F.col("event_time") - F.make_dt_interval(mins=F.lit(int(minutes)))
-    pts = F.filter(F.collect_list(F.struct("event_time", "price")).over(w),
-                   lambda p: p["event_time"] >= cutoff)
-    s = drop_halo(h.withColumn("_pts", pts))
-    s = s.withColumn("_n", F.size("_pts")).filter(F.col("_n") >= min_points)
-    m = _moments(F.transform("_pts", lambda p: p["price"]))
-    s = s.select("*", m.alias("_m")).select(
-        "*", F.col("_pts")[0]["event_time"].alias("window_start"),
-        pct_change(F.col("price"), F.col("_pts")[0]["price"]).alias("price_change_pct"),
-        F.col("_m.mean").alias("avg_price"),
-        F.when(F.col("_n") >= 2, F.sqrt(F.col("_m.m2") / (F.col("_n") - 1))).otherwise(F.lit(0.0))
-         .alias("volatility"))
-    return s.filter(F.abs(F.col("price_change_pct")) >= threshold).select(
-        "window_start", F.col("event_time").alias("window_end"), "symbol",
-        "price_change_pct", "avg_price", "volatility", "kafka_offset", *carry)
+    t = _priced(ticks).select("symbol", "price", *TICK_ORDER, *carry)
+    f = _two_bound(t, max_rows, int(minutes) * 60, chunk_rows).where(F.col("_fr.n") >= min_points)
+    f = f.select("*", pct_change(F.col("price"), F.col("_fr.first")).alias("price_change_pct"))
+    return f.where(F.abs(F.col("price_change_pct")) >= threshold).select(
+        F.col("_fr.first_time").alias("window_start"), F.col("event_time").alias("window_end"), "symbol",
+        "price_change_pct", F.col("_fr.mean").alias("avg_price"),
+        F.when(F.col("_fr.n") >= 2, F.sqrt(F.col("_fr.m2") / (F.col("_fr.n") - 1))).otherwise(F.lit(0.0)).alias("volatility"),
+        "kafka_offset", *carry)
+
+
+def _two_bound(ticks: DataFrame, max_rows: int, seconds: int, chunk_rows: int | None, strict: bool = False) -> DataFrame:
+    h = _ordered(ticks, max_rows - 1, frame_chunk_rows(ticks, chunk_rows))
+    return two_bound_frame(h, ["symbol"], "event_time", "price", max_rows, seconds, strict)
 
 
 def price_movements_simple(ticks: DataFrame, minutes: int = MOVE_MINUTES,
@@ -157,15 +141,9 @@ def correlation_state(ticks: DataFrame, minutes: int = MOVE_MINUTES, strict: boo
     change. ``strict`` selects the simple processor's eviction (time > cutoff).
     Ticks without a price are left out."""
     t = _priced(ticks).filter(F.col("symbol").isin(list(symbols))).select("symbol", "price", *TICK_ORDER, *carry)
-    h = _ordered(t, points - 1, chunk_rows)
-    w = _rows_window(points - 1)
-    cutoff = F.col("event_time") - F.make_dt_interval(mins=F.lit(int(minutes)))
-    keep = (lambda p: p["event_time"] > cutoff) if strict else (lambda p: p["event_time"] >= cutoff)
-    pts = F.filter(F.collect_list(F.struct("event_time", "price")).over(w), keep)
-    s = drop_halo(h.withColumn("_pts", pts))
-    return s.select("symbol", "event_time", "kafka_offset",
-                    F.size("_pts").cast("long").alias("n_points"),
-                    pct_change(F.col("price"), F.col("_pts")[0]["price"]).alias("change"), *carry)
+    f = _two_bound(t, points, int(minutes) * 60, chunk_rows, strict)
+    return f.select("symbol", "event_time", "kafka_offset", F.col("_fr.n").alias("n_points"),
+                    pct_change(F.col("price"), F.col("_fr.first")).alias("change"), *carry)
 
 
 def asof_sentiment_prices(sentiment: DataFrame, ticks: DataFrame, minutes: int = MOVE_MINUTES,
