@@ -129,7 +129,7 @@ def test_sequence_groups_follow_the_rows(spark):
     burst = [("A", t0 + dt.timedelta(seconds=i * 3600 / 1800), i) for i in range(1800)]
     rest = [("AB"[i % 2], t0 + dt.timedelta(hours=2 + i), 5000 + i) for i in range(200)]
     df = spark.createDataFrame(burst + rest, "k string, t timestamp_ntz, i long")
-    groups = density_chunks(df, ["k"], "t", sort_rows=100).groupBy("k", "_chunk").count().collect()
+    groups = density_chunks(df, ["k"], "t", rows=100).groupBy("k", "_chunk").count().collect()
     assert max(r["count"] for r in groups) <= 100 + 30 and len(groups) > 15  # a slice of a minute holds 30
     order = [F.col("t"), F.col("i")]
     try:
@@ -182,3 +182,81 @@ def test_price_movements_hold_no_lists(spark):
     assert "collect_list" not in price_movements(t)._jdf.queryExecution().optimizedPlan().toString()
     s = spark.createDataFrame([], "msg_id string, event_time timestamp_ntz, value int, classification string")
     assert "collect_list" not in asof_sentiment_prices(s, t)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _burst(spark, n=240):
+    """A third of all rows in one minute of one symbol, most of those at a single instant; null keys, ties and times."""
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["A", "B", None]), base + dt.timedelta(seconds=rnd.randint(0, 3 * 3600)), i, rnd.randint(1, 500) / 10) for i in range(n)]
+    minute = base + dt.timedelta(seconds=5400)
+    rows += [("A", minute + dt.timedelta(milliseconds=rnd.choice([0, 0, 0, 7, 31000])), 1000 + i, rnd.randint(1, 500) / 10) for i in range(n // 2)]
+    rows += [("A", minute - dt.timedelta(seconds=3600), 3000 + i, rnd.randint(1, 500) / 10) for i in range(30)]
+    return rows, spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture
+def few_rows(spark):
+    spark.conf.set("spark.tidemark.sortRows", "10")
+    yield 10
+    spark.conf.unset("spark.tidemark.sortRows")
+
+
+def test_slices_spread_a_burst(spark, few_rows):
+    """Rows per (key, slice): a minute and even an instant that holds a third of all rows is many slices' work, in order."""
+    from tidemark.plans.slices import SLICE, slices_of, with_slice
+    rows, df = _burst(spark)
+    s = slices_of(df, ["symbol"], "event_time", "kafka_offset", spread_untied=False)
+    got = with_slice(df, s, "event_time", "kafka_offset", free_first=True)
+    assert s.cut and got.count() == len(rows)
+    sizes = [r["count"] for r in got.groupBy("symbol", SLICE).count().collect()]
+    assert max(sizes) <= 3 * few_rows and len(sizes) > len(rows) / 30
+    at = {}
+    for r in got.collect():
+        at.setdefault(r.symbol, []).append((r.event_time, r.kafka_offset, r[SLICE]))
+    for line in at.values():
+        numbers = [x[2] for x in sorted(line)]
+        assert numbers == sorted(numbers)
+
+
+def test_burst_lag(spark, few_rows):
+    rows, df = _burst(spark)
+    order = [F.col("event_time"), F.col("kafka_offset")]
+    got = lag_by_key(df, ["symbol"], "event_time", order, ["price"], tie_col="kafka_offset")
+    ref = df.withColumn("p", F.lag("price").over(Window.partitionBy("symbol").orderBy(*order)))
+    assert {r.kafka_offset: r.prev_price for r in got.collect()} == {r.kafka_offset: r.p for r in ref.collect()}
+    nulls = df.withColumn("kafka_offset", F.when(F.col("kafka_offset") != 1003, F.col("kafka_offset")))  # sorts first at its instant
+    got = lag_by_key(nulls, ["symbol"], "event_time", order, ["price"], tie_col="kafka_offset")
+    ref = nulls.withColumn("p", F.lag("price").over(Window.partitionBy("symbol").orderBy(*order)))
+    assert {r.kafka_offset: r.prev_price for r in got.collect()} == {r.kafka_offset: r.p for r in ref.collect()}
+
+
+@pytest.mark.parametrize("lookback,bucket,strict,peers", [(3600, 600, False, True), (3600, 3600, True, False), (1800, 300, False, False), (7200, 3600, False, True)])
+def test_burst_range_frame(spark, few_rows, lookback, bucket, strict, peers):
+    rows, df = _burst(spark)
+    got = range_frame(df, ["symbol"], "event_time", "kafka_offset", "price", lookback, bucket, strict=strict, peers=peers)
+    assert "_slice" in got._jdf.queryExecution().optimizedPlan().toString()
+    a = {r.kafka_offset: (r._rf.max, r._rf.min, r._rf.first, r._rf["count"], round(r._rf.sum, 6)) for r in got.collect()}
+    assert a == _brute_range(rows, lookback, strict, peers)
+
+
+def test_burst_asof(spark, few_rows):
+    rows, df = _burst(spark)
+    base = dt.datetime(2024, 1, 1)
+    rnd = random.Random(5)
+    left = [(i, rnd.choice(["A", "B", "Z", None]), base + dt.timedelta(seconds=rnd.choice([5400, 5399, 5401, rnd.randint(-600, 4 * 3600)]))) for i in range(150)]
+    L = spark.createDataFrame(left, "id long, symbol string, t timestamp_ntz")
+    got = asof_latest(L, df, ["symbol"], "t", "event_time", [F.col("event_time"), F.col("kafka_offset")], F.struct("kafka_offset"),
+                      out="m", tie_col="kafka_offset")
+    a = {r.id: (r.m.kafka_offset if r.m is not None else None) for r in got.collect()}
+    for i, s, t in left:
+        assert a[i] == max(((tt, kk) for ss, tt, kk, _ in rows if ss == s and tt <= t), default=(None, None))[1]
+
+
+def test_one_slice_per_key_is_the_plain_window(spark):
+    rows, df = _data(spark)
+    order = [F.col("event_time"), F.col("kafka_offset")]
+    lagged = lag_by_key(df, ["symbol"], "event_time", order, ["price"], tie_col="kafka_offset")
+    assert lagged._jdf.queryExecution().optimizedPlan().toString().count("Window") == 1 and "Join" not in str(lagged._jdf.queryExecution().optimizedPlan())
+    ref = df.withColumn("p", F.lag("price").over(Window.partitionBy("symbol").orderBy(*order)))
+    assert {r.kafka_offset: r.prev_price for r in lagged.collect()} == {r.kafka_offset: r.p for r in ref.collect()}

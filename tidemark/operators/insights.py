@@ -160,7 +160,7 @@ def asof_state(sentiment: DataFrame, state: DataFrame, symbols=CORR_SYMBOLS) ->
                      .withColumn("symbol", F.explode(F.array(*[F.lit(s) for s in symbols]))))
     j = asof_latest(left, state, ["symbol"], "event_time", "event_time",
                     [F.col("event_time"), F.col("kafka_offset")],
-                    F.struct("n_points", "change"), out="_st")
+                    F.struct("n_points", "change"), out="_st", tie_col="kafka_offset")
     return j.select("msg_id", "event_time", "value", "classification", "symbol",
                     F.col("_st.n_points").alias("n_points"), F.col("_st.change").alias("change"))
 

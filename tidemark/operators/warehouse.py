@@ -17,6 +17,7 @@ from ..functions.columns import (
 )
 from ..functions.timecols import trunc_ntz
 from ..plans.chunked import lag_by_key
+from ..plans.slices import slices_of
 from .maintenance import rebalanced
 
 STG_PRICE_COLUMNS = ["symbol", "price", "volume", "price_change_percent", "high_24h", "low_24h",
@@ -57,8 +58,10 @@ def fact_trades(stg: DataFrame) -> DataFrame:
     """Clean trades with previous price / volume per symbol, deltas, 24h range
     position and a surrogate key. ``kafka_offset`` breaks event-time ties."""
     clean = filter_not_flagged(stg, "is_anomaly")
-    lagged = lag_by_key(clean, ["symbol"], "event_time",
-                        [F.col("event_time"), F.col("kafka_offset")], ["price", "volume"])
+    # counted with the flagged rows: three columns of the scan, nothing that the flag is made of
+    slices = slices_of(stg, ["symbol"], "event_time", "kafka_offset", spread_untied=False)
+    lagged = lag_by_key(clean, ["symbol"], "event_time", [F.col("event_time"), F.col("kafka_offset")],
+                        ["price", "volume"], tie_col="kafka_offset", slices=slices)
     return lagged.select(
         surrogate_key("symbol", "event_time").alias("trade_id"),
         "symbol", "event_time", "event_hour", "event_date",

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import chunk_index
+from .slices import FINE_SLICES, SLICE, Slices, slices_of, sort_rows, with_slice
 
 # Defaults: a one-hour bucket of one symbol is the unit of sorting work; a
 # row chunk holds 10,000 rows, so even a thin series spreads over many tasks
@@ -36,12 +37,6 @@ DEFAULT_CHUNK_ROWS = 10_000
 # symbol-hour holds more rows than a task should sort.
 BUCKET_CONF = "spark.tidemark.bucketSeconds"
 CHUNK_CONF = "spark.tidemark.chunkRows"
-SORT_CONF = "spark.tidemark.sortRows"
-
-# Rows that one window group of a sequence should sort, and how many fine
-# slices a bucket is counted in to get there.
-DEFAULT_SORT_ROWS = 1_000_000
-FINE_SLICES = 60
 
 PART = "_part"       # chunk a (possibly copied) row is evaluated in
 IS_HALO = "_halo"    # true for copies that only feed frames
@@ -104,16 +99,16 @@ def row_sequence(df: DataFrame, keys: list[str], time_col: str, order: list[Colu
 
 
 def density_chunks(df: DataFrame, keys: list[str], time_col: str, bucket_seconds: int | None = None,
-                   sort_rows: int | None = None) -> DataFrame:
+                   rows: int | None = None) -> DataFrame:
     """Add ``_chunk`` (consecutive time slices of a key holding about
-    ``sort_rows`` rows together) and ``_off`` (the key's rows before the chunk).
+    ``rows`` rows together) and ``_off`` (the key's rows before the chunk).
 
     A narrow read counts rows per (key, fine slice) with partial aggregation;
     the running count cuts the slices into chunks, and the small slice table is
     joined back (AQE broadcasts it where it is small). A chunk holds at most
-    ``sort_rows`` rows plus those of its last slice."""
+    ``rows`` rows plus those of its last slice."""
     fine = max(1, bucket_width(df, bucket_seconds) // FINE_SLICES)
-    rows = int(sort_rows or df.sparkSession.conf.get(SORT_CONF, str(DEFAULT_SORT_ROWS)))
+    rows = sort_rows(df, rows)
     with_f = df.withColumn("_fine", chunk_index(F.col(time_col), fine))
     counts = with_f.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
@@ -144,21 +139,31 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 
 def lag_by_key(df: DataFrame, keys: list[str], time_col: str, order: list[Column],
-               cols: list[str], prefix: str = "prev_",
-               bucket_seconds: int | None = None, reuse_input: bool = True) -> DataFrame:
+               cols: list[str], prefix: str = "prev_", bucket_seconds: int | None = None,
+               reuse_input: bool = True, tie_col: str | None = None, slices: Slices | None = None) -> DataFrame:
     """``lag(c) OVER (PARTITION BY keys ORDER BY order)`` for each c in cols,
-    evaluated per (key, time bucket).
+    evaluated per (key, slice).
 
-    The first row of a bucket takes its previous values from the last row of
-    the previous non-empty bucket: that comes from a per-(key, bucket)
-    ``max_by`` table (partial aggregation; size = number of buckets) lagged
+    Slices follow the density of the rows (``plans.slices``; counted here unless
+    given, ``bucket_seconds`` forces clock buckets); ``order`` is the time and ``tie_col``.
+    Where every key has one slice, that is the plain window. Else the first row of a slice takes
+    its previous values from the last row of the previous non-empty slice: from a per-(key, slice)
+    ``max_by`` table (partial aggregation; size = number of slices) lagged
     once more, then joined back. One shuffle of the data instead of one task
     per key.
     """
-    bucket = "_bucket"
     ostruct = F.struct(*order)
     vals = F.struct(*[F.col(c) for c in cols])
-    with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_width(df, bucket_seconds)))
+    if bucket_seconds:
+        bucket = "_bucket"
+        with_b = df.withColumn(bucket, chunk_index(F.col(time_col), bucket_seconds))
+    else:
+        slices = slices or slices_of(df, keys, time_col, tie_col, split_instants=tie_col is not None, spread_untied=False)
+        if not slices.cut:
+            prev = F.lag(vals).over(Window.partitionBy(*keys).orderBy(*order))
+            return (df.withColumn("_prev", prev).withColumns({f"{prefix}{c}": F.col(f"_prev.{c}") for c in cols})
+                      .drop("_prev"))
+        bucket, with_b = SLICE, with_slice(df, slices, time_col, tie_col, free_first=True)  # null ties sort first
     w = Window.partitionBy(*keys, bucket).orderBy(*order)
     local = with_b.withColumn("_prev", F.lag(vals).over(w))
     if reuse_input:
@@ -204,6 +209,10 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
     row by (time, tie)), first_time, count, sum. ``df`` is read for the rows,
     their shifted copies and the bucket table: pass a scan or a written
     table, not an expensive plan.
+
+    A bucket of a key that holds more rows than a task should sort is cut into
+    slices by density (``_sliced_frame``); with ``peers`` the rows of one instant, which
+    share one value, stay together.
     """
     L, B = int(lookback_seconds), int(bucket_seconds)
     if L % B:
@@ -216,6 +225,9 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
                     F.col(tie_col).alias("_tie"), F.col(value_col).alias("_v"))
     start = df.select(*keys, (b + m).alias("_b"), F.lit(0).alias("_role"), (t + shift).alias("_st"),
                       t.alias("_ot"), F.col(tie_col).alias("_tie"), F.col(value_col).alias("_v"))
+    free = F.lit(None).cast("long").alias("_tie")  # copies stand beside all rows of their instant
+    line = own.select(*keys, "_st", F.col("_tie").cast("long").alias("_tie")).unionByName(start.select(*keys, "_st", free))
+    slices = slices_of(line, keys, "_st", "_tie", within=B, split_instants=not peers)
     parts = [own, start]
     if m > 1:
         stats = (df.groupBy(*keys, b.alias("_b"))
@@ -224,11 +236,15 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
                                  F.struct(t, F.col(tie_col))).alias("_bfirst"),
                         F.count(F.lit(1)).alias("_bcnt"), F.sum(value_col).alias("_bsum")))
         mw = Window.partitionBy(*keys).orderBy("_b").rangeBetween(-(m - 1), -1)
-        mid = stats.select(*keys, "_b", F.lit(2).alias("_role"),
+        mid = stats.select(*keys, "_b", F.lit(2).alias("_role"),  # one row per bucket
                            F.max("_bmax").over(mw).alias("_mmax"), F.min("_bmin").over(mw).alias("_mmin"),
                            F.min_by("_bfirst", F.struct(F.col("_bfirst.t"), F.col("_bfirst.k"))).over(mw).alias("_mfirst"),
                            F.sum("_bcnt").over(mw).alias("_mcnt"), F.sum("_bsum").over(mw).alias("_msum"))
+        if slices.cut:
+            return _sliced_frame(df, keys, own, start, mid, slices, strict, peers, out)
         parts.append(mid)
+    elif slices.cut:
+        return _sliced_frame(df, keys, own, start, None, slices, strict, peers, out)
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p, allowMissingColumns=True)
@@ -279,3 +295,52 @@ def range_frame(df: DataFrame, keys: list[str], time_col: str, tie_col: str, val
     )
     keep = df.columns
     return r.filter(is_own).select(*keep, res.alias(out))
+
+
+def _sliced_frame(df: DataFrame, keys: list[str], own: DataFrame, start: DataFrame, mid: DataFrame | None,
+                  slices: Slices, strict: bool, peers: bool, out: str) -> DataFrame:
+    """``range_frame`` where some bucket is cut: the running frames run per (key, bucket, slice), and what
+    lies in the bucket's other slices (own rows before, shifted rows after) comes from their totals."""
+    lead = F.col("_role") == 0
+    u = own.unionByName(start, allowMissingColumns=True).withColumn("_cut", F.when(~lead, F.col("_tie").cast("long")))
+    u = with_slice(u, slices, "_st", "_cut", free_first=strict).drop("_cut")
+    part = [*keys, "_b", SLICE]
+    row = F.struct(F.col("_ot").alias("t"), F.col("_tie").alias("k"), F.col("_v").alias("v"))
+
+    def pieces(which: Column) -> list[Column]:
+        """max, min, earliest row, count and sum of the rows of one role."""
+        v = F.when(which, F.col("_v"))
+        return [F.max(v), F.min(v), F.min(F.when(which, row)), F.count(F.when(which, F.lit(1))), F.sum(v)]
+    fields = ["max", "min", "first", "cnt", "sum"]
+    if peers:
+        run = Window.partitionBy(*part).orderBy("_st").rangeBetween(Window.unboundedPreceding, 0)
+    else:
+        run = Window.partitionBy(*part).orderBy("_st", "_tie", "_role").rowsBetween(Window.unboundedPreceding, 0)
+    role_order = F.col("_role").desc() if strict else F.col("_role").asc()
+    suf = Window.partitionBy(*part).orderBy(F.col("_st").desc(), role_order).rowsBetween(Window.unboundedPreceding, 0)
+    r = u.select("*", *[c.over(run).alias(f"_r{f}") for c, f in zip(pieces(~lead), fields)])
+    r = r.select("*", *[c.over(suf).alias(f"_s{f}") for c, f in zip(pieces(lead), fields)])
+    totals = u.groupBy(*part).agg(*[c.alias(f"_o{f}") for c, f in zip(pieces(~lead), fields)],
+                                  *[c.alias(f"_l{f}") for c, f in zip(pieces(lead), fields)])
+    line = Window.partitionBy(*keys, "_b").orderBy(SLICE)
+    before, after = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
+    merge = [F.max, F.min, F.min, F.sum, F.sum]
+    c = totals.select(*part, *[g(f"_o{f}").over(before).alias(f"_b{f}") for g, f in zip(merge, fields)],
+                      *[g(f"_l{f}").over(after).alias(f"_a{f}") for g, f in zip(merge, fields)])
+    if mid is not None:
+        names = ["_mmax", "_mmin", "_mfirst", "_mcnt", "_msum"]
+        q = mid.select(*[F.col(k).alias(f"_q_{k}") for k in [*keys, "_b"]], *names)
+        c = c.join(q, [c[k].eqNullSafe(q[f"_q_{k}"]) for k in [*keys, "_b"]], "left").drop(*[f"_q_{k}" for k in [*keys, "_b"]])
+    else:
+        c = c.withColumns({f"_m{f}": F.lit(None).cast(totals.schema[f"_o{f}"].dataType) for f in fields})
+    o = c.select(*[F.col(k).alias(f"_o_{k}") for k in part], *[f"_{x}{f}" for x in "bam" for f in fields])
+    rows = r.where(~lead)
+    j = rows.join(o, [rows[k].eqNullSafe(o[f"_o_{k}"]) for k in part], "left")
+
+    def over(which: str):
+        return [F.col(f"_{x}{which}") for x in "rsbam"]
+    first = F.least(*over("first"))
+    count, total = [sum((F.coalesce(x, F.lit(0)) for x in over(f)), F.lit(0)) for f in ("cnt", "sum")]
+    return j.select(*df.columns, F.struct(
+        F.greatest(*over("max")).alias("max"), F.least(*over("min")).alias("min"), first["v"].alias("first"),
+        first["t"].alias("first_time"), count.cast("long").alias("count"), total.cast("double").alias("sum")).alias(out))

@@ -13,7 +13,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed settings: reference defaults that must stay as they are.
 SESSION_TIME_ZONE = "UTC"
@@ -94,6 +94,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) as Spark itself resolves it, default file system included."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
