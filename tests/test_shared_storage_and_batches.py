@@ -15,7 +15,7 @@ from tidemark.streaming.medallion import start_all
 from tidemark.streaming.monitor import batch_table, collect_progress, logged_stream
 from tidemark.streaming.sources import replay_as_files, sink_console
 from tidemark.streaming.stateful import (
-    Fanout, SentimentJoin, TailCarry, latest_committed, read_batches, run_tail_carry,
+    Fanout, SentimentJoin, TailCarry, carried_tail, read_batches, run_tail_carry,
 )
 
 T0 = dt.datetime(2024, 1, 1)
@@ -114,9 +114,9 @@ def test_replay_keeps_time_order_and_null_times(spark):
 
 def test_missing_tail_is_an_error(spark):
     root = scratch_path(spark, "t-no-tail")
-    assert latest_committed(spark, root, 0) is None
+    assert carried_tail(spark, root, 0) is None
     with pytest.raises(RuntimeError):
-        latest_committed(spark, root, 3)
+        carried_tail(spark, root, 3)
 
 
 def _stream(spark, parts=5, n=100):
@@ -146,13 +146,14 @@ def test_sentiment_join_prunes_days_and_survives_null_times(spark):
     h = TailCarry(lambda t, carry: correlation_state(t, carry=carry), 9, states, tails, summary_path=days,
                   required=["price"], by_day=True)
     run_tail_carry(s, Fanout(h), scratch_path(spark, "t-sj-ck")).awaitTermination()
-    os.makedirs(f"{states}/batch_id=77")  # an unfinished folder
+    os.makedirs(f"{states}/_part=b77")  # an unfinished folder
     schema = "msg_id long, event_time timestamp_ntz, value long, classification string"
     join = SentimentJoin(states, days, out)
     join(spark.createDataFrame([(1, T0 + dt.timedelta(minutes=90), 10, "x")], schema), 0)
     join(spark.createDataFrame([(2, None, 10, "x")], schema), 1)
-    assert "day=2024-01-01" in os.listdir(f"{states}/batch_id=0")
-    assert path_exists(spark, f"{out}/batch_id=1/_SUCCESS") and read_batches(spark, out).where("batch_id = 1").count() == 0
+    assert "day=2024-01-01" in os.listdir(f"{states}/_part=b0")
+    assert path_exists(spark, f"{out}/_part=b1/_SUCCESS") and read_batches(spark, out).where("batch_id = 1").count() == 0
+    assert len(os.listdir(tails)) == 2  # older tails are gone
 
 
 def test_queries_run_together_and_stop_together(spark):

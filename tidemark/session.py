@@ -112,6 +112,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a folder, whether or not it is there."""
+    fs, p = hadoop_path(spark, path)
+    return fs.delete(p, True)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Remove the scratch copies made so far; call it once their results have
     been consumed (results read them lazily). Returns how many were there."""

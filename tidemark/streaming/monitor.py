@@ -7,10 +7,12 @@ listener attached before the queries start.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from .batches import BATCH, BatchTable
+
 
 class ProgressCollector(StreamingQueryListener):
     """Keeps the progress events of all queries of a session (driver side;
@@ -43,22 +45,23 @@ def collect_progress(spark: SparkSession) -> ProgressCollector:
 
 
 class BatchLog:
-    """``foreachBatch`` handler that writes each micro-batch, then records its
-    number and row count in a table next to it. The counts are read back from
-    that table, one row per batch however many there were; a retried batch
+    """``foreachBatch`` handler that writes each micro-batch and records its
+    number and row count in a table. The count is observed in the write
+    itself (``DataFrame.observe``): nothing is read again for it. A retried batch
     replaces its own folders."""
 
     def __init__(self, out_path: str, log_path: str, then=None):
         self.out, self.log, self.then = out_path, log_path, then
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark, path = batch.sparkSession, f"{self.out}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        written = spark.read.schema(batch.schema).parquet(path)
+        spark = batch.sparkSession
+        seen = Observation(f"batch-{batch_id}")
+        out = BatchTable(spark, self.out)
+        out.write(batch.observe(seen, F.count(F.lit(1)).alias("num_input_rows")), batch_id)
+        rows = int(seen.get["num_input_rows"])
         if self.then:
-            self.then(written, batch_id)
-        (written.agg(F.count(F.lit(1)).alias("num_input_rows"))
-                .write.mode("overwrite").parquet(f"{self.log}/batch_id={batch_id}"))
+            self.then(out.read().where(F.col(BATCH) == batch_id).drop(BATCH), batch_id)
+        BatchTable(spark, self.log).write(spark.createDataFrame([(rows,)], "num_input_rows long"), batch_id)
 
 
 def logged_stream(df: DataFrame, out_path: str, log_path: str, checkpoint: str, then=None) -> StreamingQuery:
@@ -68,4 +71,4 @@ def logged_stream(df: DataFrame, out_path: str, log_path: str, checkpoint: str,
 
 def batch_table(spark: SparkSession, log_path: str) -> DataFrame:
     """(num_input_rows, batch_id) of every batch recorded."""
-    return spark.read.parquet(log_path)
+    return BatchTable(spark, log_path).read()

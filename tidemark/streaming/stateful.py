@@ -8,7 +8,8 @@ previous batches (the last ``k`` ticks per symbol — exactly what the next
 frame can reach) is unioned with the new rows, the chunked batch operator
 runs over that union in parallel, and only the new rows' results are kept.
 The new tail is a per-symbol top-k (a window group limit, partial before the
-shuffle). Outputs and tails are written under the batch id with overwrite,
+shuffle). Outputs are committed per batch through a manifest
+(``streaming.batches``) and tails are written under the batch id with overwrite,
 so a retried batch replaces its own files: exactly-once into the sink.
 
 Order across batches is arrival order; within a symbol it must agree with
@@ -24,43 +25,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.insights import CORR_SYMBOLS, asof_state, signals_from_asof
-from ..session import hadoop_path, path_exists
+from ..session import path_exists, remove, written
+from .batches import BATCH, BatchTable
 
 GEN = "_gen"
 TICK_COLUMNS = ["symbol", "price", "volume", "event_time", "kafka_offset"]
 
 
-def latest_committed(spark: SparkSession, root: str, before: int) -> str | None:
-    """Path of the newest ``root/<n>`` with a success marker and n < before;
-    None for batch 0, which has no past. Batches are handled in order and each
-    one writes its tail, so a later batch without any is an error: going on
-    would silently restart the baselines.
-    The previous batch id is probed first (one existence check); only when
-    it is missing is the folder listed (metadata only)."""
+def carried_tail(spark: SparkSession, root: str, before: int) -> str | None:
+    """Path of the tail that batch ``before - 1`` left; None for batch 0, which has no past. Batches
+    are handled in order and each one writes its tail, so a missing one is an
+    error: going on would silently restart the baselines."""
     if before <= 0:
         return None
-    if path_exists(spark, f"{root}/{before - 1}/_SUCCESS"):
-        return f"{root}/{before - 1}"
-    best = max((n for n in _committed(spark, root, "") if n < before), default=None)
-    if best is None:
+    path = f"{root}/{before - 1}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         raise RuntimeError(f"no carried tail before batch {before} under {root}")
-    return f"{root}/{best}"
-
-
-def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Numbers of the ``root/<prefix><n>`` folders with a success marker (metadata only)."""
-    fs, p = hadoop_path(spark, root)
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    ids = [int(x[len(prefix):]) for x in names if x.startswith(prefix) and x[len(prefix):].isdigit()]
-    return [n for n in ids if path_exists(spark, f"{root}/{prefix}{n}/_SUCCESS")]
+    return path
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    """All finished batch folders of an output; unfinished ones are left out."""
-    done = sorted(_committed(spark, root, "batch_id="))
-    return spark.read.option("basePath", root).parquet(*[f"{root}/batch_id={n}" for n in done])
+    """All committed batches of an output, with their ``batch_id``."""
+    return BatchTable(spark, root).read()
 
 
 class TailCarry:
@@ -87,28 +73,28 @@ class TailCarry:
         cur = (batch.select(*self.columns)
                     .dropna(subset=self.required)
                     .withColumn(GEN, F.lit(1)))
-        prev = latest_committed(spark, self.state, batch_id)
+        prev = carried_tail(spark, self.state, batch_id)
         u = cur if prev is None else spark.read.parquet(prev).withColumn(GEN, F.lit(0)).unionByName(cur)
         u = u.persist()
         try:
             out = self.op(u, carry=[GEN]).filter(F.col(GEN) == 1).drop(GEN)
-            w = out.write
-            if self.by_day:
-                w = out.withColumn("day", F.to_date(self.order[0])).write.partitionBy("day")
-            w.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+            if self.summary:
+                out = written(out, "batch")  # read twice: for the table and for its summary
+            days = out.withColumn("day", F.to_date(self.order[0])) if self.by_day else out
+            BatchTable(spark, self.out, by=("day",) if self.by_day else ()).write(days, batch_id)
             if self.summary:
                 # newest output row per (key, day): lets readers skip old history
-                written = spark.read.parquet(f"{self.out}/batch_id={batch_id}").select(*out.columns)
                 t = self.order[0]
-                last = (written.groupBy(self.key, F.to_date(t).alias("_day"))
-                               .agg(F.max_by(F.struct(*written.columns), F.struct(*[F.col(c) for c in self.order]))
+                last = (out.groupBy(self.key, F.to_date(t).alias("_day"))
+                               .agg(F.max_by(F.struct(*out.columns), F.struct(*[F.col(c) for c in self.order]))
                                     .alias("_r"))
                                .select("_r.*"))
-                last.write.mode("overwrite").parquet(f"{self.summary}/batch_id={batch_id}")
+                BatchTable(spark, self.summary).write(last, batch_id)
             w = Window.partitionBy(self.key).orderBy(*[F.col(c).desc() for c in self.order])
             tail = (u.withColumn("_rn", F.row_number().over(w))
                      .filter(F.col("_rn") <= self.k).drop("_rn", GEN))
             tail.write.mode("overwrite").parquet(f"{self.state}/{batch_id}")
+            remove(spark, f"{self.state}/{batch_id - 2}")  # a retry of this batch needs the one before it
         finally:
             u.unpersist()
 
@@ -142,7 +128,8 @@ class SentimentJoin:
     summary of its newest state. Each sentiment micro-batch is as-of joined
     (``plans.asof``) to the state rows from the day before its first reading
     on (older day folders are pruned), plus the day summaries before that: one
-    row per symbol and day. Only finished batch folders are read. A batch
+    row per symbol and day. Both tables are read through their manifests: what is committed
+    when the batch begins, by a constant number of calls. A batch
     without any time writes an empty result."""
 
     def __init__(self, state_table: str, summary_table: str, out_path: str, symbols=CORR_SYMBOLS,
@@ -154,9 +141,9 @@ class SentimentJoin:
         spark = batch.sparkSession
         first = batch.agg(F.min(self.t).alias("lo")).first().lo  # one scalar
         day = F.date_sub(F.to_date(F.lit(first).cast("timestamp_ntz")), 1)
-        recent = read_batches(spark, self.state).filter(F.col("day") >= day).drop("batch_id", "day")
-        older = read_batches(spark, self.summary).drop("batch_id").filter(F.col(self.t) < day.cast("timestamp_ntz"))
+        recent = read_batches(spark, self.state).filter(F.col("day") >= day).drop(BATCH, "day")
+        older = read_batches(spark, self.summary).drop(BATCH).filter(F.col(self.t) < day.cast("timestamp_ntz"))
         out = signals_from_asof(asof_state(batch, recent.unionByName(older), self.symbols))
         if self.stamp:
             out = out.withColumn("created_at", F.current_timestamp())
-        out.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+        BatchTable(spark, self.out).write(out, batch_id)

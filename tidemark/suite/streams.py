@@ -16,7 +16,9 @@ from ..session import scratch_path
 from ..schemas import PRICE_SCHEMA
 from ..sources.fixtures import kafka_price_records, market_snapshots, newsapi_articles, rss_entries, sentiment, AS_OF
 from ..sources.decode import decode_price_json, kafka_envelope, normalize_market_data, route_malformed
+from ..streaming.batches import BatchTable
 from ..streaming.medallion import bronze_stream, run_medallion
+from ..streaming.seen import SeenIds
 from ..streaming.sources import (
     KAFKA_RECORD_SCHEMA, console_rows, read_stream, release, replay_as_files, stage_replay,
 )
@@ -211,23 +213,19 @@ def q_src_multi_topic(spark, sf_dir):
     return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-# How long a news id is remembered after its article's time: longer than feeds repeat their entries.
-NEWS_DEDUP_HORIZON = "45 days"
-
-
 @register("dedup_stream", sql="SELECT DISTINCT md5(coalesce(text, '')) AS id FROM documents")
 def q_dedup_stream(spark, sf_dir):
+    """Articles in several micro-batches; every id goes out once, however far apart its rows are."""
     from ..sources.decode import news_union, normalize_newsapi, normalize_rss
     path = scratch_path(spark, "topic-news")
     arts = news_union(normalize_newsapi(newsapi_articles(spark, sf_dir), AS_OF),
                       normalize_rss(rss_entries(spark, sf_dir), AS_OF))
-    arts.withColumn("t", F.timestamp_seconds("created_utc")).write.mode("overwrite").parquet(path)
-    schema = spark.read.parquet(path).schema
-    s = (spark.readStream.schema(schema).parquet(path)
-              .withWatermark("t", NEWS_DEDUP_HORIZON).dropDuplicatesWithinWatermark(["id"]))
-    out, ck = scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-ckpt")
-    _run(s.select("id"), out, ck)
-    return spark.read.parquet(out)
+    replay_as_files(arts, path, "created_utc", PARTS, fmt="parquet")
+    s = spark.readStream.schema(arts.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out, seen, ck = (scratch_path(spark, f"dedup-{x}") for x in ("out", "seen", "ckpt"))
+    handler = SeenIds(spark, out, seen, "id", ["created_utc"])
+    run_tail_carry(s, handler, ck).awaitTermination()
+    return read_batches(spark, out).select("id")
 
 
 @register("checkpoint_recovery", sql=f"WITH {BRONZE} SELECT symbol, count(*) AS n FROM bronze GROUP BY 1")
@@ -458,8 +456,8 @@ def q_sink_insight_tables(spark, sf_dir):
     spikes = TailCarry(stamped(spikes_op), 49, paths["volume_spikes"], scratch_path(spark, "sp-tail"))
 
     def readings(batch, batch_id):
-        (market_sentiment(batch).withColumn("created_at", F.current_timestamp())
-         .write.mode("overwrite").parquet(f"{paths['market_sentiment']}/batch_id={batch_id}"))
+        rows = market_sentiment(batch).withColumn("created_at", F.current_timestamp())
+        BatchTable(spark, paths["market_sentiment"]).write(rows, batch_id)
 
     paths["sentiment_price_correlation"] = _correlate(spark, sf_dir, [moves, spikes], [readings], stamp=True)
     return insight_rows({name: read_batches(spark, p) for name, p in paths.items()})
