@@ -62,9 +62,77 @@ def test_compaction_compares_rows(spark, monkeypatch):
     src = scratch_path(spark, "t-rows")
     spark.range(100).selectExpr("cast(id % 2 as string) AS symbol", "id").repartition(9).write.partitionBy("symbol").parquet(src)
     from tidemark.operators import maintenance
-    monkeypatch.setattr(maintenance, "rebalanced", lambda df, cols: df.withColumn("id", F.col("id") + 1))  # same count
+    seen = iter([(100, 1), (100, 2)])  # same count, other rows
+    monkeypatch.setattr(maintenance, "_fingerprint", lambda df, cols: next(seen))
     with pytest.raises(RuntimeError):
-        compact_table(spark, src, scratch_path(spark, "t-rows-out"))
+        compact_table(spark, src)
+    assert maintenance.read_table(spark, src).count() == 100
+
+
+def _visible_files(df):
+    return {r[0]: r[1] for r in df.select("_metadata.file_path", "_metadata.file_size").distinct().collect()}
+
+
+def test_compaction_switches_readers_at_once_and_leaves_large_files(spark, monkeypatch):
+    from tidemark.operators import maintenance
+    src = scratch_path(spark, "t-switch")
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE concat('a b/', id % 2) END AS symbol", "id", "uuid() AS filler").persist()
+    rows.where("id < 2000").repartition(1).write.partitionBy("symbol").parquet(src)  # large files
+    large = set(_visible_files(maintenance.read_table(spark, src)))
+    rows.where("id >= 2000").repartition(12).write.mode("append").partitionBy("symbol").parquet(src)
+    want = sorted(map(tuple, rows.collect()), key=str)
+    small = 1 + max(s for f, s in _visible_files(maintenance.read_table(spark, src)).items() if f not in large)
+    seen, point = [], maintenance._point
+
+    def watch(*a):  # a reader before and after every change of the pointer
+        seen.append(sorted(map(tuple, maintenance.read_table(spark, src).select("symbol", "id", "filler").collect()), key=str))
+        point(*a)
+        seen.append(sorted(map(tuple, maintenance.read_table(spark, src).select("symbol", "id", "filler").collect()), key=str))
+    monkeypatch.setattr(maintenance, "_point", watch)
+    out = compact_table(spark, src, small=small)
+    assert len(seen) == 4 and all(s == want for s in seen)
+    files = _visible_files(out)
+    assert large <= set(files) and len(files) == len(large) + 3
+    # rows appended later are seen at once; a second run packs what is small by then
+    monkeypatch.setattr(maintenance, "_point", point)
+    rows.where("id < 30").repartition(3).write.mode("append").partitionBy("symbol").parquet(src)
+    assert maintenance.read_table(spark, src).count() == 3030
+    out = compact_table(spark, src, small=small)
+    assert out.count() == 3030 and large <= set(_visible_files(out))
+    assert maintenance.remove_hidden(spark, src) > 36 and maintenance.read_table(spark, src).count() == 3030
+    assert spark.read.parquet(src).count() == 3030  # nothing is hidden any more
+    assert _visible_files(compact_table(spark, src, small=1)) == _visible_files(out)  # nothing small: nothing done
+    rows.unpersist()
+
+
+def test_bins_fill_the_target(spark):
+    from tidemark.operators.maintenance import small_file_bins
+    files = spark.createDataFrame([("a", f"p{i}", 40) for i in range(6)] + [("b", "q", 40), (None, "r0", 1), (None, "r1", 1)],
+                                  "symbol string, path string, size long")
+    got = {}
+    for r in small_file_bins(files, "symbol", 100).collect():
+        got.setdefault((r.path[0], r.bin), set()).add(r.path)
+    assert sorted(map(sorted, got.values())) == [["p0", "p1", "p2"], ["p3", "p4"], ["r0", "r1"]]
+
+
+def test_last_rows_follow_the_stream(spark):
+    from tidemark.operators.serving import latest_price_semi
+    from tidemark.streaming.last_rows import LastRows
+    schema = TICKS + ", price_change_percent double"
+    t = lambda m: T0 + dt.timedelta(minutes=m)
+    batches = [[("A", 1.0, 1.0, t(1), 1, 0.1), ("B", 2.0, 1.0, t(1), 2, None)], [("A", 3.0, 1.0, t(5), 3, 0.1), (None, 3.0, 1.0, t(9), 3, 0.1)],
+               [("A", 4.0, 1.0, t(5), 4, 0.1)],  # a tie across batches
+               [("B", 9.0, 1.0, t(0), 5, 0.1)],  # late: changes nothing
+               [("C", 1.0, None, t(2), 6, 0.1), ("A", 1.0, 1.0, None, 7, 0.1)], []] + [[("D", float(k), 1.0, t(k), 10 + k, 0.0)] for k in range(9)]
+    table = LastRows(spark, scratch_path(spark, "t-last"), fan=3)
+    every = spark.createDataFrame([r for b in batches for r in b], schema)
+    for n, b in enumerate(batches):
+        table(spark.createDataFrame(b, schema), n)
+        if n == 2:
+            table(spark.createDataFrame(b, schema), n)  # a retry
+    key = lambda df: sorted(map(tuple, latest_price_semi(df).collect()), key=str)
+    assert key(table.last()) == key(every) and len(key(every)) == 5
+    assert table.read().count() < 12  # merges keep the newest rows only
 
 
 def test_every_batch_is_counted(spark):

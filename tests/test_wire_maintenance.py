@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.maintenance import compact_table, register_layer_views, scan_path
+from tidemark.operators.maintenance import compact_table, register_layer_views, remove_hidden, scan_path
 from tidemark.session import scratch_path
 from tidemark.sources.decode import (
     article_id, normalize_market_data, normalize_newsapi, normalize_rss, normalize_sentiment,
@@ -67,14 +67,12 @@ def test_compact_and_views(spark):
     src = scratch_path(spark, "t-small")
     df = spark.range(0, 500).select((F.col("id") % 3).cast("string").alias("symbol"), "id")
     df.repartition(20).write.partitionBy("symbol").parquet(src)
-    dst = scratch_path(spark, "t-compact")
-    out = compact_table(spark, src, dst)
-    assert out.count() == 500
-    files = [f for _, _, fs in os.walk(dst) for f in fs if f.endswith(".parquet")]
-    assert len(files) == 3
+    out = compact_table(spark, src)
+    assert out.count() == 500 and out.select("_metadata.file_path").distinct().count() == 3
+    assert remove_hidden(spark, src) == 60
     names = register_layer_views(spark, {"v_small": src, "v_missing": src + "-nope"})
     assert names == ["v_small"] and spark.table("v_small").count() == 500
-    assert scan_path(spark, dst).count() == 500
+    assert scan_path(spark, src).count() == 500
 
 
 def test_console_sink_and_kafka_records(spark):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import TRACKED_SYMBOLS, null_to_zero
+from ..streaming.last_rows import newest
 
 PRICE_COLUMNS = ["symbol", "price", "volume", "price_change_percent", "event_time"]
 
@@ -37,12 +38,10 @@ def latest_price_correlated(spark: SparkSession, bronze: DataFrame) -> DataFrame
 
 def latest_price_semi(bronze: DataFrame) -> DataFrame:
     """Same rows as the semi join with per-symbol maxima, in one pass: the rows
-    of rank 1 by time within their symbol, ties included. Spark keeps only
-    each task's candidates before the shuffle (a window group limit)."""
-    w = Window.partitionBy("symbol").orderBy(F.col("event_time").desc())
-    return (bronze.select(*PRICE_COLUMNS).filter(F.col("symbol").isNotNull() & F.col("event_time").isNotNull())
-                  .withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
-                  .orderBy("symbol"))
+    of rank 1 by time within their symbol, ties included. ``bronze`` may be the
+    whole layer or the table of newest rows that a stream keeps
+    (``streaming.last_rows``): the answer is the same."""
+    return newest(bronze.select(*PRICE_COLUMNS), "symbol", "event_time").orderBy("symbol")
 
 
 def price_history(bronze: DataFrame, symbol: str, as_of, hours: int = 24, limit: int = 100) -> DataFrame:

@@ -9,6 +9,8 @@ from ..operators.maintenance import rebalanced
 from ..session import path_exists, scratch_path
 from ..sources.decode import bronze_records, kafka_envelope
 from ..sources.fixtures import base_ticks, kafka_price_records
+from ..streaming.last_rows import LastRows
+from ..streaming.stateful import run_tail_carry
 
 
 def bronze(spark, sf_dir, audit=False, cut=False):
@@ -29,6 +31,19 @@ def bronze_table(spark, sf_dir):
     return spark.read.parquet(_written[key])
 
 
+def last_prices(spark, sf_dir):
+    """The newest bronze rows per symbol, as a stream over the bronze table keeps them (several
+    micro-batches; run once per session and input). What is read is only that table."""
+    key = (spark.sparkContext.applicationId, sf_dir, "last")
+    if key not in _written or not path_exists(spark, _written[key]):
+        layer = bronze_table(spark, sf_dir)
+        path = scratch_path(spark, "last-prices")
+        stream = spark.readStream.schema(layer.schema).option("maxFilesPerTrigger", 4).parquet(_written[key[:2]])
+        run_tail_carry(stream, LastRows(spark, path), scratch_path(spark, "last-ckpt")).awaitTermination()
+        _written[key] = path
+    return LastRows(spark, _written[key]).last()
+
+
 def silver(spark, sf_dir, interval="1 minute"):
     return ohlc_candles(base_ticks(spark, sf_dir), interval)
 

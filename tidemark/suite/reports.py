@@ -345,7 +345,7 @@ def q_src_delta_scan(spark, sf_dir):
 WITH {BASE_TICKS} SELECT symbol, count(*) AS n, CAST(sum(kafka_offset) AS BIGINT) AS offsets FROM base_ticks GROUP BY 1""")
 def q_compact_table(spark, sf_dir):
     src = scratch_path(spark, "small_files")
-    # many small files: one per (day, symbol)
+    # many small files: one per (task, symbol)
     base_ticks(spark, sf_dir).repartition(64).write.mode("overwrite").partitionBy("symbol").parquet(src)
-    out = compact_table(spark, src, scratch_path(spark, "compacted"))
+    out = compact_table(spark, src)
     return out.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("kafka_offset").alias("offsets"))

@@ -16,7 +16,7 @@ from ..operators.warehouse import dim_symbols, stg_crypto_prices
 from ..registry import register
 from ..sources.decode import decode_price_json, kafka_envelope
 from ..sources.fixtures import AS_OF, base_ticks, kafka_price_records, validation_bounds, ticks
-from .layers import bronze, bronze_table, gold, silver
+from .layers import bronze, bronze_table, gold, last_prices, silver
 from .market import gold_sql
 from .sqlviews import BASE_TICKS, BRONZE, BRONZE_CUT, CANDLE_COLS, DIM, VALIDATED, candles_cte, moves_v2_sql
 
@@ -62,7 +62,7 @@ SELECT symbol, price, volume, coalesce(price_change_percent, 0.0) AS price_chang
 FROM bronze b1
 WHERE event_time = (SELECT max(event_time) FROM bronze b2 WHERE b2.symbol = b1.symbol)""")
 def q_latest_price_correlated(spark, sf_dir):
-    return latest_price_correlated(spark, bronze_table(spark, sf_dir))
+    return latest_price_correlated(spark, last_prices(spark, sf_dir))
 
 
 @register("latest_price_semi", doubles=PRICE_DOUBLES, sql=f"""
@@ -71,7 +71,7 @@ SELECT symbol, price, volume, price_change_percent, event_time
 FROM bronze
 WHERE (symbol, event_time) IN (SELECT symbol, max(event_time) FROM bronze GROUP BY symbol)""")
 def q_latest_price_semi(spark, sf_dir):
-    return latest_price_semi(bronze_table(spark, sf_dir))
+    return latest_price_semi(last_prices(spark, sf_dir))
 
 
 @register("null_to_zero", doubles=["price_change_percent"], sql=f"""
