@@ -54,6 +54,20 @@ def brute_substring(rows, window=13):
     return sorted(out)
 
 
+def test_substring_rows_of_one_id(spark):
+    """Two texts of one id: what one repeats is cut from it, the other keeps all its words; repeated rows stay equal."""
+    words = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    p = words("p", 20)
+    rows = [(1, p + " x"), (7, p + " " + words("a", 60)), (7, words("z", 60)), (7, words("z", 60)), (9, words("z", 30)), (None, p), (None, words("n", 40))]
+    got = sub.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), carry=["doc_id"]).collect()
+    assert sorted(((r.id, r.n_words, r.n_removed) for r in got), key=str) == sorted(
+        [(1, 21, 0), (7, 80, 20), (7, 60, 0), (7, 60, 0), (9, 30, 30), (None, 20, 20), (None, 40, 0)], key=str)
+    assert {r.kept_text for r in got if r.id == 7} == {words("a", 60), words("z", 60)}
+    two = [(3, p + " a"), (3, p + " b")]  # one of the two keeps the passage
+    got = sub.substring_dedup(spark.createDataFrame(two, "doc_id long, text string")).collect()
+    assert sorted(r.n_removed for r in got) == [0, 20] and all(r.id == 3 for r in got)
+
+
 @pytest.mark.parametrize("group_bytes", [4 << 20, 3000])
 def test_substring_brute_force(spark, group_bytes):
     docs = documents(spark).where("doc_id is not null")

@@ -102,6 +102,22 @@ def test_near_copies_go_row_by_row(spark):
     assert sum(t in (e, wide(e)) for _, t in got) == 1  # two texts of one id in one group: one of them
 
 
+def test_pipeline_run_with_repeated_ids(spark, tmp_path):
+    """``run`` as registered: rows that share an id go through all stages as rows; the clean one is packed whole."""
+    words = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    p = "the quick brown fox " + words("word", 30)
+    rows = [(1, p + " x"), (7, p + " the " + words("a", 60)), (7, "the old " + words("z", 60)), (8, words("q", 40)), (8, words("q", 40)), (9, "123 456"), (10, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    from tidemark.llm.packing import word_encoder
+    import public_tokenizers
+    encode = word_encoder(public_tokenizers.path("word_bpe_49k.json")).encode
+    length = lambda t: len(next(iter(encode([t.encode()])))) // 4 + 1
+    assert sorted((r.doc_id, r.length) for r in got) == sorted(
+        [(1, length(p + " x")), (7, length("the " + words("a", 60))), (7, length("the old " + words("z", 60))), (8, length(words("q", 40)))])
+
+
 def test_pipeline_empty(spark):
     assert run_stages(spark, empty(spark))[-1].count() == 0
 

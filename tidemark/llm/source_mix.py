@@ -25,10 +25,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, running
 
 #: Fixed value: a word is a run of anything but the six ASCII spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,23 +46,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """``df`` with, for each of ``sums``, the sum over all rows before in ``order``.
-
-    Range partitions are summed on their own; what lies before a partition comes
-    from a table of one row per partition, so no task sorts everything.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = materialise(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "running")
-    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    tops = dealt.groupBy("__part").agg(*[F.sum(c).alias(f"__{n}") for n, c in sums.items()])
-    tops = tops.select("__part", *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in sums])
-    own = dealt.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(n) for n, c in sums.items()])
-    out = own.join(tops, "__part")
-    return out.select(*df.columns, *[(F.col(n) + F.col(f"__{n}")).alias(n) for n in sums])
-
-
 def source_targets(sources: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
     """(source, source_size, target) of (source, source_size): ``weights`` repeat over the sources by
     code point, null last; the targets sum to ``share`` of all sizes, none is above ``most``

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, give_back, mix64, pack, parts_for, runs, ship, unpack
+from .common import NULL_ID, give_back, materialise, mix64, pack, parts_for, running, runs, ship, unpack
 
 ROW = "bucket long, blob binary"
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -329,6 +329,21 @@ def _without(text: bytes, spans: list[dict]) -> bytes:
     return b"".join([*out, text[s:]])
 
 
+def _text_digest():
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+
+
+def _places_of_texts(own: DataFrame) -> DataFrame | None:
+    """(of, digest, place): the place of every different (id, text) in the order of id and digest.
+    None where each id has one text: then the ids serve as they are."""
+    texts = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    several = own.groupBy("id").agg(F.min(texts).alias("a"), F.max(texts).alias("b")).where("a <> b")
+    if not several.take(1):
+        return None
+    pairs = own.select(F.col("id").alias("of"), _text_digest().alias("digest")).distinct()
+    return materialise(running(pairs, [F.col("of"), F.col("digest")], {"place": F.lit(1).cast("long")}), "places")
+
+
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, block: int = 7,
                     carry: list[str] | None = None, cut_text: bool = False, group_bytes: int = 4 << 20) -> DataFrame:
     """Removes each word covered by a window of ``window`` words whose sequence also
@@ -337,8 +352,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (id, n_words, n_removed, spans of removed words, kept_text, extra): kept_text is
     the kept words joined by one space, or with ``cut_text`` the text as it was
     without the removed words; extra is JSON of the ``carry`` columns. Null and
-    empty texts have no words. Rows of one id must hold one text: repeated rows
-    don't count against each other and get equal results. Rows with a null id
+    empty texts have no words. Repeated rows
+    don't count against each other and get equal results. Different texts under one
+    id are documents of their own, in the order of their digests. Rows with a null id
     come after all others, ordered by a hash of their text. Ids are below 2**62.
     An empty table gives no rows.
     """
@@ -350,6 +366,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), unnamed).alias("id"), text.alias("text"),
                       (F.to_json(F.struct(*carry)) if carry else F.lit("")).alias("extra"))
     total = docs.agg(F.sum(F.octet_length(text) + 64)).first()[0]
+    named = own
+    places = _places_of_texts(own)
+    if places is not None:  # from here on a document's id is its place
+        named = own.join(places, (own["id"] == places["of"]) & (_text_digest() == places["digest"])).select(
+            places["place"].alias("id"), "text", "extra")
+    own = named
     buckets = groups = parts_for(total, group_bytes)
     hits = (own.select("id", "text").mapInArrow(_probe(block, window, buckets, groups), ROW)
             .groupBy("bucket").applyInArrow(_match(groups), ROW))
@@ -358,5 +380,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .applyInArrow(_extend(block, window, buckets, groups), ROW)
              .groupBy("bucket").applyInArrow(_earlier(groups), ROW))
     out = shipped.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(_cut(window, cut_text), RESULT)
+    if places is not None:
+        back = places.select(F.col("place").alias("id"), "of")
+        out = out.join(back, "id").withColumn("id", F.col("of")).drop("of")
     return out.withColumn("id", F.when(F.col("id") < NULL_ID, F.col("id")))
 
