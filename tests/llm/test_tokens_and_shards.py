@@ -113,6 +113,46 @@ def test_solver_close_to_the_bound():
         assert best <= plan.sequences <= best + 3
 
 
+def best_fit_one_by_one(counts, capacity):
+    """Best-fit decreasing, piece by piece."""
+    rooms = Counter()
+    for x in sorted(Counter(counts).elements(), reverse=True):
+        room = min((r for r in rooms if r >= x and rooms[r]), default=None)
+        if room is not None:
+            rooms[room] -= 1
+        rooms[(capacity if room is None else room) - x] += 1
+    return rooms.total()
+
+
+def test_best_fit_by_runs_is_best_fit():
+    rng = np.random.default_rng(2)
+    for n, high in ((300, 60), (1000, 12), (50, 100)):
+        counts = Counter(rng.integers(1, high, n).tolist())
+        got = packing.best_fit(counts, 100)
+        assert sum((Counter({x: t * c for x, c in Counter(config).items()}) for config, t in got), Counter()) == counts
+        assert all(sum(config) <= 100 and t > 0 for config, t in got)
+        assert sum(t for _, t in got) == best_fit_one_by_one(counts, 100)
+
+
+def test_program_is_priced_at_every_size_and_never_worse_than_best_fit():
+    import pyarrow.parquet as pq
+    encoder, real = packing.word_encoder(WORD), Counter()
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    for ids in encoder.encode([(t or "").encode() for t in texts]):
+        n = len(ids) // 4 + 1
+        real[2048] += n // 2048
+        real[n % 2048] += int(n % 2048 > 0)
+    trap = {1026: 6, 516: 6, 514: 6, 508: 12}  # best-fit decreasing takes 11 sequences where 9 are enough
+    for counts in (real, trap):
+        for times in (1, 3, 5, 100):
+            many = {x: times * n for x, n in counts.items() if n}
+            plan = packing.solve(many, 2048)
+            fit = sum(t for _, t in packing.best_fit(many, 2048))
+            assert plan.pricings > 0 and plan.gap < 0.02 and plan.sequences <= fit
+            if counts is trap:
+                assert plan.sequences <= 9 * times + 4 and (times < 100 or plan.sequences < 0.9 * fit)
+
+
 def test_knapsack_is_exact():
     rng = np.random.default_rng(6)
     lengths, values = np.array([3, 5, 7, 11]), rng.random(4)

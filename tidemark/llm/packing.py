@@ -3,12 +3,12 @@
 Tokenised pieces enter only as a histogram of lengths, whose size is bounded by
 the sequence length and not by the data. A configuration is a multiset of lengths
 that fits a sequence. The configuration LP (cover every length's count with as
-few configurations as possible) is solved on the driver by multiplicative
-weights: a knapsack dynamic program prices configurations under the present
-weights, near-best ones take a step that covers a share of what is still open,
-and lengths covered less than the average gain weight. Steps are rounded down to whole sequences as they
-are taken, so no length is covered twice; the last few pieces that rounding leaves open are
-packed best-fit. The plan (runs of ranks per length) then places the pieces in
+few configurations as possible) is solved in fractions on the driver by multiplicative
+weights: a knapsack dynamic program prices all configurations under the present
+weights, near-best ones are raised, and lengths covered less than the average gain weight;
+the gap to the LP's lower bound is stated. The fractions are rounded once, what that
+leaves open is packed best-fit decreasing, and the plan is never worse than best-fit decreasing
+of everything. The plan (runs of ranks per length) then places the pieces in
 parallel: a piece's rank among those of its length tells its sequence and offset.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -155,87 +156,152 @@ def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.nd
 class Plan:
     """Whole sequences by configuration: runs of ranks per length."""
 
-    def __init__(self, counts: dict[int, int]):
-        self.counts = dict(counts)
-        self.used = dict.fromkeys(counts, 0)
+    def __init__(self):
+        self.used: dict[int, int] = {}
         self.rows: list[tuple[int, int, int, int, int]] = []  # length, first rank, count, first sequence, offset
         self.sequences = 0
+        self.pricings, self.gap = 0, 0.0  # of the linear program: knapsacks solved, its cost over its lower bound
 
     def add(self, config: list[int], times: int) -> None:
         at = 0
         for length in config:
-            self.rows.append((length, self.used[length], times, self.sequences, at))
-            self.used[length] += times
+            first = self.used.get(length, 0)
+            self.rows.append((length, first, times, self.sequences, at))
+            self.used[length] = first + times
             at += length
         self.sequences += times
 
 
-def _config(room: int, lengths, take, left: dict[int, int], config: list[int]) -> dict[int, int]:
-    """Follows the knapsack's choices; a length with no pieces left gives way to the longest that fits."""
-    used: dict[int, int] = {}
-    for x in config:
-        used[x] = used.get(x, 0) + 1
-        room -= x
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing by runs of equal sequences: (lengths of a sequence, how many such)."""
+    groups: dict[int, list[list]] = {}  # room -> [lengths, times]
+
+    def put(room: int, lengths: tuple, times: int) -> None:
+        if times:
+            groups.setdefault(room, []).append([lengths, times])
+    for x in sorted((x for x, n in counts.items() if n > 0), reverse=True):
+        n = counts[x]
+        for room in sorted(r for r in groups if r >= x):
+            fit = room // x  # best fit goes on in the same sequence while it has room
+            for lengths, times in groups.pop(room):
+                whole = min(times, n // fit)
+                put(room - fit * x, lengths + (x,) * fit, whole)
+                n -= whole * fit
+                part = min(n, fit - 1) if whole < times else 0
+                put(room - part * x, lengths + (x,) * part, int(part > 0))
+                n -= part
+                put(room, lengths, times - whole - int(part > 0))
+            if not n:
+                break
+        fit = capacity // x
+        put(capacity - fit * x, (x,) * fit, n // fit)
+        put(capacity - n % fit * x, (x,) * (n % fit), int(n % fit > 0))
+    return [(lengths, times) for room in groups for lengths, times in groups[room]]
+
+
+def _filled(k: int, lengths: list[int], take: list[int], open_: list[float], capacity: int) -> dict[int, int]:
+    """The best configuration that holds length ``k``: the knapsack's choices, where a length
+    that is covered gives way to the longest that fits and isn't."""
+    config, room = {k: 1}, capacity - lengths[k]
     while room > 0:
-        k = int(take[room])
-        if k < 0:
+        j = take[room]
+        if j < 0:
             room -= 1
             continue
-        x = int(lengths[k])
-        if left[x] <= used.get(x, 0):
-            k = int(np.searchsorted(lengths, room, side="right")) - 1
-            while k >= 0 and left[int(lengths[k])] <= used.get(int(lengths[k]), 0):
-                k -= 1
-            if k < 0:
+        if open_[j] <= 0:
+            j = bisect_right(lengths, room) - 1
+            while j >= 0 and open_[j] <= 0:
+                j -= 1
+            if j < 0:
                 break
-            x = int(lengths[k])
-        used[x] = used.get(x, 0) + 1
-        room -= x
-    return used
-
-
-def solve(counts: dict[int, int], capacity: int, share: float = 0.5, eps: float = 0.02, slack: float = 0.002,
-          last: int = 2000) -> Plan:
-    """Plan for ``counts`` pieces of each length (1..capacity) into sequences of ``capacity``."""
-    plan = Plan(counts)
-    left = {int(x): int(n) for x, n in counts.items() if n > 0}
-    weight = dict.fromkeys(left, 1.0)
-    if n := left.pop(capacity, 0):  # fills a sequence alone
-        plan.add([capacity], n)
-    while sum(left.values()) > last:
-        lengths = np.array(sorted(left), np.int64)
-        values = lengths / capacity * np.array([weight[int(x)] for x in lengths])
-        best, take = price(lengths, values, capacity)
-        worth = values + best[capacity - lengths]
-        whole = sum(left.values())
-        for k in np.argsort(-worth, kind="stable").tolist():
-            x = int(lengths[k])
-            if worth[k] < (1 - slack) * best[capacity] and sum(left.values()) < whole:
+        config[j] = config.get(j, 0) + 1
+        room -= lengths[j]
+    return config
+
+
+def fractional(counts: dict[int, int], capacity: int, rounds: int = 40, share: float = 0.25, eta: float = 1.0,
+               slack: float = 0.01) -> tuple[dict[tuple, float], int, float]:
+    """The configuration program: cover every length's count by configurations, as few as can be, in fractions.
+
+    Multiplicative weights: a length's value is its size times a weight, and each round multiplies
+    the weights by exp(eta * (open share - mean open share)), so lengths less covered than the
+    average gain. A knapsack prices all configurations; those that are within ``slack`` of the best
+    are raised by ``share`` of what their scarcest length has open. Returns the
+    configurations with their fractions, the number of knapsacks, and the gap: their
+    number, what is still open counted as if it filled sequences, over the best lower bound (the
+    counts' value over that of the best configuration), minus one.
+    """
+    lengths = sorted(counts)
+    size = np.array(lengths, np.int64)
+    n = np.array([counts[x] for x in lengths], np.float64)
+    open_ = n.copy()
+    weight = np.ones(len(lengths))
+    x: dict[tuple, float] = {}
+    bound, done = float(size @ n) / capacity, 0
+    for done in range(1, rounds + 1):
+        values = size / capacity * weight
+        best, take = price(size, values, capacity)
+        bound = max(bound, float(values @ n) / best[capacity])
+        worth, choices, left = values + best[capacity - size], take.tolist(), open_.tolist()
+        for rank, k in enumerate(np.argsort(-worth, kind="stable").tolist()):
+            if rank and worth[k] < (1 - slack) * best[capacity]:
                 break
-            if left[x] < 1:
+            if left[k] <= 0:
                 continue
-            config = _config(capacity, lengths, take, left, [x])
-            times = max(1, int(share * min(left[y] // c for y, c in config.items())))
-            plan.add([y for y, c in config.items() for _ in range(c)], times)
-            for y, c in config.items():
+            config = _filled(k, lengths, choices, left, capacity)
+            step = share * min(left[j] / c for j, c in config.items())
+            for j, c in config.items():
+                left[j] = left[j] - c * step if left[j] - c * step > 1e-6 * n[j] else 0.0
+            key = tuple(sorted((lengths[j] for j, c in config.items() for _ in range(c)), reverse=True))
+            x[key] = x.get(key, 0.0) + step
+        open_ = np.array(left)
+        if size @ open_ <= 1e-3 * (size @ n):
+            break
+        behind = open_ / n
+        weight = np.clip(weight * np.exp(eta * (behind - behind.mean())), 0.25, 4)
+    return x, done, (sum(x.values()) + float(size @ open_) / capacity) / bound - 1
+
+
+def solve(counts: dict[int, int], capacity: int, rounds: int = 40) -> Plan:
+    """Plan for ``counts`` pieces of each length (1..capacity) into sequences of ``capacity``.
+
+    The fractional program is rounded once: of every configuration its whole part, as far
+    as pieces are left, then single ones for the fractions, largest first; what stays open is packed best-fit
+    decreasing. Every share of the single ones that is tried, and none of the program at all, leaves a
+    whole plan: the one of the fewest sequences is taken, so none is worse than best-fit decreasing.
+    """
+    plan = Plan()
+    counts = {int(x): int(m) for x, m in counts.items() if m > 0}
+    if m := counts.pop(capacity, 0):  # fills a sequence alone
+        plan.add([capacity], m)
+    if not counts:
+        return plan
+    x, plan.pricings, plan.gap = fractional(counts, capacity, rounds)
+    left, whole = dict(counts), []
+
+    def place(config: tuple, most: int, out: list) -> None:
+        need = Counter(config)
+        times = min(most, *(left[y] // c for y, c in need.items()))
+        if times > 0:
+            out.append((config, times))
+            for y, c in need.items():
                 left[y] -= c * times
-        left = {x: n for x, n in left.items() if n > 0}
-        if left:  # lengths less covered than the average gain weight
-            open_ = {x: n / counts[x] for x, n in left.items()}
-            mean = sum(open_.values()) / len(open_)
-            for x, o in open_.items():
-                weight[x] = min(1.05, max(0.95, weight[x] * float(np.exp(eps * (o - mean)))))
-    rooms: dict[int, list[list[int]]] = {}  # best-fit, longest first: open sequences by room
-    for x in sorted((x for x, n in left.items() for _ in range(n)), reverse=True):
-        room = min((r for r in rooms if r >= x), default=None)
-        seq = rooms[room].pop() if room is not None else []
-        if room is not None and not rooms[room]:
-            del rooms[room]
-        seq.append(x)
-        rooms.setdefault((capacity if room is None else room) - x, []).append(seq)
-    for seqs in rooms.values():
-        for seq in seqs:
-            plan.add(seq, 1)
+    order = sorted(x, key=lambda c: (-sum(c), -x[c], c))  # the fullest first
+    for config in order:
+        place(config, int(x[config]), whole)
+    singles: list = []
+    for config in sorted(x, key=lambda c: (-sum(c), int(x[c]) - x[c], c)):
+        place(config, 1, singles)
+    plans = [best_fit(counts, capacity)]
+    for share in (0.0, 0.25, 0.5, 0.75, 0.9, 1.0):
+        kept = whole + singles[:int(share * len(singles))]
+        open_ = Counter(counts)
+        for config, times in kept:
+            for y in config:
+                open_[y] -= times
+        plans.append(kept + best_fit(open_, capacity))
+    for config, times in min(plans, key=lambda p: sum(t for _, t in p)):
+        plan.add(list(config), times)
     return plan
 
 
