@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.candles import market_analytics, ohlc_candles, ohlc_resample
+from ..operators.candles import candle_states, candles_of, market_analytics, merge_candles, ohlc_candles, ohlc_resample
 from ..registry import register
+from ..session import written
 from ..sources.fixtures import base_ticks, ticks
 from .sqlviews import BASE_TICKS, CANDLE_COLS, TICKS, candles_cte
 
@@ -93,6 +94,23 @@ def q_ohlc_resample_1d(spark, sf_dir):
     return ohlc_resample(silver(spark, sf_dir), "1 day")
 
 
+ROLLUP = {"5 minutes": "1 minute", "15 minutes": "5 minutes", "1 hour": "15 minutes", "1 day": "1 hour"}
+
+
+@register("ohlc_rollup", doubles=CANDLE_DOUBLES, sql=f"WITH {BASE_TICKS}, " + ", ".join(
+    candles_cte(i, f"c{k}") for k, i in enumerate(ROLLUP)) + " " + " UNION ALL ".join(
+    f"SELECT '{i}' AS \"interval\", {CANDLE_COLS} FROM c{k}" for k, i in enumerate(ROLLUP)))
+def q_ohlc_rollup(spark, sf_dir):
+    """1m -> 5m -> 15m -> 1h -> 1d by mergeable states: each as if built from the ticks, volatility included."""
+    states = written(candle_states(base_ticks(spark, sf_dir), "1 minute"), "candle-states")
+    out = None
+    for interval in ROLLUP:
+        states = merge_candles(states, interval)
+        one = candles_of(states).select(F.lit(interval).alias("interval"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 GOLD_DOUBLES = ["period_open", "period_high", "period_low", "period_close", "period_volume",
                 "period_vwap", "avg_volatility", "price_change_pct", "price_range_pct"]
 
