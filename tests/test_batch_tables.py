@@ -100,3 +100,42 @@ def test_seen_ids_read_only_their_prefixes(spark):
     assert "PartitionFilters: [isnotnull(prefix" in plan or "PartitionFilters: [prefix" in plan or "(prefix" in plan.split("PartitionFilters")[1][:80]
     assert h.known(1, one).count() == 1  # the id itself is handed to the scan as well
     assert h.known(0, one) is None
+
+
+def test_counts_add_up_over_merges_and_retries(spark):
+    from tidemark.streaming.last_rows import Counts
+    t = Counts(spark, scratch_path(spark, "t-counts"), ["k"], fan=2)
+    want = {}
+    for n in range(9):
+        rows = [(random.Random(n).choice(["a", None, "c"]),) for _ in range(n)]
+        t(spark.createDataFrame(rows, "k string"), n)
+        if n == 4:
+            t(spark.createDataFrame(rows, "k string"), n)
+        for (k,) in rows:
+            want[k] = want.get(k, 0) + 1
+    assert {r.k: r.n for r in t.totals().collect()} == want
+    assert t.read().count() <= 3 * len(t.latest()["parts"])
+
+
+def test_input_is_admitted_by_bytes(spark):
+    """Files of 1, 1, 4 and 1 parts: a limit of 2 takes whole files until it is reached."""
+    import os
+
+    import pytest
+
+    from tidemark.streaming.sources import read_stream, release
+    staged, src = scratch_path(spark, "t-staged"), scratch_path(spark, "t-admitted")
+    os.makedirs(staged.removeprefix("file:"))
+    sizes = [1, 1, 4, 1]
+    for i, n in enumerate(sizes):
+        with open(f"{staged.removeprefix('file:')}/part-{i}.json", "w") as f:
+            f.write('{"key": "0123456789"}\n' * n * 100)
+    release(spark, [f"{staged}/part-{i}.json" for i in range(4)], src)
+    got = []
+    q = (read_stream(spark, "json", path=src, schema="key string", max_bytes=2 * 100 * len('{"key": "0123456789"}\n')).writeStream
+         .foreachBatch(lambda b, n: got.append(b.count() // 100)).option("checkpointLocation", scratch_path(spark, "t-adm-ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert got == [2, 4, 1]
+    with pytest.raises(ValueError):
+        read_stream(spark, "json", path=src, max_per_trigger=1, max_bytes=1)

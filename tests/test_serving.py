@@ -52,3 +52,24 @@ def test_limits_and_null_volatility(spark):
     assert ohlc_latest(silver, "A", limit=500).count() == 1
     with pytest.raises(ValueError):
         ohlc_latest(silver, "A", limit=0)
+
+
+def test_counts_and_extremes_come_from_footers(spark):
+    from tidemark.operators.quality import check_completeness, check_freshness
+    from tidemark.operators.serving import layer_counts
+    from tidemark.session import scratch_path
+    from tidemark.sources.footers import footer_table
+    path = scratch_path(spark, "t-footers")
+    t0 = 1704067200000
+    rows = [(s, t0 + 1000 * i, float(i)) for i, s in enumerate(["BTCUSDT", "ETHUSDT", None] * 30)] + [("ETHUSDT", None, None)]
+    spark.createDataFrame(rows, "symbol string, timestamp long, price double").write.partitionBy("symbol").parquet(path)
+    t = footer_table(spark, path)
+    for df in (layer_counts(t, t, t), check_freshness(t, "2024-01-01 00:02:00", "timestamp"),
+               check_completeness(t, spark, "2024-01-01 00:30:00", time_col="timestamp")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan or "PushedAggregation: [MAX(timestamp)]" in plan, plan[:2000]
+    assert [r.records for r in layer_counts(t, t, t).collect()] == [91] * 3
+    f = check_freshness(t, "2024-01-01 00:02:00", "timestamp").first()
+    assert (str(f.latest), f.age_seconds, f.fresh) == ("2024-01-01 00:01:29", 31.0, True)
+    seen = {r.symbol: str(r.last_seen) for r in check_completeness(t, spark, "2024-01-01 00:30:00", time_col="timestamp").collect()}
+    assert seen == {"BTCUSDT": "2024-01-01 00:01:27", "ETHUSDT": "2024-01-01 00:01:28", "BNBUSDT": "None"}

@@ -156,12 +156,19 @@ def _status(value: Column, threshold: Column, higher_is_better: bool) -> Column:
     return F.when(value <= threshold, "PASS").when(value <= threshold * 2, "WARN").otherwise("FAIL")
 
 
+def _as_time(table: DataFrame, time_col: str, name: str) -> Column:
+    """Column ``name``, a time or epoch milliseconds as ``time_col`` of ``table`` is, as a time."""
+    ms = table.schema[time_col].dataType.typeName() == "long"
+    return (F.timestamp_millis(name).cast("timestamp_ntz") if ms else F.col(name)).alias(name)
+
+
 def check_freshness(table: DataFrame, as_of, time_col: str = "event_time",
                     max_age_seconds: int = STALE_SECONDS) -> DataFrame:
     """Age of the newest row against ``as_of`` (a global max: partial
-    aggregation, one row out)."""
+    aggregation, one row out). ``time_col`` is a time or epoch milliseconds; the
+    latter of a ``footer_table`` is answered from the files' footers."""
     now = F.lit(as_of).cast("timestamp_ntz")
-    g = table.agg(F.max(time_col).alias("latest"))
+    g = table.agg(F.max(time_col).alias("latest")).select(_as_time(table, time_col, "latest"))
     age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("latest").cast("timestamp"))) / 1e6
     return g.select("latest", age.alias("age_seconds"), (age <= max_age_seconds).alias("fresh"))
 
@@ -170,10 +177,10 @@ def check_completeness(table: DataFrame, spark, as_of, symbols=TRACKED_SYMBOLS,
                        lookback_minutes: int = 60, time_col: str = "event_time") -> DataFrame:
     """Every tracked symbol has data in the last ``lookback_minutes``: the
     expected-symbol list left-joined to the per-symbol latest time (one row
-    per symbol after a partial aggregation)."""
+    per symbol after a partial aggregation; ``time_col`` as in ``check_freshness``)."""
     now = F.lit(as_of).cast("timestamp_ntz")
-    latest = table.groupBy("symbol").agg(F.max(time_col).alias("last_seen"))
-    exp = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    latest = table.groupBy("symbol").agg(F.max(time_col).alias("last_seen")).select("symbol", _as_time(table, time_col, "last_seen"))
+    exp = table.sparkSession.createDataFrame([(s,) for s in symbols], "symbol string")
     j = exp.join(F.broadcast(latest.filter(F.col("symbol").isin(list(symbols)))), "symbol", "left")
     recent = F.coalesce(F.col("last_seen") > now - F.make_dt_interval(mins=F.lit(lookback_minutes)),
                         F.lit(False))

@@ -1,4 +1,4 @@
-"""The newest row of every key, kept up to date by a stream.
+"""Small answers kept up to date by a stream: the newest row of every key, rows per group.
 
 Serving asks for the newest price of each symbol many times a second; ranking
 the whole bronze layer for each answer reads everything ever ingested. Every micro-batch
@@ -40,3 +40,22 @@ class LastRows(BatchTable):
     def last(self) -> DataFrame:
         """The newest rows of all committed batches."""
         return self.fold(self.read().drop(BATCH))
+
+
+class Counts(BatchTable):
+    """Rows per group of a growing table, kept per batch: a batch appends its own counts, merges add them up,
+    and an answer sums what is there instead of reading the counted rows again."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], **more):
+        super().__init__(spark, root, **more)
+        self.keys = list(keys)
+
+    def fold(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(F.sum("n").alias("n"), F.max(BATCH).alias(BATCH))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.write(batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n")), batch_id)
+
+    def totals(self) -> DataFrame:
+        """(keys, n) over all committed batches."""
+        return self.read().groupBy(*self.keys).agg(F.sum("n").alias("n"))

@@ -29,12 +29,16 @@ KAFKA_RECORD_SCHEMA = ("key string, value string, topic string, partition int, o
 def read_stream(spark: SparkSession, fmt: str = "kafka", *, topic: str | None = None,
                 path: str | None = None, schema=KAFKA_RECORD_SCHEMA,
                 bootstrap_servers: str | None = None, starting_offsets: str = "latest",
-                max_per_trigger: int | None = None) -> DataFrame:
+                max_per_trigger: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Subscribe to a topic (or a comma-separated list), starting at
     ``starting_offsets``, tolerating lost offsets; or read a file stream
-    with a declared schema. ``max_per_trigger`` rate-limits the input
-    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) — the structured
-    streaming form of back-pressure."""
+    with a declared schema. The input is rate-limited — the structured
+    streaming form of back-pressure — by ``max_per_trigger`` records or files
+    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``), or for files by ``max_bytes``
+    (``maxBytesPerTrigger``: as many whole files as fit, one at least), which bounds a batch's work
+    however the input is cut into files."""
+    if max_per_trigger and max_bytes:
+        raise ValueError("limit the input by files or by bytes, not by both")
     if fmt == "kafka":
         r = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", bootstrap_servers or "localhost:9092")
@@ -47,6 +51,8 @@ def read_stream(spark: SparkSession, fmt: str = "kafka", *, topic: str | None =
     r = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_per_trigger))
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", str(max_bytes))
     return r.load(path)
 
 
@@ -114,11 +120,16 @@ def write_kafka(df: DataFrame, topic: str, bootstrap_servers: str, key_col: str,
         .option("topic", topic).save())
 
 
+#: Rows of one replayed file at most, about.
+REPLAY_ROWS = 1_000_000
+
+
 def stage_replay(df: DataFrame, path: str, time_col: str, parts: int = 4, fmt: str = "json") -> list[str]:
-    """Write ``df`` once, range-partitioned into at most ``parts`` files in time
-    order (null times first), outside the watched folder. Returns the files
+    """Write ``df`` once, range-partitioned into files in time order (null times first), outside the
+    watched folder: ``parts`` files, or as many more as hold ``REPLAY_ROWS`` rows each. Returns the files
     in order (a listing; the rows stay on the executors)."""
     staged = f"{path}-staged"
+    parts = max(parts, -(-df.count() // REPLAY_ROWS))
     df.repartitionByRange(parts, F.col(time_col).asc_nulls_first()).write.mode("overwrite").format(fmt).save(staged)
     fs, p = hadoop_path(df.sparkSession, staged)
     return sorted(str(st.getPath()) for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))

@@ -9,6 +9,7 @@ from ..operators.maintenance import rebalanced
 from ..session import path_exists, scratch_path
 from ..sources.decode import bronze_records, kafka_envelope
 from ..sources.fixtures import base_ticks, kafka_price_records
+from ..sources.footers import footer_table
 from ..streaming.last_rows import LastRows
 from ..streaming.stateful import run_tail_carry
 
@@ -31,6 +32,24 @@ def bronze_table(spark, sf_dir):
     return spark.read.parquet(_written[key])
 
 
+def written_layer(spark, sf_dir, name, build):
+    """Path of a layer that is written once per session and input, partitioned by symbol."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written or not path_exists(spark, _written[key]):
+        path = scratch_path(spark, f"layer-{name}")
+        rebalanced(build(spark, sf_dir), ["symbol"]).write.partitionBy("symbol").parquet(path)
+        _written[key] = path
+    return _written[key]
+
+
+def layer_footers(spark, sf_dir, name):
+    """A written layer for counts and extremes: bronze, silver or gold."""
+    if name == "bronze":
+        bronze_table(spark, sf_dir)
+        return footer_table(spark, _written[(spark.sparkContext.applicationId, sf_dir)])
+    return footer_table(spark, written_layer(spark, sf_dir, name, {"silver": silver, "gold": gold}[name]))
+
+
 def last_prices(spark, sf_dir):
     """The newest bronze rows per symbol, as a stream over the bronze table keeps them (several
     micro-batches; run once per session and input). What is read is only that table."""

@@ -20,7 +20,7 @@ from ..registry import register
 from ..session import scratch_path
 from ..sources.fixtures import AS_OF, base_ticks, sentiment, validation_bounds, ticks
 from .insights import TEST_MINUTES
-from .layers import bronze
+from .layers import bronze, layer_footers
 from .serving import METRIC_ROWS_SQL
 from .sqlviews import (
     BASE_TICKS, BRONZE, SENTIMENT, STG_PRICES, VALIDATED, candles_cte, moves_v2_sql, signals_v2_sql,
@@ -277,7 +277,7 @@ SELECT max(event_time) AS latest,
        (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(event_time))) / 1e6 <= 300 AS fresh
 FROM bronze""")
 def q_check_freshness(spark, sf_dir):
-    return check_freshness(bronze(spark, sf_dir), AS_OF)
+    return check_freshness(layer_footers(spark, sf_dir, "bronze"), AS_OF, "timestamp")
 
 
 @register("check_completeness", sql=f"""
@@ -287,7 +287,7 @@ SELECT e.symbol, l.last_seen,
        coalesce(l.last_seen > TIMESTAMP '{AS_OF}' - INTERVAL 60 MINUTE, FALSE) AS has_recent_data
 FROM (VALUES ('BTCUSDT'), ('ETHUSDT'), ('BNBUSDT')) AS e(symbol) LEFT JOIN l ON e.symbol = l.symbol""")
 def q_check_completeness(spark, sf_dir):
-    return check_completeness(bronze(spark, sf_dir), spark, AS_OF)
+    return check_completeness(layer_footers(spark, sf_dir, "bronze"), spark, AS_OF, time_col="timestamp")
 
 
 @register("quality_report", doubles=["metric_value", "threshold"], sql=METRIC_ROWS_SQL)

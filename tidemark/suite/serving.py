@@ -16,7 +16,8 @@ from ..operators.warehouse import dim_symbols, stg_crypto_prices
 from ..registry import register
 from ..sources.decode import decode_price_json, kafka_envelope
 from ..sources.fixtures import AS_OF, base_ticks, kafka_price_records, validation_bounds, ticks
-from .layers import bronze, bronze_table, gold, last_prices, silver
+from ..sources.footers import footer_table
+from .layers import bronze, bronze_table, gold, last_prices, layer_footers, silver, written_layer
 from .market import gold_sql
 from .sqlviews import BASE_TICKS, BRONZE, BRONZE_CUT, CANDLE_COLS, DIM, VALIDATED, candles_cte, moves_v2_sql
 
@@ -154,7 +155,9 @@ def q_recent_movements(spark, sf_dir):
 
 @register("table_row_count", sql=f"SELECT count(*) AS total FROM ({moves_v2_sql()})")
 def q_table_row_count(spark, sf_dir):
-    return price_movements(base_ticks(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total"))
+    """Rows of the stored table, from its footers."""
+    moves = written_layer(spark, sf_dir, "movements", lambda spark, sf_dir: price_movements(base_ticks(spark, sf_dir)))
+    return footer_table(spark, moves).agg(F.count(F.lit(1)).alias("total"))
 
 
 @register("recent_summary", doubles=["avg_change", "min_price", "max_price", "avg_price_overall"], sql=f"""
@@ -175,7 +178,7 @@ SELECT 'bronze' AS layer, (SELECT count(*) FROM base_ticks) AS records
 UNION ALL SELECT 'silver', (SELECT count(*) FROM candles)
 UNION ALL SELECT 'gold', (SELECT count(*) FROM ({gold_sql('1 minute', 15, 5)}))""")
 def q_layer_counts(spark, sf_dir):
-    return layer_counts(base_ticks(spark, sf_dir), silver(spark, sf_dir), gold(spark, sf_dir))
+    return layer_counts(*[layer_footers(spark, sf_dir, name) for name in ("bronze", "silver", "gold")])
 
 
 def _metric_rows(spark, sf_dir):

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from ..operators.insights import correlation_state, market_sentiment, price_movements, volume_spikes
 from ..registry import register
-from ..session import scratch_path
+from ..session import hadoop_path, scratch_path
 from ..schemas import PRICE_SCHEMA
 from ..sources.fixtures import kafka_price_records, market_snapshots, newsapi_articles, rss_entries, sentiment, AS_OF
 from ..sources.decode import decode_price_json, kafka_envelope, normalize_market_data, route_malformed
 from ..streaming.batches import BatchTable
+from ..streaming.last_rows import Counts
 from ..streaming.medallion import bronze_stream, run_medallion
 from ..streaming.seen import SeenIds
 from ..streaming.sources import (
@@ -48,8 +49,8 @@ def _run(df, out, ck, **options):
     w.trigger(availableNow=True).start().awaitTermination()
 
 
-def _stream(spark, path, per_trigger=None):
-    return read_stream(spark, "json", path=path, schema=KAFKA_RECORD_SCHEMA, max_per_trigger=per_trigger)
+def _stream(spark, path, per_trigger=None, max_bytes=None):
+    return read_stream(spark, "json", path=path, schema=KAFKA_RECORD_SCHEMA, max_per_trigger=per_trigger, max_bytes=max_bytes)
 
 
 def _medallion(spark, sf_dir, layers):
@@ -307,10 +308,16 @@ def q_sink_kafka_keyed(spark, sf_dir):
     return r.select("key", "v.symbol", "v.price", "v.timestamp")
 
 
-def _logged(spark, sf_dir, name, per_trigger, then=None):
-    """Bronze symbols through a sink that records each batch; the table of its records."""
+def _logged(spark, sf_dir, name, per_trigger=None, then=None):
+    """Bronze symbols through a sink that records each batch; the table of its records. Without
+    ``per_trigger`` the input is admitted by bytes: what the largest file has."""
     from ..streaming.monitor import batch_table, logged_stream
-    s = bronze_stream(_stream(spark, _price_topic(spark, sf_dir), per_trigger=per_trigger)).select("symbol", "price", "event_time")
+    topic = _price_topic(spark, sf_dir)
+    largest = None
+    if not per_trigger:
+        fs, folder = hadoop_path(spark, topic)
+        largest = max((f.getLen() for f in fs.listStatus(folder)), default=1)
+    s = bronze_stream(_stream(spark, topic, per_trigger, largest)).select("symbol", "price", "event_time")
     out, log, ck = (scratch_path(spark, f"{name}-{x}") for x in ("out", "log", "ckpt"))
     logged_stream(s, out, log, ck, then).awaitTermination()
     return batch_table(spark, log)
@@ -363,7 +370,7 @@ def q_quarantine_stream(spark, sf_dir):
 
 @register("rate_limit_input", sql=f"WITH {BRONZE} SELECT count(*) AS rows_in, TRUE AS several_batches FROM bronze")
 def q_rate_limit_input(spark, sf_dir):
-    log = _logged(spark, sf_dir, "rate-limit", 1).filter(F.col("num_input_rows") > 0)
+    log = _logged(spark, sf_dir, "rate-limit").filter(F.col("num_input_rows") > 0)
     return log.agg(F.sum("num_input_rows").alias("rows_in"), (F.count(F.lit(1)) >= PARTS).alias("several_batches"))
 
 
@@ -445,9 +452,12 @@ def q_sink_console(spark, sf_dir):
     return _logged(spark, sf_dir, "console", 1, then=console_rows(5)).agg(F.sum("num_input_rows").alias("rows_in"))
 
 
-@register("sink_insight_tables", doubles=["value"], sql=insight_rows_sql({
+STREAMED_ROWS = insight_rows_sql({
     "price_movements": _over_valid(moves_v2_sql(TEST_MINUTES)), "volume_spikes": _over_valid(spikes_sql()),
-    "market_sentiment": SENTIMENT_ROWS, "sentiment_price_correlation": signals_v2_sql(TEST_MINUTES)}, True))
+    "market_sentiment": SENTIMENT_ROWS, "sentiment_price_correlation": signals_v2_sql(TEST_MINUTES)}, True)
+
+
+@register("sink_insight_tables", doubles=["value"], sql=STREAMED_ROWS)
 def q_sink_insight_tables(spark, sf_dir):
     """All four insight tables as the streams append them, batch by batch, each row stamped."""
     paths = {name: scratch_path(spark, f"insight-{name}") for name in INSIGHT_COLUMNS}
@@ -461,3 +471,27 @@ def q_sink_insight_tables(spark, sf_dir):
 
     paths["sentiment_price_correlation"] = _correlate(spark, sf_dir, [moves, spikes], [readings], stamp=True)
     return insight_rows({name: read_batches(spark, p) for name, p in paths.items()})
+
+
+@register("insight_counts_stream", sql=f"""
+WITH {BRONZE}, rows_of AS (
+  SELECT 'messages' AS kind, CASE WHEN symbol IS NULL THEN 'quarantine' ELSE symbol END AS key FROM bronze)
+SELECT kind, key, count(*) AS n FROM rows_of GROUP BY 1, 2
+UNION ALL SELECT 'price_movements', symbol, count(*) FROM ({_over_valid(moves_v2_sql(TEST_MINUTES))}) GROUP BY 1, 2
+UNION ALL SELECT 'volume_spikes', symbol, count(*) FROM ({_over_valid(spikes_sql())}) GROUP BY 1, 2""")
+def q_insight_counts_stream(spark, sf_dir):
+    """Messages, movements and spikes per symbol, added up batch by batch while the price stream runs; the
+    answer reads only the counts."""
+    tables = {name: Counts(spark, scratch_path(spark, f"counts-{name}"), ["key"]) for name in ("messages", "price_movements", "volume_spikes")}
+    op = {"price_movements": (moves_op, 99, ["price"]), "volume_spikes": (spikes_op, 49, [])}
+    handlers = [lambda batch, n: tables["messages"](batch.select(F.coalesce("symbol", F.lit("quarantine")).alias("key")), n)]
+    for name, (f, rows, required) in op.items():
+        tail = TailCarry(f, rows, scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-tail"), required=required)
+        handlers += [tail, lambda batch, n, name=name, tail=tail: tables[name](
+            BatchTable(batch.sparkSession, tail.out).read().where(F.col("batch_id") == n).select(F.col("symbol").alias("key")), n)]
+    run_tail_carry(_tick_stream(spark, sf_dir), Fanout(*handlers), scratch_path(spark, "counts-ckpt")).awaitTermination()
+    out = None
+    for name, t in tables.items():
+        one = t.totals().select(F.lit(name).alias("kind"), "key", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
