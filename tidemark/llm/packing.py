@@ -20,7 +20,6 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +82,12 @@ class WordEncoder:
         words = [t.split() for t in texts]
         known, table, fresh = self.known.get, {}, []
         recent = self.known.new.get
-        times = Counter(chain.from_iterable(words))
-        for w in times:
+        seen, again = set(), set()  # chunks of the texts, and of several of them
+        for ws in words:
+            own = set(ws)
+            again |= seen & own
+            seen |= own
+        for w in seen:
             ids = recent(w)
             if ids is None and (ids := known(w)) is None:
                 fresh.append(w)
@@ -94,7 +97,7 @@ class WordEncoder:
             group = fresh[s:s + GROUP]
             for w, ids in zip(group, self._group(group)):
                 table[w] = ids
-                if times[w] > 1 and len(w) <= LONGEST:  # most chunks come once: they would only push the others out
+                if w in again and len(w) <= LONGEST:  # most chunks come once: they would only push the others out
                     self.known.put(w, ids)
         for ws in words:
             yield b"".join(map(table.__getitem__, ws))
