@@ -191,12 +191,38 @@ def test_shards_law_and_order(spark, tmp_path):
 def test_shard_files_prune_on_several_columns(spark, tmp_path):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('l', id % 8) AS lang",
                                         "cast(hash(id) % 1000 AS long) AS n_chars")
-    placed = sharding.hilbert_shards(docs, ["lang", "n_chars"], 16)
-    sharding.write_shards(docs, placed, str(tmp_path / "s"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small tasks are not joined
+    try:
+        sharding.write_shards(docs, ["lang", "n_chars"], str(tmp_path / "s"), 16, per_task=100)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == 4000
     spread = back.groupBy("shard").agg((F.max("n_chars") - F.min("n_chars")).alias("d"), F.countDistinct("lang").alias("k")).collect()
     assert np.mean([r.d for r in spread]) < 1000 and np.mean([r.k for r in spread]) <= 5
+    assert back.select("_metadata.file_path").distinct().count() >= 24  # a shard is several tasks' work
+
+
+def test_whole_values_are_quantised(spark):
+    """Values told apart only by their ends; one that holds a third of all rows."""
+    site = "concat('https://site', CASE WHEN id % 3 = 0 THEN 7 ELSE id % 50 END, '.org')"
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id) AS text", f"{site} AS site")
+    rows = sharding.hilbert_shards(docs, ["site"], 10).collect()
+    assert len({r.hilbert for r in rows}) > 20
+    value = {r.doc_id: r.site for r in docs.collect()}
+    per = [{value[r.id] for r in rows if r.shard == k} for k in range(10)]
+    assert max(map(len, per)) <= 10 and sum(map(len, per)) <= 75
+    cuts = sharding.text_cuts(docs, "site", 32)
+    assert "https://site7.org" in cuts and len(cuts) <= 31
+
+
+def test_written_shards_keep_every_row(spark, tmp_path):
+    rows = [(1, "a"), (1, "b"), (None, "c"), (4, "d"), (4, "d"), (None, None), (None, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("slot", F.lit("clash"))
+    sharding.write_shards(docs, ["doc_id", "text"], str(tmp_path / "w"), 3)
+    back = spark.read.parquet(str(tmp_path / "w"))
+    assert Counter((r.doc_id, r.text, r.slot) for r in back.collect()) == Counter((*r, "clash") for r in rows)
+    assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [2, 2, 3]
 
 
 def test_sha_of_ids():

@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve over quantised metadata.
 
-Each metadata dimension is quantised by its own approximate quantiles; the cell
+Each metadata dimension is quantised by its own quantiles (of texts: exact ones over whole
+values, so a frequent value begins a cell of its own); the cell
 coordinates give a Hilbert index, rows are range-partitioned and sorted by it,
 and the order is cut into runs. Neighbouring rows of a run agree in several
 dimensions at once, so the shard files' min/max statistics prune on any of them.
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .common import materialise, ship
+from .common import materialise, running, ship
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -51,27 +52,42 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _measure(df: DataFrame, name: str) -> Column:
-    """An order-preserving number: numerics as they are, anything else by the first six bytes of its text."""
+    """Numerics as double (null: below all), anything else as its whole text (null: empty)."""
     if isinstance(df.schema[name].dataType, NumericType):
         return F.coalesce(F.col(name).cast("double"), F.lit(-1e300))
-    text = F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
-    return F.conv(F.rpad(F.hex(F.substring(text, 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def text_cuts(df: DataFrame, col: str, cells: int) -> list[str]:
+    """The values of a text column that hold a quantile: at most ``cells - 1``, in code-point order.
+    Values are counted first, so a value that many rows share is one row of what is sorted."""
+    counts = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n"))
+    line = running(counts, [F.col("value").cast("binary")], {"before": F.col("n")})
+    total = df.count()
+    step = F.lit(total / cells) if total else F.lit(1.0)
+    holds = F.floor((F.col("before") + F.col("n") - 1) / step) > F.floor((F.col("before") - 1) / step)
+    return sorted((r["value"] for r in line.where(holds & (F.col("before") > 0)).select("value").collect()), key=str.encode)
 
 
 def quantise(df: DataFrame, dims: dict[str, Column], bits: int) -> DataFrame:
-    """Adds ``cell_<name>``: how many of the dimension's quantile cuts lie below the value (0 .. 2**bits - 1)."""
+    """Adds ``cell_<name>``: how many of the dimension's quantile cuts the value reaches (0 .. 2**bits - 1)."""
     shares = [k / 2**bits for k in range(1, 2**bits)]
-    cuts = df.agg(*[F.percentile_approx(c, shares, 1000).alias(n) for n, c in dims.items()]).first()
+    kinds = {n: df.select(c.alias("c")).schema["c"].dataType.typeName() for n, c in dims.items()}
+    numbers = {n: c for n, c in dims.items() if kinds[n] != "string"}
+    found = df.agg(F.count("*"), *[F.percentile_approx(c, shares, 1000).alias(n) for n, c in numbers.items()]).first()
     for n, c in dims.items():
-        edges = sorted(set(cuts[n] or []))
-        cell = sum((F.when(c > F.lit(float(e)), 1).otherwise(0) for e in edges), F.lit(0))
-        df = df.withColumn(f"cell_{n}", cell)
+        if n in numbers:
+            tests = [c > F.lit(float(e)) for e in sorted(set(found[n] or []))]
+        else:
+            tests = [c >= F.lit(e) for e in text_cuts(df.select(c.alias("c")), "c", 2**bits)]
+        df = df.withColumn(f"cell_{n}", sum((F.when(t, 1).otherwise(0) for t in tests), F.lit(0)))
     return df
 
 
 def hilbert_shards(docs: DataFrame, dims: list[str], shards: int = 40, id_col: str = "doc_id",
                    text_col: str = "text", bits: int = 5) -> DataFrame:
-    """(id, size, crc, hilbert, shard, slot): every row's place.
+    """(id, size, crc, hilbert, shard, slot): every row's place. ``id_col`` may be any
+    whole number that tells what is to be told apart; null and repeated ids are placed like others.
 
     size: UTF-8 bytes of the text (null: none) plus 16. Law ``rows``: shard row
     counts differ by one at most; slots count from 0 in curve order. Null
@@ -124,8 +140,18 @@ def hilbert_shards(docs: DataFrame, dims: list[str], shards: int = 40, id_col: s
     return out.select("id", "size", "crc", "hilbert", "shard", (rank - start).cast("long").alias("slot"))
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """One folder per shard, rows in slot order (ids must be unique); readers prune by the files' statistics."""
-    placed = placed.select(F.col("id").alias("__id"), "shard", "slot")
-    (docs.join(placed, docs[id_col] == placed["__id"]).drop("__id").repartition("shard")
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+ROW = "__row"
+
+
+def write_shards(docs: DataFrame, dims: list[str], path: str, shards: int = 40, text_col: str = "text",
+                 per_task: int = 500_000) -> None:
+    """Every row of ``docs`` (all columns) into its shard's folder, in slot order; readers prune by the files' statistics.
+
+    Rows are numbered first (in a written copy, so the numbers hold), whatever their
+    ids are: null and repeated ids, and equal rows, are written once each. A shard of over ``per_task`` rows is
+    several files, each a run of slots."""
+    own = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "shard-docs")
+    placed = hilbert_shards(own, dims, shards, ROW, text_col).select(F.col("id").alias(ROW), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
+    run = F.floor(F.col("__slot") / per_task)
+    (own.join(placed, ROW).drop(ROW).repartition("__shard", run).sortWithinPartitions("__shard", "__slot")
+     .withColumnRenamed("__shard", "shard").drop("__slot").write.partitionBy("shard").parquet(path))
