@@ -8,6 +8,8 @@ the oracles keep closed windows only.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from ..operators.insights import correlation_state, market_sentiment, price_movements, volume_spikes
@@ -192,9 +194,9 @@ def q_src_kafka_tail(spark, sf_dir):
 
 
 @register("src_multi_topic", sql=f"""
-WITH {BRONZE}
-SELECT 'crypto-prices' AS topic, count(*) AS n FROM bronze
-UNION ALL SELECT 'crypto-fear-greed', count(DISTINCT time_bucket(INTERVAL '1 hour', ts)) FROM events""")
+WITH {BRONZE}, {SENTIMENT}
+SELECT 'crypto-prices' AS topic, symbol_key AS "key", kafka_offset AS "offset" FROM bronze
+UNION ALL SELECT 'crypto-fear-greed', classification, msg_id FROM sentiment""")
 def q_src_multi_topic(spark, sf_dir):
     path = scratch_path(spark, "topics")
     rec = kafka_price_records(spark, sf_dir).select(
@@ -211,7 +213,7 @@ def q_src_multi_topic(spark, sf_dir):
     out, ck = scratch_path(spark, "topics-out"), scratch_path(spark, "topics-ckpt")
     w = _stream(spark, path).writeStream.format("parquet").partitionBy("topic").option("path", out)
     w.option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(out).select("topic", "key", "offset")
 
 
 @register("dedup_stream", sql="SELECT DISTINCT md5(coalesce(text, '')) AS id FROM documents")
@@ -229,7 +231,7 @@ def q_dedup_stream(spark, sf_dir):
     return read_batches(spark, out).select("id")
 
 
-@register("checkpoint_recovery", sql=f"WITH {BRONZE} SELECT symbol, count(*) AS n FROM bronze GROUP BY 1")
+@register("checkpoint_recovery", sql=f"WITH {BRONZE} SELECT symbol, kafka_offset, event_time FROM bronze")
 def q_checkpoint_recovery(spark, sf_dir):
     """Stop after the first half of the files, restart on the same
     checkpoint with the rest present: every row exactly once."""
@@ -244,7 +246,7 @@ def q_checkpoint_recovery(spark, sf_dir):
     sink_table_append(bronze_stream(_stream(spark, src)), out, ck).awaitTermination()
     release(spark, files[2:], src)
     sink_table_append(bronze_stream(_stream(spark, src)), out, ck).awaitTermination()
-    return spark.read.parquet(out).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(out).select("symbol", "kafka_offset", "event_time")
 
 
 @register("src_kafka_stream", sql=f"""
@@ -268,25 +270,29 @@ def q_src_table_stream(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
-@register("sink_table_append", sql=f"""
-WITH {BRONZE} SELECT symbol, count(*) AS n FROM bronze GROUP BY 1""")
+@register("sink_table_append", doubles=["price", "volume"], sql=f"""
+WITH {BRONZE} SELECT symbol, kafka_partition, kafka_offset, event_time, price, volume FROM bronze""")
 def q_sink_table_append(spark, sf_dir):
     """Reads the appended table back through its symbol partition folders."""
     p = _medallion(spark, sf_dir, ("bronze",))
-    return spark.read.parquet(p.table("bronze")).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(p.table("bronze")).select("symbol", "kafka_partition", "kafka_offset", "event_time", "price", "volume")
 
 
-@register("audit_timestamp", sql=f"WITH {BRONZE} SELECT count(*) AS stamped FROM bronze")
+@register("audit_timestamp", sql=f"WITH {BRONZE} SELECT symbol, kafka_offset, TRUE AS stamped_in_this_run FROM bronze")
 def q_audit_timestamp(spark, sf_dir):
+    """Every row's stamp lies between the start of the stream and now."""
+    began = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     p = _medallion(spark, sf_dir, ("bronze",))
-    return spark.read.parquet(p.table("bronze")).agg(F.count("ingested_at").alias("stamped"))
+    stamp = F.col("ingested_at").cast("timestamp")
+    between = (stamp >= F.lit(began).cast("timestamp_ntz").cast("timestamp")) & (stamp <= F.current_timestamp())
+    return spark.read.parquet(p.table("bronze")).select("symbol", "kafka_offset", F.coalesce(between, F.lit(False)).alias("stamped_in_this_run"))
 
 
-@register("watermark_bronze", sql=f"WITH {BRONZE} SELECT count(*) AS n FROM bronze")
+@register("watermark_bronze", sql=f"WITH {BRONZE} SELECT symbol, kafka_offset, event_time FROM bronze")
 def q_watermark_bronze(spark, sf_dir):
-    """Bronze has a watermark but no state: nothing is dropped."""
+    """Bronze has a watermark but no state: nothing is dropped, however late."""
     p = _medallion(spark, sf_dir, ("bronze",))
-    return spark.read.parquet(p.table("bronze")).agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(p.table("bronze")).select("symbol", "kafka_offset", "event_time")
 
 
 @register("watermark_gold", sql=f"SELECT symbol, count(*) AS n FROM ({_closed_gold_sql()}) GROUP BY 1")
