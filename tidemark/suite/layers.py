@@ -32,12 +32,12 @@ def bronze_table(spark, sf_dir):
     return spark.read.parquet(_written[key])
 
 
-def written_layer(spark, sf_dir, name, build):
-    """Path of a layer that is written once per session and input, partitioned by symbol."""
+def written_layer(spark, sf_dir, name, build, by=("symbol",)):
+    """Path of a table that is written once per session and input, partitioned by ``by``."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written or not path_exists(spark, _written[key]):
-        path = scratch_path(spark, f"layer-{name}")
-        rebalanced(build(spark, sf_dir), ["symbol"]).write.partitionBy("symbol").parquet(path)
+        path, df = scratch_path(spark, f"layer-{name}"), build(spark, sf_dir)
+        (rebalanced(df, list(by)).write.partitionBy(*by) if by else df.write).parquet(path)
         _written[key] = path
     return _written[key]
 

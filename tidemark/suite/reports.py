@@ -20,7 +20,8 @@ from ..registry import register
 from ..session import scratch_path
 from ..sources.fixtures import AS_OF, base_ticks, sentiment, validation_bounds, ticks
 from .insights import TEST_MINUTES
-from .layers import bronze, layer_footers
+from ..sources.footers import footer_table
+from .layers import bronze, layer_footers, written_layer
 from .serving import METRIC_ROWS_SQL
 from .sqlviews import (
     BASE_TICKS, BRONZE, SENTIMENT, STG_PRICES, VALIDATED, candles_cte, moves_v2_sql, signals_v2_sql,
@@ -46,6 +47,16 @@ def _insight_tables(spark, sf_dir):
             "sentiment_price_correlation": _corr(spark, sf_dir)}
 
 
+def _stored_paths(spark, sf_dir):
+    """The four insight tables as they are stored: computed once per session and input."""
+    tables = _insight_tables(spark, sf_dir)
+    return {name: written_layer(spark, sf_dir, f"insight-{name}", lambda *_, df=df: df, by=()) for name, df in tables.items()}
+
+
+def _stored(spark, sf_dir):
+    return {name: spark.read.parquet(p) for name, p in _stored_paths(spark, sf_dir).items()}
+
+
 #: Per table: time, key and value column of the compared answer.
 INSIGHT_COLUMNS = {
     "price_movements": ("window_end", "symbol", "price_change_pct"),
@@ -94,7 +105,8 @@ UNION ALL SELECT 'volume_spikes', (SELECT count(*) FROM ({spikes_sql()}))
 UNION ALL SELECT 'market_sentiment', (SELECT count(*) FROM sentiment)
 UNION ALL SELECT 'sentiment_price_correlation', (SELECT count(*) FROM ({CORR}))""")
 def q_insight_counts(spark, sf_dir):
-    return insight_counts(_insight_tables(spark, sf_dir))
+    """From the stored tables' footers."""
+    return insight_counts({name: footer_table(spark, p) for name, p in _stored_paths(spark, sf_dir).items()})
 
 
 @register("latest_per_symbol", doubles=["avg_price", "price_change_pct"], sql=f"""
@@ -136,7 +148,7 @@ def q_volatility_pivot(spark, sf_dir):
 @register("signal_distribution", sql=f"""
 SELECT correlation_signal, count(*) AS count FROM ({CORR}) GROUP BY 1""")
 def q_signal_distribution(spark, sf_dir):
-    return signal_distribution(_corr(spark, sf_dir))
+    return signal_distribution(_stored(spark, sf_dir)["sentiment_price_correlation"])
 
 
 @register("direction_distribution", doubles=["percent"], sql=f"""
@@ -144,7 +156,7 @@ SELECT market_direction, count(*) AS count,
        round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS percent
 FROM ({CORR}) GROUP BY 1""")
 def q_direction_distribution(spark, sf_dir):
-    return direction_distribution(_corr(spark, sf_dir))
+    return direction_distribution(_stored(spark, sf_dir)["sentiment_price_correlation"])
 
 
 @register("throughput_stats", doubles=["rate_per_second"], sql=f"""
@@ -170,7 +182,7 @@ FROM ({INSIGHT_SQL[name]})) WHERE nth <= 5""")
 @register("describe_tables", sql=_describe_sql())
 def q_describe_tables(spark, sf_dir):
     order = {name: t for name, (t, _, _) in INSIGHT_COLUMNS.items()}
-    d = describe_tables(_insight_tables(spark, sf_dir), order)
+    d = describe_tables(_stored(spark, sf_dir), order)
     return d.select("table_name", F.col("nth").cast("long").alias("nth"), "at", "columns", "row_count")
 
 
