@@ -9,6 +9,8 @@ the columns of ``documents``. No stage's result can be stated in SQL as a whole
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,9 +26,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A language is accepted from this calibrated probability on.
 LEAST_SCORE = 0.5
 
+#: Rows handed to a Python worker at a time: whole texts, so Spark's default of 10,000 is tens of megabytes, several times over.
+BATCH_ROWS = 1500
+
 ORACLE_SQL = None
 
 
+def _bounded_batches(stage):
+    """The stage with at most BATCH_ROWS documents in a worker's batch. The setting stays: a stage's result is
+    written after the stage returns."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+    return run
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any letter and those no learned language fits with
     LEAST_SCORE; nothing to learn from: only letterless ones go."""
@@ -78,13 +93,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [
+STAGES = [(name, _bounded_batches(stage)) for name, stage in [
     ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
     ("simhash_dedup", drop_near_copies),
     ("substring_dedup", drop_repeated_passages),
     ("packing", pack_sequences),
-]
+]]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
