@@ -36,8 +36,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 GROUP = 1000
 #: Documents tokenised together.
 STEP = 2048
-#: Chunks remembered per worker (two generations of so many); never changes a result.
-CACHE = 80_000
+#: Chunks remembered per worker (two generations of so many, about 280 bytes each); never changes a result.
+CACHE = 300_000
 
 
 class WordEncoder:
@@ -49,7 +49,7 @@ class WordEncoder:
     Counts that don't add up are settled by encoding chunk by chunk.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = CACHE):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         vocab = self.lib.get_vocab(with_added_tokens=True)
@@ -57,7 +57,7 @@ class WordEncoder:
         self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.find = regex.compile(WORD_PATTERN).findall
-        self.known = Remembered(CACHE)
+        self.known = Remembered(remember)
 
     def _one(self, chunk: bytes) -> bytes:
         return np.array(self.lib.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
@@ -82,12 +82,7 @@ class WordEncoder:
         words = [t.split() for t in texts]
         known, table, fresh = self.known.get, {}, []
         recent = self.known.new.get
-        seen, again = set(), set()  # chunks of the texts, and of several of them
-        for ws in words:
-            own = set(ws)
-            again |= seen & own
-            seen |= own
-        for w in seen:
+        for w in set().union(*words):
             ids = recent(w)
             if ids is None and (ids := known(w)) is None:
                 fresh.append(w)
@@ -97,29 +92,29 @@ class WordEncoder:
             group = fresh[s:s + GROUP]
             for w, ids in zip(group, self._group(group)):
                 table[w] = ids
-                if w in again and len(w) <= LONGEST:  # most chunks come once: they would only push the others out
+                if len(w) <= LONGEST:
                     self.known.put(w, ids)
         for ws in words:
             yield b"".join(map(table.__getitem__, ws))
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, remember: int = CACHE) -> WordEncoder:
+    return WordEncoder(path, remember)
 
 
 PIECES = "id long, piece int, start long, length int, crc long"
 
 
 def tokenised_pieces(docs: DataFrame, vocab_path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id",
-                     text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                     text_col: str = "text", with_ids: bool = False, remember: int = CACHE) -> DataFrame:
     """(id, piece, start, length, crc[, ids]): each document's ids and ``end_id``,
     cut into pieces of ``capacity`` where longer. crc: of the piece's ids as
     little-endian unsigned 32-bit integers. Null text is empty (the end id alone)."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_encoder(vocab_path)
+        own = word_encoder(vocab_path, remember)
         for whole in batches:
             for at in range(0, whole.num_rows, STEP):
                 b = whole.slice(at, STEP)
@@ -312,13 +307,14 @@ PLACED = PIECES + ", sequence_id long, offset long"
 
 
 def pack(docs: DataFrame, vocab_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id",
-         text_col: str = "text", per_group: int = 50_000) -> DataFrame:
+         text_col: str = "text", per_group: int = 50_000, remember: int = CACHE) -> DataFrame:
     """One row per piece: id, piece, start, length, crc, sequence_id, offset.
 
     Null or empty text is one piece holding the end id; repeated rows and null
-    ids are packed like any other row; an empty table gives no rows.
+    ids are packed like any other row; an empty table gives no rows. ``remember``: chunks whose
+    ids a worker keeps (time against memory).
     """
-    pieces = materialise(tokenised_pieces(docs, vocab_path, capacity, end_id, id_col, text_col), "pieces")
+    pieces = materialise(tokenised_pieces(docs, vocab_path, capacity, end_id, id_col, text_col, remember=remember), "pieces")
     total = pieces.count()
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = solve(counts, capacity)
