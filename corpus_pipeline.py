@@ -28,6 +28,8 @@ LEAST_SCORE = 0.5
 
 #: Rows handed to a Python worker at a time: whole texts, so Spark's default of 10,000 is tens of megabytes, several times over.
 BATCH_ROWS = 1500
+#: Chunks that a worker remembers in packing: it keeps them beside what the other stages need.
+REMEMBERED = 100_000
 
 ORACLE_SQL = None
 
@@ -90,7 +92,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens and their places in sequences."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048).withColumnRenamed("id", "doc_id")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, remember=REMEMBERED).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [(name, _bounded_batches(stage)) for name, stage in [

@@ -52,8 +52,8 @@ class SeenIds:
         return seen.select(self.id, PREFIX)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set(IN_CONF, str(HANDED))
+        for session in (batch.sparkSession, self.seen.spark):  # a stream's batches have a session of their own
+            session.conf.set(IN_CONF, str(HANDED))
         prefix = F.pmod(F.xxhash64(self.id), F.lit(self.prefixes)).cast("int")
         rows = first_rows(batch, self.id, self.order).withColumn(PREFIX, prefix).persist()
         try:
