@@ -62,6 +62,7 @@ def calibrate(threshold: float, projections: int, recall: float) -> tuple[float,
 
 
 def _unit(block: np.ndarray) -> np.ndarray:
+    block = block / np.abs(block).max(axis=1, keepdims=True)  # else squares may leave the doubles' range
     return block / np.linalg.norm(block, axis=1, keepdims=True)
 
 
@@ -168,9 +169,6 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     v = v.withColumn("vec", F.expr(
         "CASE WHEN id IS NOT NULL AND size(vec) > 0 AND forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
         " AND exists(vec, x -> x <> 0) THEN vec END"))
-    # the cosine doesn't see a vector's length; its largest component becomes 1, so no norm leaves the doubles' range
-    v = v.withColumn("largest", F.expr("array_max(transform(vec, x -> abs(x)))"))
-    v = v.select("id", F.expr("transform(vec, x -> x / largest)").alias("vec"))
     place, half, need = calibrate(threshold, projections, recall)
     reps = v.where("vec is not null").groupBy("vec").agg(F.min("id").alias("node"), F.count("*").alias("size"))
     placed = materialise(reps.select("node", "size", "vec").mapInArrow(
