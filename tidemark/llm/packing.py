@@ -37,7 +37,7 @@ GROUP = 1000
 #: Documents tokenised together.
 STEP = 2048
 #: Chunks remembered per worker (two generations of so many, about 280 bytes each); never changes a result.
-CACHE = 300_000
+CACHE = 450_000
 
 
 class WordEncoder:
