@@ -102,6 +102,28 @@ def test_seen_ids_read_only_their_prefixes(spark):
     assert h.known(0, one) is None
 
 
+def test_seen_ids_take_little_room(spark):
+    """Bloom filters follow the ids of a file, and a prefix has one file a batch however many tasks wrote the rows."""
+    import pathlib
+    out, ids = scratch_path(spark, "t-out"), scratch_path(spark, "t-seen")
+    h = SeenIds(spark, out, ids, "id", [], prefixes=16)
+    rows = [(f"x{i}", i, "") for i in range(400)] + [(None, 0, "")]
+    for n, part in enumerate((rows[:200], rows)):
+        h(spark.createDataFrame(part, SCHEMA).repartition(8), n)
+    files = [f for f in pathlib.Path(ids.removeprefix("file:")).rglob("*.parquet")]
+    assert len(files) <= 2 * 16 and sum(f.stat().st_size for f in files) < 200_000
+    assert h.out.read().count() == h.seen.read().distinct().count() == 401
+
+
+def test_rows_are_shuffled_once_by_id(spark):
+    rows = seen.first_rows(spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 3, "z")], SCHEMA), "id", ["t"])
+    assert sorted(map(tuple, rows.collect()), key=str) == [("a", 1, "y"), (None, 3, "z")]
+    old = spark.createDataFrame([("a",)], "_id string")
+    met = rows.join(old.hint("merge"), F.col("id") == F.col("_id"), "left_anti")
+    assert [r.note for r in met.collect()] == ["z"]
+    assert met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2
+
+
 def test_counts_add_up_over_merges_and_retries(spark):
     from tidemark.streaming.last_rows import Counts
     t = Counts(spark, scratch_path(spark, "t-counts"), ["k"], fan=2)

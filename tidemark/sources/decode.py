@@ -146,7 +146,7 @@ def article_id(link) -> Column:
     return F.md5(F.coalesce(col_(link), F.lit("")))
 
 
-def normalize_rss(entries: DataFrame, as_of) -> DataFrame:
+def normalize_rss(entries: DataFrame, as_of, carry: tuple[str, ...] = ()) -> DataFrame:
     """Feed entry -> 11-field article. Time = published, else updated, else
     the poll time; author defaults to 'Unknown'; tags = their terms."""
     now = F.lit(as_of).cast("timestamp_ntz")
@@ -163,10 +163,10 @@ def normalize_rss(entries: DataFrame, as_of) -> DataFrame:
         F.unix_millis(now.cast("timestamp")).alias("timestamp"),
         ts_to_iso(t).alias("human_time"),
         F.coalesce(F.transform("tags", lambda x: x["term"]), F.array().cast("array<string>")).alias("tags"),
-        "entry_id")
+        "entry_id", *carry)
 
 
-def normalize_newsapi(articles: DataFrame, as_of) -> DataFrame:
+def normalize_newsapi(articles: DataFrame, as_of, carry: tuple[str, ...] = ()) -> DataFrame:
     """Search-API article -> the same 11 fields. ``publishedAt`` is parsed
     with a fixed pattern; unparsable or missing -> the poll time."""
     now = F.lit(as_of).cast("timestamp_ntz")
@@ -184,7 +184,7 @@ def normalize_newsapi(articles: DataFrame, as_of) -> DataFrame:
         F.unix_millis(now.cast("timestamp")).alias("timestamp"),
         ts_to_iso(t).alias("human_time"),
         F.array().cast("array<string>").alias("tags"),
-        "entry_id")
+        "entry_id", *carry)
 
 
 def news_union(*streams: DataFrame) -> DataFrame:

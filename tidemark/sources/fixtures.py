@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import SENTIMENT_ZONES
@@ -176,10 +176,10 @@ def fear_greed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rss_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rss_entries(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None, carry: tuple[Column, ...] = ()) -> DataFrame:
     """Parsed feed entries from ``documents``: the link is the text itself, so
-    exact copies of a text are the same article."""
-    d = table(spark, sf_dir, "documents")
+    exact copies of a text are the same article. (``documents``: given rows of it; ``carry``: further columns of theirs.)"""
+    d = table(spark, sf_dir, "documents") if documents is None else documents
     base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     pub = base + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return d.select(
@@ -193,13 +193,14 @@ def rss_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("lang").alias("term")),
                 F.struct(F.col("source").alias("term"))).alias("tags"),
         F.col("doc_id").alias("entry_id"),
+        *carry,
     )
 
 
-def newsapi_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def newsapi_articles(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None, carry: tuple[Column, ...] = ()) -> DataFrame:
     """Search-API articles: the documents again, so they overlap the feed
     entries. (The API's own language parameter is not applied here.)"""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents") if documents is None else documents
     base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     pub = base + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return d.select(
@@ -211,6 +212,7 @@ def newsapi_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_chars") % 3 == 0, F.lit("not a time"))
          .otherwise(F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("publishedAt"),
         F.col("doc_id").alias("entry_id"),
+        *carry,
     )
 
 

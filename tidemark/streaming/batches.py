@@ -46,7 +46,7 @@ class BatchTable:
     def __init__(self, spark: SparkSession, root: str, by: tuple[str, ...] = (), fan: int = FAN, merge_bytes: int = MERGE_BYTES,
                  options: dict[str, str] | None = None, sort: tuple[str, ...] = ()):
         self.spark, self.root, self.by, self.fan, self.most = spark, root.rstrip("/"), tuple(by), fan, merge_bytes
-        self.options, self.sort = options or {}, tuple(sort)
+        self.options, self.sort = {"compression": "zstd"} | (options or {}), tuple(sort)
         self.files = Files(spark, self.root)
 
     def latest(self, before: int | None = None) -> dict | None:
@@ -87,6 +87,11 @@ class BatchTable:
             raise FileNotFoundError(f"no committed batch under {self.root}")
         return self._open(state["parts"], state["schema"])
 
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows of the newest committed batch, ``batch_id``, from its own folder."""
+        state = self.latest(batch_id + 1)
+        return self._open([p for p in state["parts"] if p["first"] == p["last"] == batch_id], state["schema"])
+
     def _open(self, parts: list[dict], schema: str) -> DataFrame:
         rows = self.spark.read.schema(StructType.fromJson(json.loads(schema))).option("basePath", self.root)
         return rows.parquet(*[f"{self.root}/{p['folder']}" for p in parts]).drop(PART)

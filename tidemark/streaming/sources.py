@@ -130,7 +130,8 @@ def stage_replay(df: DataFrame, path: str, time_col: str, parts: int = 4, fmt: s
     in order (a listing; the rows stay on the executors)."""
     staged = f"{path}-staged"
     parts = max(parts, -(-df.count() // REPLAY_ROWS))
-    df.repartitionByRange(parts, F.col(time_col).asc_nulls_first()).write.mode("overwrite").format(fmt).save(staged)
+    w = df.repartitionByRange(parts, F.col(time_col).asc_nulls_first()).write.mode("overwrite").format(fmt)
+    (w.option("compression", "zstd") if fmt == "parquet" else w).save(staged)
     fs, p = hadoop_path(df.sparkSession, staged)
     return sorted(str(st.getPath()) for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
 

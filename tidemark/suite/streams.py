@@ -16,7 +16,7 @@ from ..operators.insights import correlation_state, market_sentiment, price_move
 from ..registry import register
 from ..session import hadoop_path, scratch_path
 from ..schemas import PRICE_SCHEMA
-from ..sources.fixtures import kafka_price_records, market_snapshots, newsapi_articles, rss_entries, sentiment, AS_OF
+from ..sources.fixtures import kafka_price_records, market_snapshots, newsapi_articles, rss_entries, sentiment, table, AS_OF
 from ..sources.decode import decode_price_json, kafka_envelope, normalize_market_data, route_malformed
 from ..streaming.batches import BatchTable
 from ..streaming.last_rows import Counts
@@ -218,16 +218,23 @@ def q_src_multi_topic(spark, sf_dir):
 
 @register("dedup_stream", sql="SELECT DISTINCT md5(coalesce(text, '')) AS id FROM documents")
 def q_dedup_stream(spark, sf_dir):
-    """Articles in several micro-batches; every id goes out once, however far apart its rows are."""
+    """Articles in several micro-batches; every id goes out once, however far apart its rows are.
+
+    The topic holds what each source sent, in the order of the articles' times; the stream makes
+    articles of it, so that the long texts are moved and written once an article until then."""
     from ..sources.decode import news_union, normalize_newsapi, normalize_rss
     path = scratch_path(spark, "topic-news")
-    arts = news_union(normalize_newsapi(newsapi_articles(spark, sf_dir), AS_OF),
-                      normalize_rss(rss_entries(spark, sf_dir), AS_OF))
-    replay_as_files(arts, path, "created_utc", PARTS, fmt="parquet")
-    s = spark.readStream.schema(arts.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    kinds = {"newsapi": (newsapi_articles, normalize_newsapi), "rss": (rss_entries, normalize_rss)}
+    sent = F.struct(*table(spark, sf_dir, "documents").columns).alias("sent")
+    topic = news_union(*[
+        norm(made(spark, sf_dir, carry=(sent,)), AS_OF, carry=("sent",)).select(F.lit(k).alias("kind"), "created_utc", "sent.*")
+        for k, (made, norm) in kinds.items()])
+    replay_as_files(topic, path, "created_utc", PARTS, fmt="parquet")
+    s = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    arts = news_union(*[norm(made(spark, sf_dir, s.where(F.col("kind") == k)), AS_OF) for k, (made, norm) in kinds.items()])
     out, seen, ck = (scratch_path(spark, f"dedup-{x}") for x in ("out", "seen", "ckpt"))
     handler = SeenIds(spark, out, seen, "id", ["created_utc"])
-    run_tail_carry(s, handler, ck).awaitTermination()
+    run_tail_carry(arts, handler, ck).awaitTermination()
     return read_batches(spark, out).select("id")
 
 
