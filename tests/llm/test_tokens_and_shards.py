@@ -230,3 +230,17 @@ def test_sha_of_ids():
     ids = own.encode("hello world")
     want = np.array(Tokenizer.from_file(BYTE).encode("hello world").ids, "<u4").tobytes()
     assert hashlib.sha256(ids).hexdigest() == hashlib.sha256(want).hexdigest()
+
+
+def test_new_chunks_share_their_words(monkeypatch):
+    """A word that comes with other marks and capitals is encoded once; ids are the library's, whatever the chunk holds."""
+    own, lib = packing.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    sent, cut = [], own._cut
+    monkeypatch.setattr(own, "_cut", lambda ids, counts: sent.append(sum(counts)) or cut(ids, counts))
+    texts = ["haenerque, haenerque. (Haenerque) HAENERQUE'S", "haenerque;haenerque ÉtÉx9_ß× a'll'VE'x 12²",
+             "ΣΣ İx é ǅ ẞ x<|endoftext|>haenerque, <|endoftext|>  b", "", " ,,", "'' 's '_'", "x" * 5000]
+    for part in (texts[:1], texts, texts[::-1]):
+        got = [np.frombuffer(b, "<u4").tolist() for b in own.encode([t.encode() for t in part])]
+        assert got == [lib.encode(t, add_special_tokens=False).ids for t in part]
+        if part == texts[:1]:
+            assert sum(sent) == 6  # the word, four marks and 's

@@ -14,12 +14,14 @@ parallel: a piece's rank among those of its length tells its sequence and offset
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -32,57 +34,74 @@ from .common import give_back, materialise, parts_for, ship
 
 #: Fixed value: the pattern of the lower-casing word vocabulary's pre-tokens.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters whose pre-tokens are told here: of ASCII and the Latin letters up to U+00FF, which every
+#: Unicode version lower-cases and composes alike.
+_PLAIN = re.compile("[ -~À-ÖØ-öø-ÿ]+").fullmatch
+#: The word pattern among them, lower-cased.
+_PRE_TOKENS = re.compile("'(?:[stmd]|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 #: Unknown chunks sent to the tokenizer together.
 GROUP = 1000
+#: Frequent chunks of the first texts, looked up before all others.
+HOT = 20_000
 #: Documents tokenised together.
 STEP = 2048
-#: Chunks remembered per worker (two generations of so many, about 280 bytes each); never changes a result.
+#: Chunks, and words of chunks, remembered per worker (two generations of so many each, about 280 bytes each); never changes a result.
 CACHE = 450_000
 
 
 class WordEncoder:
-    """Ids by the tokenizers library, one call for many new chunks.
+    """Ids by the tokenizers library, one call for many new words.
 
     No pre-token spans white space, so a text's ids are its chunks' ids in
-    order. New chunks are encoded joined by spaces; since every pre-token ends
-    in exactly one end-of-word id, their pre-token counts tell the ids apart.
+    order. A new chunk of plain letters, digits and marks is cut here into its lower-cased
+    pre-tokens; those that are new are encoded joined by spaces by the library's tokenizer of the same vocabulary
+    that cuts at spaces only. Other new chunks are encoded whole, joined by spaces. Since every pre-token ends
+    in exactly one end-of-word id, pre-token counts tell the ids apart.
     Counts that don't add up are settled by encoding chunk by chunk.
     """
 
     def __init__(self, path: str, remember: int = CACHE):
-        from tokenizers import Tokenizer
-        self.lib = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.lib, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.lib.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.find = regex.compile(WORD_PATTERN).findall
-        self.known = Remembered(remember)
+        self.known, self.words, self.hot = Remembered(remember), Remembered(remember), {}
 
     def _one(self, chunk: bytes) -> bytes:
         return np.array(self.lib.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _cut(self, ids: list[int], counts: list[int]) -> list[bytes] | None:
+        """The ids of neighbours that have so many pre-tokens each; None: the counts don't add up."""
+        ids = np.array(ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != sum(counts) or (len(ids) and ends[-1] != len(ids)):
+            return None
+        cuts = (4 * np.r_[0, np.r_[0, ends][np.cumsum(counts)]]).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
     def _group(self, chunks: list[bytes]) -> list[bytes]:
         text = b" ".join(chunks).decode()
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         find = self.find
         counts = [len(find(t)) for t in text.lower().split(" ")]
-        ids = np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(counts) != len(chunks) or len(ends) != sum(counts) or (len(ids) and ends[-1] != len(ids)) \
-                or any(a in text for a in self.added):
-            return [self._one(c) for c in chunks]
-        cuts = (4 * np.r_[0, np.r_[0, ends][np.cumsum(counts)]]).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        words = [t.split() for t in texts]
-        known, table, fresh = self.known.get, {}, []
-        recent = self.known.new.get
-        for w in set().union(*words):
+        out = None
+        if len(counts) == len(chunks) and not any(a in text for a in self.added):
+            out = self._cut(self.lib.encode(text, add_special_tokens=False).ids, counts)
+        return [self._one(c) for c in chunks] if out is None else out
+
+    def _plain(self, chunks: list[bytes], text: str) -> list[bytes]:
+        """As ``_group``, for chunks (joined: ``text``) of ``PLAIN`` characters without added tokens."""
+        cut = [_PRE_TOKENS(t) for t in text.lower().split(" ")]
+        recent, known, table, fresh = self.words.new.get, self.words.get, {}, []
+        for w in set().union(*cut):
             ids = recent(w)
             if ids is None and (ids := known(w)) is None:
                 fresh.append(w)
@@ -90,10 +109,46 @@ class WordEncoder:
                 table[w] = ids
         for s in range(0, len(fresh), GROUP):
             group = fresh[s:s + GROUP]
-            for w, ids in zip(group, self._group(group)):
+            got = self._cut(self.bare.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, [1] * len(group))
+            if got is None:
+                return self._group(chunks)
+            for w, ids in zip(group, got):
                 table[w] = ids
                 if len(w) <= LONGEST:
-                    self.known.put(w, ids)
+                    self.words.put(w, ids)
+        return [b"".join([table[w] for w in ws]) for ws in cut]
+
+    def _new(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        plain, rest, text = chunks, [], b" ".join(chunks).decode()
+        if not _PLAIN(text):
+            plain = [c for c in chunks if _PLAIN(c.decode())]
+            rest, text = [c for c in chunks if not _PLAIN(c.decode())], b" ".join(plain).decode()
+        if any(a in text for a in self.added):
+            plain, rest = [], chunks
+        if plain:
+            yield from zip(plain, self._plain(plain, text))
+        for s in range(0, len(rest), GROUP):
+            group = rest[s:s + GROUP]
+            yield from zip(group, self._group(group))
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        words = [t.split() for t in texts]
+        hot = self.hot
+        recent, known, table, fresh = self.known.new.get, self.known.get, dict(hot), []
+        for w in set().union(*[filterfalse(hot.__contains__, ws) for ws in words]):
+            ids = recent(w)
+            if ids is None and (ids := known(w)) is None:
+                fresh.append(w)
+            else:
+                table[w] = ids
+        for w, ids in self._new(fresh):
+            table[w] = ids
+            if len(w) <= LONGEST:
+                self.known.put(w, ids)
+        if not hot:
+            often = Counter(chain.from_iterable(words)).most_common(HOT)
+            self.hot = {w: table[w] for w, n in often if n > 1 and len(w) <= LONGEST}
         for ws in words:
             yield b"".join(map(table.__getitem__, ws))
 
