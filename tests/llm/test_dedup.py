@@ -307,3 +307,19 @@ def test_embedding_count_is_calibrated():
         gap = np.abs((x - z) @ a)
         found = (gap[:, :2] <= place).all(1) & ((gap[:, 2:] <= half).sum(1) >= need)
         assert low <= found.mean() <= high
+
+
+def test_projections_as_bytes_lose_no_collision():
+    rng = np.random.default_rng(4)
+    p, r = rng.standard_normal(200) * 2, rng.standard_normal(300) * 2
+    p[:20], r[:20] = p[0] + np.arange(20) * 0.1, p[0]  # gaps at the very edge of windows
+    gap, flag = np.empty((200, 300), np.uint8), np.empty((200, 300), bool)
+    for half in (0.0, 0.1, 0.5, 0.7, 1.33, 2.5, 4.2):
+        near = np.abs(p[:, None] - r[None, :]) <= half
+        got = emb.collide(emb.levels(p), emb.levels(r), emb.window(half), gap, flag)
+        assert got[near].all()
+        if half < 2:  # and few others, those a whole turn away left out
+            assert (got & (np.abs(p[:, None] - r[None, :]) > half + 2 * emb.LEVEL)).mean() < 0.2
+    apart = np.abs(p[:, None] - r[None, :]) < 3
+    got = emb.collide(emb.levels(p), emb.levels(r), emb.window(0.7), gap, flag)
+    assert not (got & apart & (np.abs(p[:, None] - r[None, :]) > 0.75)).any()

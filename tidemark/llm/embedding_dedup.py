@@ -35,6 +35,9 @@ SEED = 20_817
 #: Half-width of a counting window, in standard deviations of a threshold pair's difference.
 WIDTH = 2.2
 
+#: Projections are compared as bytes, in levels so wide (in standard deviations) and modulo 256 of them.
+LEVEL = 0.02
+
 
 def directions(dim: int, count: int) -> np.ndarray:
     """dim x count Gaussian directions, the same wherever they are made."""
@@ -111,6 +114,24 @@ def _labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 LINKS = "node long, links long, root long"
 
 
+def levels(proj: np.ndarray) -> np.ndarray:
+    """Projections as one byte each; those 256 levels apart are alike, which only adds candidates."""
+    return np.floor(proj / LEVEL).astype(np.int64).astype(np.uint8)
+
+
+def window(half: float) -> int:
+    """The most levels between two projections that are ``half`` apart; what is nearer is never further in levels.
+    From 128 on all bytes are within it."""
+    return min(int((half + 1e-5) / LEVEL) + 1, 128)
+
+
+def collide(p: np.ndarray, r: np.ndarray, w: int, gap: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """Whether each of ``p`` is within ``w`` levels of each of ``r``: differences from -w to w are
+    told by one comparison, modulo 256."""
+    np.subtract((p + np.uint8(w))[:, None], r[None, :], out=gap)
+    return np.less_equal(gap, np.uint8(min(2 * w, 255)), out=flag)
+
+
 def _meet(threshold: float, projections: int, place: float, half: float, need: int, step: int = 128):
     def run(key, t):
         n = t.num_rows
@@ -118,31 +139,32 @@ def _meet(threshold: float, projections: int, place: float, half: float, need: i
         node, size = t["node"].to_numpy()[order], t["size"].to_numpy()[order]
         member, chunk = t["member"].to_numpy(zero_copy_only=False)[order], t["chunk"].to_numpy()[order]
         x = _unit(_matrix(t["vec"], n))[order]
-        proj = (x @ directions(x.shape[1], 2 + projections)).astype(np.float32).T
+        proj = np.ascontiguousarray(levels(x @ directions(x.shape[1], 2 + projections)).T)
+        single = x.astype(np.float32)
         i, j = key[3].as_py(), key[4].as_py()
         links = np.zeros(n, np.int64)
         found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        slack = np.float32(1e-5)
+        sides = [(p[left], p[right], window(place if k < 2 else half)) for k, p in enumerate(proj)]
         for s in range(0, len(left), step):
             q = left[s:s + step]
-            gap, flag = np.empty((len(q), len(right)), np.float32), np.empty((len(q), len(right)), bool)
+            gap, flag = np.empty((len(q), len(right)), np.uint8), np.empty((len(q), len(right)), bool)
             near = member[q][:, None] | member[right][None, :]
             if i == j:
                 near &= q[:, None] < right[None, :]
             count = np.zeros(near.shape, np.uint8)
-            for k, p in enumerate(proj):
-                np.subtract(p[q][:, None], p[right][None, :], out=gap)
-                np.abs(gap, out=gap)
-                np.less_equal(gap, np.float32(place if k < 2 else half) + slack, out=flag)
+            for k, (p, r, w) in enumerate(sides):
+                collide(p[s:s + step], r, w, gap, flag)
                 if k < 2:
                     near &= flag
                 else:
-                    np.add(count, flag, out=count, casting="unsafe")
-            a, b = np.nonzero(near & (count >= need))
+                    np.add(count, flag.view(np.uint8), out=count)
+            a, b = np.divmod(np.flatnonzero(near & (count >= need)), len(right))
             a, b = q[a], right[b]
-            for at in range(0, len(a), 1 << 16):
-                p, r = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
+            for at in range(0, len(a), 1 << 11):
+                p, r = a[at:at + (1 << 11)], b[at:at + (1 << 11)]
+                close = np.einsum("ij,ij->i", single[p], single[r]) >= threshold - 1e-3  # spares most the doubles
+                p, r = p[close], r[close]
                 ok = np.einsum("ij,ij->i", x[p], x[r]) >= threshold
                 found_a.append(p[ok])
                 found_b.append(r[ok])
